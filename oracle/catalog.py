@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from .health_sql import health_sql
+from .timeseries_sql import PROFILE_SQL, TREND_SQL, TS_SQL
 
 SQL: dict[str, str] = {
     "d4_health_fleet": health_sql(batch=False),
     "d4_health_daily": health_sql(batch=True),
+    "w4_daily_time_series": TS_SQL,
+    "a3_device_profiles": PROFILE_SQL,
+    "a9_battery_trend": TREND_SQL,
 }

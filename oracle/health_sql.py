@@ -23,8 +23,12 @@ NORM = {"comm": ("comm", 365.0), "report": ("report", 180.0), "life": ("life", 1
         "urgency": ("urg", 1.0), "current": ("cur", 1000.0), "temp": ("temp", 100.0), "flags": ("fsum", None)}
 
 
-def health_ctes(batch: bool) -> str:
-    """CTE chain ending in ``hf`` (one row per reading, all features)."""
+def health_ctes(batch: bool, scope: str = "batch", source: str = "readings", pre: str = "") -> str:
+    """CTE chain ending in ``hf`` (one row per reading, all features).
+
+    ``source`` names the CTE with reading rows; ``pre`` adds CTEs defined
+    between the adapter and the scorer (e.g. a deduped source).
+    """
     bk = "batch_date, " if batch else ""
     bjoin_st = "st.batch_date = r.batch_date AND " if batch else ""
     bjoin_sb = "ON sb.batch_date = r.batch_date" if batch else "ON TRUE"
@@ -33,11 +37,12 @@ def health_ctes(batch: bool) -> str:
         f"min({clip(c, hi=cap) if cap else c}) AS mn_{k}, max({clip(c, hi=cap) if cap else c}) AS mx_{k}"
         for k, (c, cap) in NORM.items())
     comm_txt = py_fixed("comm1", 0)
+    snap = "sb.snap_b" if scope == "batch" else "st.snap_bt"
     never = "consider replacement after 48 hours if no improvement"
     return f"""
 readings AS ({CTES['readings']}),
 install AS ({CTES['install']}),
-attempts AS ({CTES['attempts']}),
+attempts AS ({CTES['attempts']}),{pre}
 r AS (
   SELECT *, upper(trim(Device_Type)) AS dev,
          CASE WHEN upper(trim(Device_Type)) LIKE '%ZM1%' THEN 'ZM1'
@@ -45,15 +50,15 @@ r AS (
               WHEN upper(trim(Device_Type)) LIKE '%MM3%' THEN 'MM3'
               ELSE upper(trim(Device_Type)) END AS t,
          Last_Heard AS lh
-  FROM readings),
+  FROM {source}),
 snap_bt AS (SELECT {bk}t, max(lh) AS snap_bt FROM r GROUP BY ALL),
 snap_b AS (SELECT {bk}max(snap_bt) AS snap_b FROM snap_bt {'GROUP BY batch_date' if batch else ''}),
 inst AS (SELECT Serial, max(InstallDate) AS inst FROM install GROUP BY Serial),
 rcount AS (SELECT Serial, CAST(count(*) AS INTEGER) AS rc FROM attempts GROUP BY Serial),
 a AS (
   SELECT r.*, sb.snap_b, st.snap_bt, i.inst,
-         {clip(days_between('sb.snap_b', 'r.lh'), hi=365.0)} AS comm,
-         {days_between('sb.snap_b', 'i.inst')} AS age_days
+         {clip(days_between(snap, 'r.lh'), hi=365.0)} AS comm,
+         {days_between(snap, 'i.inst')} AS age_days
   FROM r JOIN snap_bt st ON {bjoin_st}st.t = r.t
          JOIN snap_b sb {bjoin_sb}
          LEFT JOIN inst i ON i.Serial = r.Serial),
@@ -82,8 +87,8 @@ c AS (
   FROM b),
 g AS (
   SELECT *, CAST(high_current_flag + critical_current_flag + overheat_flag AS DOUBLE) AS fsum,
-    lag(Latitude) OVER (PARTITION BY Serial ORDER BY lh ASC NULLS LAST, reading_id) AS prev_lat,
-    lag(Longitude) OVER (PARTITION BY Serial ORDER BY lh ASC NULLS LAST, reading_id) AS prev_lon
+    lag(Latitude) OVER (PARTITION BY {bk}Serial ORDER BY lh ASC NULLS LAST, reading_id) AS prev_lat,
+    lag(Longitude) OVER (PARTITION BY {bk}Serial ORDER BY lh ASC NULLS LAST, reading_id) AS prev_lon
   FROM c),
 s2 AS (SELECT {bk}t, {stats} FROM g GROUP BY ALL),
 h AS (

@@ -47,7 +47,7 @@ def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFr
     return null_safe_join(df, small, keys, "left")
 
 
-def two_level_lag(df: DataFrame, key: str, bucket: Column, order: Sequence[Column],
+def two_level_lag(df: DataFrame, key: str | Sequence[str], bucket: Column, order: Sequence[Column],
                   cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
     """``lag(c, 1)`` per ``key`` in ``order`` without putting one key in one task.
 
@@ -56,19 +56,20 @@ def two_level_lag(df: DataFrame, key: str, bucket: Column, order: Sequence[Colum
     of the key's previous non-empty bucket, found on a pre-aggregated table of
     one row per (key, bucket) that is joined back on the same keys.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     b = "__bucket"
     rn = "__rn"
     d = df.withColumn(b, bucket)
-    w = Window.partitionBy(key, b).orderBy(*order)
+    w = Window.partitionBy(*keys, b).orderBy(*order)
     lagged = d.select("*", *[F.lag(c, 1).over(w).alias(f"{prefix}{c}") for c in cols],
                       F.row_number().over(w).alias(rn))
     # last row of every (key, bucket): partial aggregation, no full group in one task
     ord_struct = F.struct(*order)
-    last = (d.groupBy(key, b)
+    last = (d.groupBy(*keys, b)
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ord_struct).alias("__last")))
-    wb = Window.partitionBy(key).orderBy(b)
-    prev_bucket = last.select(key, b, F.lag("__last", 1).over(wb).alias("__pb"))
-    out = lagged.join(prev_bucket, [key, b], "left")
+    wb = Window.partitionBy(*keys).orderBy(b)
+    prev_bucket = last.select(*keys, b, F.lag("__last", 1).over(wb).alias("__pb"))
+    out = null_safe_join(lagged, prev_bucket, keys + [b], "left")
     fixed = [F.when(F.col(rn) == 1, F.col("__pb")[c]).otherwise(F.col(f"{prefix}{c}")).alias(f"{prefix}{c}")
              for c in cols]
     keep = [c for c in lagged.columns if c not in {f"{prefix}{c}" for c in cols} | {rn, b}]

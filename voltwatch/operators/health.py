@@ -289,9 +289,10 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
 
     # W1 GPS drift on a (device, day) window (skew-safe lag).
     order = [F.col("Last_Heard_dt")] + [F.col(c) for c in order_cols]
-    bucket = F.coalesce(F.floor(F.unix_micros(F.col("Last_Heard_dt")) / F.lit(86400 * 1_000_000)),
+    # hour buckets; unparseable timestamps sort last as in pandas
+    bucket = F.coalesce(F.floor(F.unix_micros(F.col("Last_Heard_dt")) / F.lit(3600 * 1_000_000)),
                         F.lit(2 ** 62)).cast("long")
-    d = two_level_lag(d, "Serial", bucket, order, ["Latitude", "Longitude"], prefix="prev_")
+    d = two_level_lag(d, batch + ["Serial"], bucket, order, ["Latitude", "Longitude"], prefix="prev_")
     d = d.withColumnsRenamed({"prev_Latitude": "prev_lat", "prev_Longitude": "prev_lon"})
     dist = F.when(F.col("prev_lat").isNull() | F.col("prev_lon").isNull(), F.lit(0.0)).otherwise(
         X.haversine("prev_lat", "prev_lon", "Latitude", "Longitude"))

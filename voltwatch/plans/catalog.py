@@ -58,3 +58,65 @@ def d4_health_fleet(spark, sf_dir):
 def d4_health_daily(spark, sf_dir):
     """Each day is one batch (daily snapshot files)."""
     return health_columns(health(spark, sf_dir, batch=True))
+
+
+# ------------------------------------------------------------ time series --
+
+def daily(spark, sf_dir):
+    from ..operators import timeseries as T
+    return T.daily_series(A.readings(spark, sf_dir), install=A.install_dates(spark, sf_dir),
+                          attempts=A.attempts(spark, sf_dir))
+
+
+TS_FLOATS = (["battery_change_1d"] + [f"battery_avg_{n}d" for n in (3, 7, 14)]
+             + ["current_change_1d"] + [f"current_avg_{n}d" for n in (3, 7, 14)]
+             + ["temp_change_1d"] + [f"temp_avg_{n}d" for n in (3, 7, 14)])
+
+
+@register("w4_daily_time_series")
+def w4_daily_time_series(spark, sf_dir):
+    """Daily series per device with changes and rolling means."""
+    from ..operators import timeseries as T
+    ts = T.time_features(daily(spark, sf_dir))
+    return ts.select("Serial", F.date_format("date", "yyyy-MM-dd").alias("date"), "Device_Type_Standardized",
+                     "comm_age_days", r6("battery_level").alias("battery_level"), "risk_score", "risk_reason",
+                     *[r6(c).alias(c) for c in TS_FLOATS])
+
+
+PROFILE_FLOATS = ["battery_current", "battery_min", "battery_max", "battery_avg", "battery_std",
+                  "battery_data_quality_pct", "battery_drain_rate_per_day", "battery_baseline",
+                  "battery_drain_rate", "days_until_battery_critical", "expected_battery_life_days",
+                  "expected_battery_life_years", "current_current", "current_avg", "current_max", "current_std",
+                  "temp_current", "temp_avg", "temp_max", "risk_score_current", "risk_score_avg", "risk_score_max",
+                  "risk_score_min", "risk_score_std", "comms_gap_current_hours", "comms_gap_avg_hours",
+                  "comms_gap_max_hours"]
+
+
+# nullable integer / boolean columns are compared as double / string
+PROFILE_NULLABLE_INTS = ["battery_observation_days", "battery_low_days_count", "battery_warning_days_count",
+                         "zero_current_days", "high_current_days", "critical_current_days", "overheat_days"]
+
+
+@register("a3_device_profiles")
+def a3_device_profiles(spark, sf_dir):
+    """One profile row per device from the daily series."""
+    from ..operators import timeseries as T
+    p = T.device_profiles(daily(spark, sf_dir))
+    others = [c for c in p.columns if c not in PROFILE_FLOATS + PROFILE_NULLABLE_INTS + ["communication_only_device"]]
+    return p.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if c.endswith("_seen_date") else F.col(c)
+                      for c in others], *[r6(c).alias(c) for c in PROFILE_FLOATS],
+                    *[F.col(c).cast("double").alias(c) for c in PROFILE_NULLABLE_INTS],
+                    F.col("communication_only_device").cast("string").alias("communication_only_device"))
+
+
+@register("a9_battery_trend")
+def a9_battery_trend(spark, sf_dir):
+    """OLS battery trend per ZM1 device over the daily series."""
+    from ..operators import timeseries as T
+    ts = daily(spark, sf_dir)
+    tr = T.battery_trend(ts.where(F.col("Device_Type_Standardized") == "ZM1"))
+    return tr.select("Serial", "data_points", "date_range_days",
+                     *[r6(c).alias(c) for c in ("battery_start", "battery_end", "battery_change", "daily_drain_rate",
+                                                 "trend_slope", "trend_intercept")],
+                     F.date_format("first_date", "yyyy-MM-dd").alias("first_date"),
+                     F.date_format("last_date", "yyyy-MM-dd").alias("last_date"))
