@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .health_sql import health_sql
+from .labels_sql import CROSSTAB_SQL, LABEL_SQL, PREDICT_SQL
 from .timeseries_sql import PROFILE_SQL, TREND_SQL, TS_SQL
 
 SQL: dict[str, str] = {
@@ -11,4 +12,7 @@ SQL: dict[str, str] = {
     "w4_daily_time_series": TS_SQL,
     "a3_device_profiles": PROFILE_SQL,
     "a9_battery_trend": TREND_SQL,
+    "d8_label_actions": LABEL_SQL,
+    "d12_rule_predictions": PREDICT_SQL,
+    "a12_action_crosstab": CROSSTAB_SQL,
 }

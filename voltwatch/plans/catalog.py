@@ -120,3 +120,66 @@ def a9_battery_trend(spark, sf_dir):
                                                  "trend_slope", "trend_intercept")],
                      F.date_format("first_date", "yyyy-MM-dd").alias("first_date"),
                      F.date_format("last_date", "yyyy-MM-dd").alias("last_date"))
+
+
+# ------------------------------------------------------------ labels ------
+
+AS_OF = "2024-01-31 00:00:00"
+
+
+def history(spark, sf_dir, with_install: bool = True):
+    """Readings with install date (J2 input) and reconfigure counts."""
+    from ..operators.health import reconfigure_counts
+    r = A.readings(spark, sf_dir)
+    rc = reconfigure_counts(A.attempts(spark, sf_dir)).select("Serial", "reconfigure_count")
+    h = r.join(rc, "Serial", "left").select(
+        *[c for c in r.columns], F.coalesce(F.col("reconfigure_count"), F.lit(0)).alias("reconfigure_count"))
+    if with_install:
+        inst = A.install_dates(spark, sf_dir).groupBy("Serial").agg(F.max("InstallDate").alias("InstallDate"))
+        h = h.join(inst, "Serial", "left")
+    return h
+
+
+@register("d8_label_actions")
+def d8_label_actions(spark, sf_dir):
+    """Label flags and last-writer-wins action rules per reading."""
+    from ..operators import labels as L
+    lf = L.label_flags(history(spark, sf_dir), as_of=AS_OF, order_cols=["reading_id"])
+    lab = L.label_actions(lf)
+    return lab.select("reading_id", "Serial", "device_type_display", "comm_age_days", "pct_life_used",
+                      F.col("device_age_days").cast("double").alias("device_age_days"), "reconfigure_count",
+                      "battery_low_flag", "zero_current_flag", "overheat_flag", "intermittent_flag", "offline_flag",
+                      "coord_missing_flag", "coord_changed_flag", "timestamp_missing", "action_name", "action_label")
+
+
+def rule_predictions(spark, sf_dir):
+    from ..operators import labels as L
+    h = history(spark, sf_dir, with_install=False)
+    from ..operators.labels import canonical_type
+    h = canonical_type(h).where(F.col("device_type").isNotNull())
+    latest = L.latest_per_device(h, "BatteryLatestReport", order_cols=["reading_id"])
+    latest = L.with_install_lookup(latest, A.install_dates(spark, sf_dir), AS_OF)
+    latest = latest.where(F.col("device_type").isin("MM3", "ZM1"))
+    feats = L.recompute_features(latest, AS_OF)
+    # no model available: every row is below the confidence threshold
+    pred = feats.select("*", F.lit(0.0).alias("Confidence"), F.lit(None).cast("string").alias("PredictedActionName"),
+                        F.lit(False).alias("UsedRuleFallback"))
+    pred = L.apply_confidence(pred)
+    return L.apply_age_override(pred)
+
+
+@register("d12_rule_predictions")
+def d12_rule_predictions(spark, sf_dir):
+    """Latest row per device -> rule action -> age override."""
+    p = rule_predictions(spark, sf_dir)
+    return p.select("Serial", "device_type", "days_since_last_report", "pct_life_used", "device_age_days",
+                    "coord_missing_flag", "battery_low_flag", "offline_flag", "intermittent_flag", "reconfigure_count",
+                    "PredictedActionName", "PredictedActionLabel", "AgeOverride", "UsedRuleFallback")
+
+
+@register("a12_action_crosstab")
+def a12_action_crosstab(spark, sf_dir):
+    """Device type x predicted action counts."""
+    from ..operators import labels as L
+    ct = L.action_crosstab(rule_predictions(spark, sf_dir))
+    return ct.select("device_type", *[F.col(c).cast("long").alias(c) for c in ("NO_ACTION", "RECONFIGURE", "REPLACE")])
