@@ -86,3 +86,9 @@ def flag(cond: str) -> str:
 def r6(x: str) -> str:
     """Comparison rounding of float outputs (both engines round to 6 dp)."""
     return f"round(CAST({x} AS DOUBLE), 6)"
+
+
+def cut(x: str, edges, labels) -> str:
+    """pd.cut, right-closed, outside -> NULL."""
+    parts = [f"WHEN {x} > {lo} AND {x} <= {hi} THEN '{lab}'" for lo, hi, lab in zip(edges[:-1], edges[1:], labels)]
+    return "(CASE " + " ".join(parts) + " END)"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .export_sql import ALERT_SQL, EXPORT_SQL, SUMMARY_SQL
 from .health_sql import health_sql
 from .labels_sql import CROSSTAB_SQL, LABEL_SQL, PREDICT_SQL
 from .timeseries_sql import PROFILE_SQL, TREND_SQL, TS_SQL
@@ -15,4 +16,7 @@ SQL: dict[str, str] = {
     "d8_label_actions": LABEL_SQL,
     "d12_rule_predictions": PREDICT_SQL,
     "a12_action_crosstab": CROSSTAB_SQL,
+    "c1_export_categories": EXPORT_SQL,
+    "a26_export_summary": SUMMARY_SQL,
+    "c13_alerts": ALERT_SQL,
 }

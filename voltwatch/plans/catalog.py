@@ -183,3 +183,44 @@ def a12_action_crosstab(spark, sf_dir):
     from ..operators import labels as L
     ct = L.action_crosstab(rule_predictions(spark, sf_dir))
     return ct.select("device_type", *[F.col(c).cast("long").alias(c) for c in ("NO_ACTION", "RECONFIGURE", "REPLACE")])
+
+
+# ------------------------------------------------------------ export ------
+
+def export_rows(spark, sf_dir):
+    from ..operators import export as X_
+    from ..operators import timeseries as T
+    prof = T.device_profiles(daily(spark, sf_dir))
+    return X_.with_global_kpis(X_.with_categories(prof, AS_OF))
+
+
+@register("c1_export_categories")
+def c1_export_categories(spark, sf_dir):
+    """Export categories, replacement dates and fleet KPIs per device."""
+    e = export_rows(spark, sf_dir)
+    return e.select(
+        "Serial", "battery_status", "battery_level_category", "replacement_timeline", "needs_replacement_30d",
+        "needs_replacement_90d", "needs_replacement_1yr", "risk_category", "is_high_risk", "is_critical_risk",
+        r6("device_age_years").alias("device_age_years"), "age_category", "drain_rate_category", "is_normal_drain",
+        "is_fast_drain", "is_critical_device", "estimated_replacement_date", "replacement_quarter",
+        F.col("replacement_year").cast("double").alias("replacement_year"), "replacement_month",
+        F.col("total_devices").cast("long").alias("total_devices"), r6("global_avg_battery").alias("global_avg_battery"),
+        *[F.col(c).cast("long").alias(c) for c in ("global_devices_below_20", "global_devices_below_30",
+                                                    "global_emergency_7d", "global_critical_30d", "global_urgent_90d")])
+
+
+@register("a26_export_summary")
+def a26_export_summary(spark, sf_dir):
+    """One-row export summary."""
+    from ..operators import export as X_
+    s = X_.export_summary(export_rows(spark, sf_dir))
+    return s.select(*[r6(c).alias(c) if c == "battery_avg" else F.col(c) for c in s.columns])
+
+
+@register("c13_alerts")
+def c13_alerts(spark, sf_dir):
+    """Alert level, inspection flag, message and colour per scored reading."""
+    from ..functions import categories as C
+    hf = health(spark, sf_dir, batch=False)
+    cols = C.alert_level("risk_score")
+    return hf.select("reading_id", "Serial", "risk_score", *[c.alias(n) for n, c in cols.items()])
