@@ -67,6 +67,7 @@ b AS (
     {clip(f"coalesce({clip('age_days / 3650.0', 0.0, 1.0)}, 0.0)", hi=1.0)} AS life,
     CASE WHEN t = 'ZM1' THEN BatteryLevel END AS battery_level,
     CASE WHEN t = 'ZM1' THEN {flag('BatteryLevel < 20')} ELSE 0 END AS battery_low_flag,
+    CASE WHEN t = 'ZM1' THEN {flag('BatteryLevel < 30')} ELSE 0 END AS battery_warning_flag,
     CASE WHEN t = 'ZM1' THEN coalesce({days_between('snap_bt', 'BatteryLatestReport')}, 0.0) ELSE 0.0 END AS report,
     CASE WHEN t = 'ZM1' THEN coalesce(age_days / 30.44, 0.0) ELSE 0.0 END AS months,
     CASE WHEN t = 'ZM1' THEN {clip('0.0 * 365.0', lo=0.1)} ELSE 0.0 END AS rate,

@@ -456,8 +456,10 @@ def with_risk_reason(df: DataFrame, coord_missing_flag: Column) -> DataFrame:
                     .otherwise(F.array_join(r, ", ")).alias("risk_reason"))
 
 
-def get_top_risk_devices(df: DataFrame, n: int = 15) -> DataFrame:
-    """O1: positive risk only, highest first (Serial breaks ties), first ``n``."""
+def get_top_risk_devices(df: DataFrame, n: int = 15, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """O1: positive risk only, highest first (Serial, then ``tiebreak`` break ties), first ``n``.
+    ``orderBy + limit`` plans as TakeOrdered: a per-partition top-n, never a full sort."""
     if "risk_score" not in df.columns:
         raise ValueError("risk_score not found. Did you call build_health_features()?")
-    return df.where(F.col("risk_score") > 0.0).orderBy(F.col("risk_score").desc(), F.col("Serial")).limit(n)
+    return (df.where(F.col("risk_score") > 0.0)
+            .orderBy(F.col("risk_score").desc(), F.col("Serial"), *[F.col(c) for c in tiebreak]).limit(n))

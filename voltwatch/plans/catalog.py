@@ -224,3 +224,232 @@ def c13_alerts(spark, sf_dir):
     hf = health(spark, sf_dir, batch=False)
     cols = C.alert_level("risk_score")
     return hf.select("reading_id", "Serial", "risk_score", *[c.alias(n) for n, c in cols.items()])
+
+
+# ------------------------------------------------------------ reports -----
+
+def fleet(spark, sf_dir):
+    return health(spark, sf_dir, batch=False)
+
+
+def zm1_series(spark, sf_dir):
+    return daily(spark, sf_dir).where(F.col("Device_Type_Standardized") == "ZM1")
+
+
+@register("f4_quality_gate")
+def f4_quality_gate(spark, sf_dir):
+    """per-row validity and rejection reason."""
+    from ..operators import quality as Q
+    g = Q.quality_gate(A.readings(spark, sf_dir))
+    return g.select("reading_id", "Serial", "is_valid", "rejection_reason")
+
+
+@register("f10_quality_report")
+def f10_quality_report(spark, sf_dir):
+    """valid / total per type and overall."""
+    from ..operators import quality as Q
+    rep = Q.quality_report(Q.quality_gate(A.readings(spark, sf_dir)))
+    return rep.select("device_type", "total", "valid", r6("valid_pct").alias("valid_pct"))
+
+
+@register("f8_data_validity")
+def f8_data_validity(spark, sf_dir):
+    """F8: documented validity rules on scored readings."""
+    from ..operators import quality as Q
+    v = Q.data_validity(fleet(spark, sf_dir))
+    return v.select("reading_id", "is_data_valid", "data_quality_reason", "should_exclude_from_ml")
+
+
+@register("a11_action_value_counts")
+def a11_action_value_counts(spark, sf_dir):
+    """Value counts with percent of the labelled actions."""
+    from ..operators import reports as R
+    lab = d8_label_actions(spark, sf_dir)
+    vc = R.value_counts(lab, ["device_type_display", "action_name"])
+    return vc.select("device_type_display", "action_name", "count", r6("pct").alias("pct"))
+
+
+@register("a13_risk_stats")
+def a13_risk_stats(spark, sf_dir):
+    """Risk statistics per type and overall (rollup)."""
+    from ..operators import reports as R
+    s = R.risk_stats(fleet(spark, sf_dir))
+    return s.select("Device_Type_Standardized", "devices", "risk_positive",
+                    *[r6(c).alias(c) for c in ("risk_mean", "risk_min", "risk_max", "risk_positive_pct")])
+
+
+@register("a17_describe_age")
+def a17_describe_age(spark, sf_dir):
+    """Distribution summary of device age (months) on the ZM1 series."""
+    from ..operators import reports as R
+    a = R.age_frame(zm1_series(spark, sf_dir))
+    d = R.describe(a, "device_age_months")
+    return d.select("count", *[r6(c).alias(c) for c in ("min", "max", "mean", "median", "std")])
+
+
+@register("a18_age_buckets")
+def a18_age_buckets(spark, sf_dir):
+    """Left-closed age buckets with counts and percent."""
+    from ..operators import reports as R
+    vc = R.value_counts(R.age_frame(zm1_series(spark, sf_dir)), "age_bucket")
+    return vc.select("age_bucket", "count", r6("pct").alias("pct"))
+
+
+@register("a19_failure_by_age")
+def a19_failure_by_age(spark, sf_dir):
+    """Failure rate and means per age bucket."""
+    from ..operators import reports as R
+    f = R.failure_by_age(zm1_series(spark, sf_dir))
+    return f.select("age_bucket", "total_devices", "failed_devices",
+                    *[r6(c).alias(c) for c in ("failure_rate", "avg_risk_score", "avg_battery_level",
+                                                "comm_fail_rate")])
+
+
+@register("a20_binned_risk_by_age")
+def a20_binned_risk_by_age(spark, sf_dir):
+    """20 equal-width age bins, mean risk and failure rate."""
+    from ..operators import reports as R
+    b = R.binned_mean(R.age_frame(zm1_series(spark, sf_dir)), "device_age_months", ["risk_score", "is_failure"])
+    return b.select("bin", "n", r6("bin_center").alias("bin_center"), r6("mean_risk_score").alias("mean_risk_score"),
+                    r6("mean_is_failure").alias("mean_is_failure"))
+
+
+@register("a21_correlations")
+def a21_correlations(spark, sf_dir):
+    """Pairwise Pearson correlations of age, risk, battery and comm age."""
+    from ..operators import reports as R
+    c = R.correlations(zm1_series(spark, sf_dir), ["device_age_months", "risk_score", "battery_level",
+                                                   "comm_age_days"])
+    return c.select("x", "y", r6("corr").alias("corr"))
+
+
+@register("a22_risk_histogram")
+def a22_risk_histogram(spark, sf_dir):
+    """20-bin histogram of risk with the empirical CDF."""
+    from ..operators import reports as R
+    h = R.histogram(fleet(spark, sf_dir), "risk_score", 20)
+    return h.select("bin", "count", *[r6(c).alias(c) for c in ("bin_start", "bin_end", "ecdf")])
+
+
+@register("a23_risk_five_numbers")
+def a23_risk_five_numbers(spark, sf_dir):
+    """Box-plot five numbers of risk per type."""
+    from ..operators import reports as R
+    f = R.five_numbers(fleet(spark, sf_dir), "Device_Type_Standardized", "risk_score")
+    return f.select("Device_Type_Standardized", *[r6(c).alias(c) for c in ("min", "q1", "median", "q3", "max")])
+
+
+FLAGS = ["battery_low_flag", "battery_warning_flag", "zero_current_flag", "low_current_flag", "high_current_flag",
+         "critical_current_flag", "high_offpeak_flag", "overheat_flag", "gps_jump_flag"]
+
+
+@register("a25_flag_counts")
+def a25_flag_counts(spark, sf_dir):
+    """Non-zero counts per flag column."""
+    from ..operators import reports as R
+    return R.flag_counts(fleet(spark, sf_dir), FLAGS)
+
+
+@register("a27_variance_frequency")
+def a27_variance_frequency(spark, sf_dir):
+    """Per-device variance and frequency features."""
+    from ..operators import reports as R
+    v = R.variance_frequency(fleet(spark, sf_dir))
+    return v.select("Serial", *[r6(c).alias(c) for c in v.columns if c != "Serial"])
+
+
+@register("a29_risk_category_report")
+def a29_risk_category_report(spark, sf_dir):
+    """Devices and percent per risk category, > 60 and > 80."""
+    from ..operators import reports as R
+    r = R.risk_category_report(fleet(spark, sf_dir))
+    return r.select("risk_category", "devices", "devices_over_60", "devices_over_80",
+                    *[r6(c).alias(c) for c in ("pct", "pct_over_60", "pct_over_80")])
+
+
+@register("o1_top_risk")
+def o1_top_risk(spark, sf_dir):
+    """O1: the 15 riskiest scored readings (top-k report)."""
+    top = H.get_top_risk_devices(fleet(spark, sf_dir), 15, tiebreak=["reading_id"])
+    return top.select("reading_id", "Serial", "risk_score", "risk_reason")
+
+
+@register("o5_top_risk_view")
+def o5_top_risk_view(spark, sf_dir):
+    """Top-5 view with the reason cut to 60 characters."""
+    from ..operators import reports as R
+    return R.top_risk_view(fleet(spark, sf_dir), 5, 60, tiebreak=["reading_id"])
+
+
+@register("o6_sample_devices")
+def o6_sample_devices(spark, sf_dir):
+    """Reproducible sample of 10 device profiles (sampling operator)."""
+    from ..operators import reports as R
+    from ..operators import timeseries as T
+    p = T.device_profiles(daily(spark, sf_dir))
+    return R.sample_n(p.select("Serial", "Device_Type_Standardized", "total_records"), 10, 42)
+
+
+@register("a24_processing_stats")
+def a24_processing_stats(spark, sf_dir):
+    """Rows and distinct devices per (date, type) of the daily series."""
+    from ..operators import timeseries as T
+    s = T.processing_stats(daily(spark, sf_dir))
+    return s.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "device_type", "rows_processed",
+                    "unique_devices")
+
+
+@register("w9_days_since_flags")
+def w9_days_since_flags(spark, sf_dir):
+    """Days since the last overheat / zero-current / low-battery day per device."""
+    from ..operators import timeseries as T
+    ts = T.time_features(daily(spark, sf_dir), real_days_since=True)
+    return ts.select("Serial", F.date_format("date", "yyyy-MM-dd").alias("date"),
+                     "days_since_overheat_flag", "days_since_zero_current_flag", "days_since_battery_low_flag")
+
+
+@register("a10_clamped_drain")
+def a10_clamped_drain(spark, sf_dir):
+    """A10: clamped OLS drain rate per ZM1 device."""
+    from ..operators import timeseries as T
+    d = T.clamped_drain(zm1_series(spark, sf_dir))
+    return d.select("Serial", r6("drain_rate_per_day").alias("drain_rate_per_day"))
+
+
+@register("d13_failure_dataset")
+def d13_failure_dataset(spark, sf_dir):
+    """Look-ahead labels and engineered features on the ZM1 series."""
+    from ..operators import failure as FL
+    ds = FL.failure_dataset(zm1_series(spark, sf_dir))
+    return ds.select("Serial", F.date_format("date", "yyyy-MM-dd").alias("date"), "failure_next_7d", "failure_cause",
+                     *[r6(c).alias(c) for c in FL.ML_FEATURES if c != "old_and_hot_flag"], "old_and_hot_flag")
+
+
+@register("a28_failure_causes")
+def a28_failure_causes(spark, sf_dir):
+    """Failure-cause breakdown over look-ahead failure rows."""
+    from ..operators import failure as FL
+    c = FL.failure_causes(FL.failure_dataset(zm1_series(spark, sf_dir)))
+    return c.select(*[r6(x).alias(x) if x.endswith("avg") or x.endswith("_months") else F.col(x) for x in c.columns])
+
+
+def trust_input(spark, sf_dir):
+    from ..operators import failure as FL
+    return FL.days_since_last_heard(A.readings(spark, sf_dir), "Last_Heard")
+
+
+@register("d14_trust_rule_score")
+def d14_trust_rule_score(spark, sf_dir):
+    """Trust-stack rule score, label and reasons per reading."""
+    from ..operators import failure as FL
+    s = FL.rule_score(trust_input(spark, sf_dir))
+    return s.select("reading_id", r6("days_since_last_heard").alias("days_since_last_heard"), "rule_risk_score",
+                    "rule_label", "rule_reasons")
+
+
+@register("w8_chrono_split")
+def w8_chrono_split(spark, sf_dir):
+    """Chronological 80/20 split of the readings."""
+    from ..operators import failure as FL
+    return FL.chrono_split(A.readings(spark, sf_dir), "Last_Heard", 0.8, ["reading_id"]).select("reading_id",
+                                                                                                 "is_train")
