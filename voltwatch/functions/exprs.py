@@ -171,13 +171,9 @@ def _exact_half_even(c: Column, n: int) -> Column:
 def py_fixed(c: ColumnOrName, n: int = 0) -> Column:
     """Python ``format(x, f".{n}f")`` for finite doubles; null stays null."""
     c = col(c).cast("double")
-    q = _exact_half_even(c, n)
-    if n == 0:
-        txt = F.format_string("%.0f", q)
-    else:
-        txt = F.format_string(f"%.{n}f", q / F.lit(float(10 ** n)))
-    neg_zero = (q == 0) & (c < 0)
-    return F.when(c.isNull(), F.lit(None).cast("string")).when(neg_zero, F.concat(F.lit("-"), txt)).otherwise(txt)
+    q = F.abs(_exact_half_even(c, n))
+    txt = F.format_string(f"%.{n}f", q if n == 0 else q / F.lit(float(10 ** n)))
+    return F.when(c.isNull(), F.lit(None).cast("string")).when(c < 0, F.concat(F.lit("-"), txt)).otherwise(txt)
 
 
 # --------------------------------------------------------------- time / geo --
