@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .export_sql import ALERT_SQL, EXPORT_SQL, SUMMARY_SQL
 from .health_sql import health_sql
+from .ml_sql import SQL as ML
 from .reports_sql import SQL as REPORTS
 from .labels_sql import CROSSTAB_SQL, LABEL_SQL, PREDICT_SQL
 from .timeseries_sql import PROFILE_SQL, TREND_SQL, TS_SQL
@@ -22,3 +23,4 @@ SQL: dict[str, str] = {
     "c13_alerts": ALERT_SQL,
 }
 SQL.update(REPORTS)
+SQL.update(ML)

@@ -453,3 +453,97 @@ def w8_chrono_split(spark, sf_dir):
     from ..operators import failure as FL
     return FL.chrono_split(A.readings(spark, sf_dir), "Last_Heard", 0.8, ["reading_id"]).select("reading_id",
                                                                                                  "is_train")
+
+
+# ------------------------------------------------------------ ML ----------
+
+def label_frame_with_rules(spark, sf_dir):
+    """Labelled readings plus the D12 fallback action computed on the same rows."""
+    from ..operators import labels as L
+    lab = d8_label_actions_full(spark, sf_dir)
+    lab = lab.select("*", F.col("comm_age_days").alias("days_since_last_report"))
+    name, label = L.rule_actions(lab, "device_type_display")
+    return lab.select("*", name.alias("rule_action"), label.alias("rule_action_label"))
+
+
+def d8_label_actions_full(spark, sf_dir):
+    from ..operators import labels as L
+    lf = L.label_flags(history(spark, sf_dir), as_of=AS_OF, order_cols=["reading_id"])
+    return L.label_actions(lf)
+
+
+@register("m5_rule_agreement_report")
+def m5_rule_agreement_report(spark, sf_dir):
+    """M5 + M19: classification report of the fallback rules (D12) against the labels."""
+    from ..ml import models as M
+    rep = M.classification_report(label_frame_with_rules(spark, sf_dir), "action_label", "rule_action_label")
+    return rep.select("class", "support", *[r6(c).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@register("m13_urgency_binary_metrics")
+def m13_urgency_binary_metrics(spark, sf_dir):
+    """Accuracy / precision / recall / F1 / ROC-AUC of urgency >= 50 for look-ahead failures."""
+    from ..ml import models as M
+    from ..operators import failure as FL
+    ds = FL.failure_dataset(zm1_series(spark, sf_dir))
+    ds = ds.select("*", (F.col("maintenance_urgency_score") >= 50).cast("int").alias("pred"))
+    m = M.binary_metrics(ds, "failure_next_7d", "pred", "maintenance_urgency_score")
+    return m.select(*[r6(c).alias(c) for c in m.columns])
+
+
+@register("m21_urgency_roc_points")
+def m21_urgency_roc_points(spark, sf_dir):
+    """ROC curve points of the urgency score for look-ahead failures."""
+    from ..ml import models as M
+    from ..operators import failure as FL
+    ds = FL.failure_dataset(zm1_series(spark, sf_dir))
+    r = M.roc_points(ds, "failure_next_7d", "maintenance_urgency_score")
+    return r.select(*[r6(c).alias(c) for c in r.columns])
+
+
+@register("m3_stratified_split_sizes")
+def m3_stratified_split_sizes(spark, sf_dir):
+    """M3: test rows per class of a seeded stratified 80/20 split of the labels."""
+    from ..ml import models as M
+    lab = d8_label_actions_full(spark, sf_dir)
+    s = M.stratified_split(lab, "action_label", 0.2, 42, key=["reading_id"])
+    return s.groupBy("action_label").agg(F.count(F.lit(1)).cast("long").alias("rows"),
+                                         F.count_if("is_test").cast("long").alias("test_rows"))
+
+
+@register("m2_action_model_report")
+def m2_action_model_report(spark, sf_dir):
+    """M1-M6, M9: per-type action forests (small params) and their test reports."""
+    from ..ml import models as M
+    lab = d8_label_actions_full(spark, sf_dir)
+    feats = M.feature_cols(lab.drop("reading_id"), M.DEFAULT_DROP + ["reading_id"])
+    models = M.train_action_models(lab, M.ActionParams(num_trees=20, max_depth=8), feats=feats)
+    out = None
+    for t, m in models.items():
+        rep = M.classification_report(m["test"], "action_label", "prediction").select(
+            F.lit(t).alias("device_type"), "*")
+        out = rep if out is None else out.unionByName(rep)
+    return out
+
+
+@register("m11_failure_model_importances")
+def m11_failure_model_importances(spark, sf_dir):
+    """Failure forest, 5-fold ROC-AUC and ranked importances with recommendations."""
+    from ..ml import models as M
+    from ..operators import failure as FL
+    ds = FL.failure_dataset(zm1_series(spark, sf_dir))
+    res = M.train_failure_model(ds, FL.ML_FEATURES, M.FailureParams(num_trees=20, max_depth=6, folds=3))
+    imp = M.importance_table(res["model"], res["features"])
+    return imp.join(M.recommendations(imp).select("feature", "recommendation"), "feature", "left").select(
+        "*", F.lit(res.get("cv_auc_mean")).alias("cv_auc_mean"))
+
+
+@register("m24_trust_stack")
+def m24_trust_stack(spark, sf_dir):
+    """Trust stack (rules -> split -> impute -> tree + forest -> agreement)."""
+    from ..ml import models as M
+    from ..operators import failure as FL
+    scored = FL.rule_score(trust_input(spark, sf_dir))
+    res = M.trust_stack(scored, rf_trees=20)
+    return res["test"].select("reading_id", "Serial", "rule_label", "dt_pred", "rf_pred", "dt_prob", "rf_prob",
+                              "rule_vs_tree_agree", "rule_vs_forest_agree", "rf_explanation")
