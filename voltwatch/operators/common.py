@@ -37,13 +37,15 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> DataFrame:
     """Join a per-group statistics table back to rows.
 
-    ``stats`` has one row per group; its size is checked before broadcasting.
-    With no keys it is a single row and a broadcast cross join is exact.
+    ``stats`` has one row per group.  When the caller proves a bound
+    (``max_rows``, e.g. one row per known device type) it is broadcast as is;
+    otherwise its size is checked first, with a shuffle join beyond the limit.
     """
-    small = broadcast_if_small(stats)
+    small = F.broadcast(stats) if max_rows is not None and max_rows <= config.BROADCAST_MAX_ROWS \
+        else broadcast_if_small(stats)
     return null_safe_join(df, small, keys, "left")
 
 

@@ -169,9 +169,15 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     has_drain_col = "battery_drain_rate_per_day" in raw_cols
     has_coord_missing = "coord_missing_flag" in raw_cols
     batch = [c for c in batch_cols]
-    gkeys = batch + [TYPE_STD]
+    # statistics group: the three scored types, everything else as one group
+    # (unknown types score 0 and never read the statistics), so with no batch
+    # columns the statistics tables have at most 4 rows by construction
+    gkeys = batch + ["_stat_type"]
+    bound = 4 if not batch else None
 
     d = conform_readings(df)
+    d = d.select("*", F.when(F.col(TYPE_STD).isin("ZM1", "UM3", "MM3"), F.col(TYPE_STD))
+                 .otherwise(F.lit("OTHER")).alias("_stat_type"))
     is_zm1 = F.col(TYPE_STD) == "ZM1"
     is_um3 = F.col(TYPE_STD) == "UM3"
     is_mm3 = F.col(TYPE_STD) == "MM3"
@@ -183,7 +189,7 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
         snaps = null_safe_join(snaps, per_batch, batch, "left")
     else:
         snaps = snaps.crossJoin(snaps.agg(F.max("_snap_bt").alias("_snap_b")))
-    d = attach_stats(d, snaps, gkeys)
+    d = attach_stats(d, snaps, gkeys, bound)
     snap = F.col("_snap_b") if snapshot_scope == "batch" else F.col("_snap_bt")
 
     # J1 install dates
@@ -299,7 +305,7 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     d = d.select("*", dist.alias("distance_drift_m"))
     d = d.select("*", X.flag(F.col("distance_drift_m") > config.GPS_JUMP_THRESHOLD_M).alias("gps_jump_flag"))
 
-    d = attach_stats(d, stats, gkeys)
+    d = attach_stats(d, stats, gkeys, bound)
 
     def n(key):
         name, cap = NORMALISED[key]
