@@ -7,6 +7,7 @@ from voltwatch.functions.categories import (AGE_BINS, AGE_LABELS, BATTERY_BINS,
 
 from .adapter import cut, py_fixed, r6
 from .health_sql import health_ctes
+from .labels_sql import PREDICT_PREFIXED
 from .timeseries_sql import profile_ctes
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -89,3 +90,15 @@ SELECT reading_id, Serial, risk_score,
   CASE WHEN risk_score >= 80 THEN 'red' WHEN risk_score >= 50 THEN 'orange' WHEN risk_score >= 20 THEN 'yellow'
        WHEN risk_score >= 0 THEN 'green' END AS powerbi_severity_color
 FROM hf"""
+
+J5_SQL = "WITH " + profile_ctes() + PREDICT_PREFIXED + f"""
+SELECT f.Serial, f.Device_Type_Standardized, {r6('f.risk_score_current')} AS risk_score_current,
+  {r6('f.battery_current')} AS battery_current,
+  coalesce(p.PredictedActionName, 'NO_ACTION') AS PredictedAction,
+  coalesce(CASE p.PredictedActionName WHEN 'NO_ACTION' THEN 0 WHEN 'RECONFIGURE' THEN 1 WHEN 'REPLACE' THEN 2 END, 0)
+    AS PredictedActionLabel,
+  '2024-01-31' AS PredictionDate,
+  CAST(p.coord_missing_flag AS DOUBLE) AS coord_missing_flag, CAST(p.battery_low_flag AS DOUBLE) AS battery_low_flag,
+  CAST(p.offline_flag AS DOUBLE) AS offline_flag, CAST(p.days_since_last_report AS DOUBLE) AS days_since_last_report,
+  '2024-01-31' AS export_date, 'voltwatch' AS data_source
+FROM profs f LEFT JOIN pr_p p ON p.Serial = f.Serial"""

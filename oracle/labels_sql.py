@@ -127,6 +127,48 @@ p AS (
     pct_life_used > 90.0 AS AgeOverride
   FROM d)"""
 
+PREDICT_PREFIXED = """,
+pr_rcnt AS (SELECT Serial, CAST(count(*) AS INTEGER) AS reconfigure_count FROM attempts GROUP BY Serial),""" + f"""
+pr_h AS (SELECT r.*, coalesce(rc.reconfigure_count, 0) AS reconfigure_count
+      FROM readings r LEFT JOIN pr_rcnt rc ON rc.Serial = r.Serial),
+pr_t AS (SELECT * EXCLUDE (Device_Type), {type_a('Device_Type')} AS device_type FROM pr_h),
+pr_l AS (SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY Serial ORDER BY (BatteryLatestReport IS NULL) DESC,
+               BatteryLatestReport DESC, reading_id DESC) AS rn
+        FROM pr_t WHERE device_type IS NOT NULL) WHERE rn = 1),
+pr_i2 AS (SELECT Serial, max(InstallDate) AS InstallDate FROM install WHERE InstallDate IS NOT NULL GROUP BY Serial),
+pr_a AS (
+  SELECT pr_l.*, pr_i2.InstallDate AS inst_dt,
+    CAST(coalesce(greatest({whole_days(AS_OF, 'pr_i2.InstallDate')}, 0), 0) AS DOUBLE) AS device_age_days
+  FROM pr_l LEFT JOIN pr_i2 ON pr_i2.Serial = pr_l.Serial WHERE device_type IN ('MM3', 'ZM1')),
+pr_b AS (
+  SELECT *, coalesce({np_round('device_age_days / 3650.0 * 100.0', 1)}, 0.0) AS pct_life_used,
+    CAST(coalesce(greatest({whole_days(AS_OF, 'coalesce(BatteryLatestReport, Last_Heard)')}, 0), 0) AS BIGINT)
+      AS days_since_last_report,
+    {flag('Latitude IS NULL OR Latitude = 0 OR Longitude IS NULL OR Longitude = 0')} AS coord_missing_flag,
+    {flag('BatteryLevel < 20')} AS battery_low_flag,
+    {flag("upper(trim(Status)) = 'OFFLINE'")} AS offline_flag,
+    {flag("upper(trim(Status)) = 'INTERMITTENT'")} AS intermittent_flag
+  FROM pr_a),
+pr_c AS (
+  SELECT *, (reconfigure_count >= 1 OR days_since_last_report > 90) AS act FROM pr_b),
+pr_d AS (
+  SELECT *, CASE
+    WHEN device_type = 'MM3' AND act AND (days_since_last_report > 90 OR pct_life_used > 90.0) THEN 'REPLACE'
+    WHEN device_type = 'ZM1' AND act AND (battery_low_flag = 1 OR days_since_last_report > 90) THEN 'REPLACE'
+    WHEN device_type = 'MM3' AND act AND coord_missing_flag = 1 THEN 'RECONFIGURE'
+    WHEN device_type = 'ZM1' AND coord_missing_flag = 1 AND days_since_last_report > 14 THEN 'RECONFIGURE'
+    WHEN device_type = 'MM3' AND (intermittent_flag = 1 OR coord_missing_flag = 1
+         OR (days_since_last_report > 7 AND days_since_last_report <= 90)) THEN 'RECONFIGURE'
+    WHEN device_type = 'ZM1' AND (coord_missing_flag = 1 OR (days_since_last_report > 14 AND days_since_last_report <= 90))
+         THEN 'RECONFIGURE'
+    ELSE 'NO_ACTION' END AS rule_name
+  FROM pr_c),
+pr_p AS (
+  SELECT *, CASE WHEN pct_life_used > 90.0 THEN 'REPLACE' ELSE rule_name END AS PredictedActionName,
+    pct_life_used > 90.0 AS AgeOverride
+  FROM pr_d)"""
+
 PREDICT_SQL = "WITH " + PREDICT_CTES + """
 SELECT Serial, device_type, days_since_last_report, pct_life_used, device_age_days, coord_missing_flag,
   battery_low_flag, offline_flag, intermittent_flag, reconfigure_count, PredictedActionName,

@@ -547,3 +547,23 @@ def m24_trust_stack(spark, sf_dir):
     res = M.trust_stack(scored, rf_trees=20)
     return res["test"].select("reading_id", "Serial", "rule_label", "dt_pred", "rf_pred", "dt_prob", "rf_prob",
                               "rule_vs_tree_agree", "rule_vs_forest_agree", "rf_explanation")
+
+
+@register("j5_export_with_predictions")
+def j5_export_with_predictions(spark, sf_dir):
+    """Profiles + predicted action (NO_ACTION / 0 when absent) + prediction flags + metadata."""
+    from ..operators import export as X_
+    from ..operators import timeseries as T
+    prof = T.device_profiles(daily(spark, sf_dir)).select("Serial", "Device_Type_Standardized", "risk_score_current",
+                                                         "battery_current")
+    pred = rule_predictions(spark, sf_dir)
+    e = X_.with_predictions(prof, pred, AS_OF)
+    flags = pred.select("Serial", "coord_missing_flag", "battery_low_flag", "offline_flag", "days_since_last_report")
+    e = X_.join_new_columns(e, flags)
+    e = X_.with_metadata(e, AS_OF, "voltwatch")
+    return e.select("Serial", "Device_Type_Standardized", r6("risk_score_current").alias("risk_score_current"),
+                    r6("battery_current").alias("battery_current"), "PredictedAction", "PredictedActionLabel",
+                    F.date_format("PredictionDate", "yyyy-MM-dd").alias("PredictionDate"),
+                    *[F.col(c).cast("double").alias(c) for c in ("coord_missing_flag", "battery_low_flag",
+                                                                 "offline_flag", "days_since_last_report")],
+                    F.date_format("export_date", "yyyy-MM-dd").alias("export_date"), "data_source")
