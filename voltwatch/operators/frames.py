@@ -57,15 +57,18 @@ def bootstrap_history(pred: DataFrame, install: DataFrame | None, attempts: Data
     whole-day comm age vs ``as_of``."""
     from .health import reconfigure_counts
     from .labels import comm_age_whole_days, with_install_lookup
-    raw = [c for c in pred.columns if c.lower() == "device_type"]
+    # Spark names are case-insensitive: rename type columns by position first
+    names = [f"_dt{i}" if c.lower() == "device_type" else c for i, c in enumerate(pred.columns)]
+    raw = [n for n in names if n.startswith("_dt")]
+    p = pred.toDF(*names)
     if len(raw) > 1:  # P11 bootstrap: the better-filled of the two columns
-        counts = pred.agg(*[F.count(F.col(c)).alias(c) for c in raw]).first().asDict()
+        counts = p.agg(*[F.count(F.col(c)).alias(c) for c in raw]).first().asDict()  # one row
         best = max(raw, key=lambda c: counts[c])
-        d = pred.select(*[c for c in pred.columns if c not in raw], F.col(best).alias("_dt"))
+        d = p.select(*[c for c in p.columns if c not in raw], F.col(best).alias("_dt"))
     elif raw:
-        d = pred.withColumnRenamed(raw[0], "_dt")
+        d = p.withColumnRenamed(raw[0], "_dt")
     else:
-        d = pred.select("*", F.lit(None).cast("string").alias("_dt"))
+        d = p.select("*", F.lit(None).cast("string").alias("_dt"))
     d = d.select("*", X.device_type_a(F.col("_dt")).alias("Device_Type")).drop("_dt")
     d = d.where(F.col("Device_Type").isin(*types))
     for c in ("BatteryLatestReport", "Last_Heard"):

@@ -18,7 +18,9 @@ from ..functions import exprs as X
 from .common import two_level_lag
 
 NO, RECONF, REPLACE = "NO_ACTION", "RECONFIGURE", "REPLACE"
-LABEL_OF = F.create_map(*[x for k, v in config.ACTION_LABELS.items() for x in (F.lit(v), F.lit(k))])
+def label_of(name: Column) -> Column:
+    """Action name -> label id (fixed label map)."""
+    return F.create_map(*[x for k, v in config.ACTION_LABELS.items() for x in (F.lit(v), F.lit(k))])[name]
 
 
 def _first(df: DataFrame, names: Sequence[str]) -> str | None:
@@ -54,10 +56,13 @@ def canonical_type(df: DataFrame) -> DataFrame:
     """P11 + P8: ``Device_Type`` with fallback ``device_type`` -> canonical type A
     in one ``device_type`` column (Spark names are case-insensitive, so the
     raw column is replaced rather than kept beside it)."""
-    raw = [c for c in df.columns if c.lower() == "device_type"]
-    src = F.coalesce(*[F.col(c) for c in sorted(raw, key=lambda c: c != "Device_Type")]) if raw else F.lit(None)
-    keep = [c for c in df.columns if c.lower() != "device_type"]
-    return df.select(*keep, X.device_type_a(src).alias("device_type"))
+    names = [f"_dt{i}" if c.lower() == "device_type" else c for i, c in enumerate(df.columns)]
+    raw = [(n, c) for n, c in zip(names, df.columns) if n.startswith("_dt")]
+    d = df.toDF(*names)
+    ordered = [n for n, c in sorted(raw, key=lambda r: r[1] != "Device_Type")]
+    src = F.coalesce(*[F.col(n) for n in ordered]) if ordered else F.lit(None)
+    keep = [n for n in names if not n.startswith("_dt")]
+    return d.select(*keep, X.device_type_a(src).alias("device_type"))
 
 
 def label_flags(df: DataFrame, as_of: str = config.DEFAULT_AS_OF, battery_low: float = 20.0,
@@ -159,7 +164,7 @@ def label_actions(df: DataFrame, types: Sequence[str] = config.ACTIVE_ML_TYPES,
            .when((rc == 1) & ((c > 30) | f("intermittent_flag")), RECONF)
            .when((rc == 0) & (((c > 7) & (c <= 90)) | f("intermittent_flag") | coord | f("offline_flag")), RECONF))
     name = F.coalesce(F.when(t == "ZM1", zm1).when(t == "MM3", mm3).when(t == "UM3+", um3), F.lit(NO))
-    return df.select("*", name.alias("action_name")).select("*", LABEL_OF[F.col("action_name")].alias("action_label"))
+    return df.select("*", name.alias("action_name")).select("*", label_of(F.col("action_name")).alias("action_label"))
 
 
 # ------------------------------------------------------------ prediction ---
@@ -233,7 +238,7 @@ def rule_actions(df: DataFrame, type_col: str = "device_type") -> tuple[Column,
               .when(t == "UM3+", g("offline_flag") | g("intermittent_flag") | cm | ((ca > 7) & (ca <= 90)))
               .otherwise(F.lit(False)))
     name = F.when(replace, REPLACE).when(relocate, RECONF).when(reconf, RECONF).otherwise(NO)
-    return name, LABEL_OF[name]
+    return name, label_of(name)
 
 
 def apply_confidence(df: DataFrame, threshold: float = config.CONFIDENCE_THRESHOLD,
@@ -253,7 +258,7 @@ def apply_age_override(df: DataFrame) -> DataFrame:
     keep = [c for c in df.columns if c not in ("PredictedActionName", "PredictedActionLabel", "AgeOverride")]
     name = F.when(past, F.lit(REPLACE)).otherwise(F.col("PredictedActionName"))
     return df.select(*keep, name.alias("PredictedActionName"), past.alias("AgeOverride")).select(
-        "*", F.coalesce(LABEL_OF[F.col("PredictedActionName")], F.lit(0)).alias("PredictedActionLabel"))
+        "*", F.coalesce(label_of(F.col("PredictedActionName")), F.lit(0)).alias("PredictedActionLabel"))
 
 
 def action_crosstab(df: DataFrame, type_col: str = "device_type", action_col: str = "PredictedActionName"
