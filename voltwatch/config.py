@@ -89,3 +89,6 @@ FEATURE_HEALTH_OUTPUT_COLUMNS = [
 
 # Largest row count we broadcast after an explicit size check.
 BROADCAST_MAX_ROWS = 2_000_000
+
+# Largest statistics table collected to a local relation (beyond: checkpoint).
+LOCAL_STATS_MAX_ROWS = 20_000

@@ -75,10 +75,11 @@ def with_class_weight(df: DataFrame, label: str, out: str = "class_weight") -> D
 
 def rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column], out: str = "_rank") -> DataFrame:
     """0-based rank inside each group without a per-group task: range-sort by
-    (groups, order), number rows per partition, then add per (partition,
-    group) offsets from a table of #partitions x #groups rows."""
+    (groups, order), number rows per partition, freeze that with a reliable
+    checkpoint, then add per (partition, group) offsets from a table of
+    #partitions x #groups rows."""
     s = df.orderBy(*[F.col(g) for g in groups], *order).select(
-        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")).checkpoint()
     pg = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = pg.select("_pid", *groups, "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

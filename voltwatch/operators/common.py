@@ -37,44 +37,66 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> DataFrame:
-    """Join a per-group statistics table back to rows.
+def materialize_small(stats: DataFrame, max_rows: int = config.LOCAL_STATS_MAX_ROWS) -> DataFrame:
+    """Evaluate a small statistics table once so later plans do not re-run it.
 
-    ``stats`` has one row per group.  When the caller proves a bound
-    (``max_rows``, e.g. one row per known device type) it is broadcast as is;
-    otherwise its size is checked first, with a shuffle join beyond the limit.
+    Up to ``max_rows`` rows are collected (bounded by ``limit``) into a local
+    relation that every consumer broadcasts; a bigger table is written once
+    with a reliable ``checkpoint()`` (``spark.checkpoint.dir``) and joined as
+    data.  Either way the source is scanned for the statistics exactly once.
     """
-    small = F.broadcast(stats) if max_rows is not None and max_rows <= config.BROADCAST_MAX_ROWS \
-        else broadcast_if_small(stats)
-    return null_safe_join(df, small, keys, "left")
+    rows = stats.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return F.broadcast(stats.sparkSession.createDataFrame(rows, stats.schema))
+    return broadcast_if_small(stats.checkpoint())
+
+
+def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join a per-group statistics table back to rows (see ``materialize_small``).
+
+    Group keys may be null (a file without a date is still one batch), so the
+    join is null-safe; the statistics side is small, so this is a broadcast.
+    """
+    return null_safe_join(df, materialize_small(stats), keys, "left")
 
 
 def two_level_lag(df: DataFrame, key: str | Sequence[str], bucket: Column, order: Sequence[Column],
                   cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
     """``lag(c, 1)`` per ``key`` in ``order`` without putting one key in one task.
 
-    Rows are windowed by (key, bucket) -- e.g. (device, day) -- so a hot key is
-    spread over many tasks.  The first row of each bucket takes the last row
-    of the key's previous non-empty bucket, found on a pre-aggregated table of
-    one row per (key, bucket) that is joined back on the same keys.
+    Rows are windowed by (key, bucket) -- e.g. (device, hour) -- so a hot key
+    is spread over many tasks.  The first row of each bucket takes the last
+    row of the key's previous non-empty bucket, found on a pre-aggregated
+    table of one row per (key, bucket).  Keys are replaced by non-null
+    surrogates (value + is-null flag) before the window, so the window's hash
+    partitioning already satisfies the join and the rows are shuffled once.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    dtypes = dict(df.dtypes)
+    sur = []
+    for i, k in enumerate(keys):
+        t = dtypes[k]
+        zero = (F.lit("") if t == "string" else F.lit(False) if t == "boolean"
+                else F.to_date(F.lit("1970-01-01")) if t == "date"
+                else F.lit("1970-01-01 00:00:00").cast(t) if t.startswith("timestamp") else F.lit(0).cast(t))
+        sur += [F.coalesce(F.col(k), zero).alias(f"__kv{i}"), F.col(k).isNull().alias(f"__kn{i}")]
+    knames = [f"__kv{i}" for i in range(len(keys))] + [f"__kn{i}" for i in range(len(keys))]
     b = "__bucket"
     rn = "__rn"
-    d = df.withColumn(b, bucket)
-    w = Window.partitionBy(*keys, b).orderBy(*order)
+    d = df.select("*", *sur, bucket.alias(b))
+    w = Window.partitionBy(*knames, b).orderBy(*order)
     lagged = d.select("*", *[F.lag(c, 1).over(w).alias(f"{prefix}{c}") for c in cols],
                       F.row_number().over(w).alias(rn))
     # last row of every (key, bucket): partial aggregation, no full group in one task
     ord_struct = F.struct(*order)
-    last = (d.groupBy(*keys, b)
+    last = (d.groupBy(*knames, b)
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ord_struct).alias("__last")))
-    wb = Window.partitionBy(*keys).orderBy(b)
-    prev_bucket = last.select(*keys, b, F.lag("__last", 1).over(wb).alias("__pb"))
-    out = null_safe_join(lagged, prev_bucket, keys + [b], "left")
+    wb = Window.partitionBy(*knames).orderBy(b)
+    prev_bucket = last.select(*knames, b, F.lag("__last", 1).over(wb).alias("__pb"))
+    out = lagged.join(prev_bucket, knames + [b], "left")
     fixed = [F.when(F.col(rn) == 1, F.col("__pb")[c]).otherwise(F.col(f"{prefix}{c}")).alias(f"{prefix}{c}")
              for c in cols]
-    keep = [c for c in lagged.columns if c not in {f"{prefix}{c}" for c in cols} | {rn, b}]
+    keep = [c for c in df.columns if c not in {f"{prefix}{c}" for c in cols}]
     return out.select(*keep, *fixed)
 
 

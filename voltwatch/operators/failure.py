@@ -101,11 +101,13 @@ def chrono_split(df: DataFrame, ts: str, frac: float = 0.8, tiebreak: Sequence[s
 
     A global rank without a single-partition window: range-sort, number rows
     inside each partition (monotonic id), and add the row offset of every
-    partition from a table of per-partition counts (#partitions rows).
+    partition from a table of per-partition counts (#partitions rows).  The
+    numbered frame is frozen with a reliable checkpoint first, so the counts
+    and the rows see the same partition layout.
     """
     order = [F.col(ts).asc_nulls_last()] + [F.col(c) for c in tiebreak]
     s = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
-                                  F.monotonically_increasing_id().alias("_mid"))
+                                  F.monotonically_increasing_id().alias("_mid")).checkpoint()
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

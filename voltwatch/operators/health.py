@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
@@ -170,10 +170,9 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     has_coord_missing = "coord_missing_flag" in raw_cols
     batch = [c for c in batch_cols]
     # statistics group: the three scored types, everything else as one group
-    # (unknown types score 0 and never read the statistics), so with no batch
-    # columns the statistics tables have at most 4 rows by construction
+    # (unknown types score 0 and never read the statistics): at most 4 rows
+    # per batch, materialised once and broadcast
     gkeys = batch + ["_stat_type"]
-    bound = 4 if not batch else None
 
     d = conform_readings(df)
     d = d.select("*", F.when(F.col(TYPE_STD).isin("ZM1", "UM3", "MM3"), F.col(TYPE_STD))
@@ -184,12 +183,9 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
 
     # A1 snapshots: latest reading per (batch, type) and per batch.
     snaps = d.groupBy(*gkeys).agg(F.max("Last_Heard_dt").alias("_snap_bt"))
-    if batch:
-        per_batch = snaps.groupBy(*batch).agg(F.max("_snap_bt").alias("_snap_b"))
-        snaps = null_safe_join(snaps, per_batch, batch, "left")
-    else:
-        snaps = snaps.crossJoin(snaps.agg(F.max("_snap_bt").alias("_snap_b")))
-    d = attach_stats(d, snaps, gkeys, bound)
+    # per-batch snapshot on the small table (<= 4 rows per batch), no self-join rescan
+    snaps = snaps.select("*", F.max("_snap_bt").over(Window.partitionBy(*batch)).alias("_snap_b"))
+    d = attach_stats(d, snaps, gkeys)
     snap = F.col("_snap_b") if snapshot_scope == "batch" else F.col("_snap_bt")
 
     # J1 install dates
@@ -305,7 +301,7 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     d = d.select("*", dist.alias("distance_drift_m"))
     d = d.select("*", X.flag(F.col("distance_drift_m") > config.GPS_JUMP_THRESHOLD_M).alias("gps_jump_flag"))
 
-    d = attach_stats(d, stats, gkeys, bound)
+    d = attach_stats(d, stats, gkeys)
 
     def n(key):
         name, cap = NORMALISED[key]
