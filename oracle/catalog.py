@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .export_sql import ALERT_SQL, EXPORT_SQL, J5_SQL, SUMMARY_SQL
+from .export_sql import ALERT_SQL, EXPORT_SQL, J5_SQL, SUMMARY_SQL, TTL_SQL
 from .health_sql import health_sql
 from .ml_sql import SQL as ML
 from .reports_sql import SQL as REPORTS
@@ -22,6 +22,7 @@ SQL: dict[str, str] = {
     "a26_export_summary": SUMMARY_SQL,
     "c13_alerts": ALERT_SQL,
     "j5_export_with_predictions": J5_SQL,
+    "c9_ttl": TTL_SQL,
 }
 SQL.update(REPORTS)
 SQL.update(ML)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from voltwatch.functions.categories import (AGE_BINS, AGE_LABELS, BATTERY_BINS, BATTERY_LABELS, DRAIN_BINS,
                                             DRAIN_LABELS, RISK_BINS, RISK_LABELS)
 
-from .adapter import cut, py_fixed, r6
+from .adapter import CTES, cut, py_fixed, r6
 from .health_sql import health_ctes
 from .labels_sql import PREDICT_PREFIXED
 from .timeseries_sql import profile_ctes
@@ -102,3 +102,16 @@ SELECT f.Serial, f.Device_Type_Standardized, {r6('f.risk_score_current')} AS ris
   CAST(p.offline_flag AS DOUBLE) AS offline_flag, CAST(p.days_since_last_report AS DOUBLE) AS days_since_last_report,
   '2024-01-31' AS export_date, 'voltwatch' AS data_source
 FROM profs f LEFT JOIN pr_p p ON p.Serial = f.Serial"""
+
+_BASE = (f"readings AS ({CTES['readings']}),\ninstall AS ({CTES['install']}),\n"
+         f"attempts AS ({CTES['attempts']})")
+TTL_SQL = "WITH " + _BASE + PREDICT_PREFIXED + f"""
+SELECT Serial, device_type,
+  {r6("CASE WHEN device_type = 'ZM1' AND BatteryLevel IS NOT NULL THEN BatteryLevel / 0.027 END")} AS ttl_days,
+  {r6("CASE WHEN device_type = 'ZM1' AND BatteryLevel IS NOT NULL THEN BatteryLevel / 0.027 / 30.44 END")} AS ttl_months,
+  {r6("CASE WHEN device_type = 'ZM1' AND BatteryLevel IS NOT NULL THEN BatteryLevel / 0.027 / 365.0 END")} AS ttl_years,
+  CASE WHEN NOT (device_type = 'ZM1' AND BatteryLevel IS NOT NULL) THEN 'Unknown'
+       WHEN BatteryLevel / 0.027 < 30 THEN 'Critical (<1 month)' WHEN BatteryLevel / 0.027 < 90 THEN 'Urgent (1-3 months)'
+       WHEN BatteryLevel / 0.027 < 180 THEN 'Soon (3-6 months)' WHEN BatteryLevel / 0.027 < 365 THEN 'Near (6-12 months)'
+       ELSE 'Future (>1 year)' END AS ttl_category
+FROM pr_l"""

@@ -22,9 +22,10 @@ def value_counts(df: DataFrame, by: str | Sequence[str]) -> DataFrame:
     """Counts per value and percent of all rows (total is a one-row aggregate)."""
     by = [by] if isinstance(by, str) else list(by)
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        *by, F.col("count").cast("long").alias("count"), (F.col("count") / F.col("_total") * 100.0).alias("pct"))
+    # the total comes from the small grouped table: one pass over the data
+    total = F.sum("count").over(Window.partitionBy())
+    return counts.select(*by, F.col("count").cast("long").alias("count"),
+                         (F.col("count") / total * 100.0).alias("pct"))
 
 
 def risk_stats(df: DataFrame, type_col: str = "Device_Type_Standardized") -> DataFrame:
@@ -144,9 +145,13 @@ def risk_category_report(df: DataFrame) -> DataFrame:
     """Devices and % per load-test risk bin (bins start at 0, so 0 drops), plus > 60 and > 80."""
     r = F.col("risk_score")
     cat = X.cut(r, LOAD_RISK_BINS, LOAD_RISK_LABELS)
-    total = df.agg(F.count(F.lit(1)).alias("_n"), F.count_if(r > 60).alias("_gt60"), F.count_if(r > 80).alias("_gt80"))
-    g = df.where(cat.isNotNull()).groupBy(cat.alias("risk_category")).agg(F.count(F.lit(1)).alias("devices"))
-    return g.crossJoin(F.broadcast(total)).select(
+    # one pass: group by category (null = outside the bins) and total over the <= 6 groups
+    g = df.groupBy(cat.alias("risk_category")).agg(F.count(F.lit(1)).alias("devices"),
+                                                   F.count_if(r > 60).alias("gt60"), F.count_if(r > 80).alias("gt80"))
+    allg = Window.partitionBy()
+    g = g.select("*", F.sum("devices").over(allg).alias("_n"), F.sum("gt60").over(allg).alias("_gt60"),
+                 F.sum("gt80").over(allg).alias("_gt80")).where(F.col("risk_category").isNotNull())
+    return g.select(
         "risk_category", F.col("devices").cast("long").alias("devices"),
         (F.col("devices") / F.col("_n") * 100.0).alias("pct"),
         F.col("_gt60").cast("long").alias("devices_over_60"), F.col("_gt80").cast("long").alias("devices_over_80"),

@@ -567,3 +567,15 @@ def j5_export_with_predictions(spark, sf_dir):
                     *[F.col(c).cast("double").alias(c) for c in ("coord_missing_flag", "battery_low_flag",
                                                                  "offline_flag", "days_since_last_report")],
                     F.date_format("export_date", "yyyy-MM-dd").alias("export_date"), "data_source")
+
+
+@register("c9_ttl")
+def c9_ttl(spark, sf_dir):
+    """Time-to-live of the latest reading per device (ZM1 battery / drain, others Unknown)."""
+    from ..functions import categories as C
+    from ..operators import labels as L
+    h = L.canonical_type(A.readings(spark, sf_dir))
+    latest = L.latest_per_device(h, "BatteryLatestReport", order_cols=["reading_id"])
+    cols = C.ttl(F.col("device_type") == "ZM1", "BatteryLevel", None)
+    return latest.select("Serial", "device_type", *[r6(c).alias(n) if n != "ttl_category" else c.alias(n)
+                                                    for n, c in cols.items()])
