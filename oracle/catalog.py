@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .export_sql import ALERT_SQL, EXPORT_SQL, J5_SQL, SUMMARY_SQL, TTL_SQL
 from .health_sql import health_sql
+from .misc_sql import SQL as MISC
 from .ml_sql import SQL as ML
 from .reports_sql import SQL as REPORTS
 from .labels_sql import CROSSTAB_SQL, LABEL_SQL, PREDICT_SQL
@@ -26,3 +27,4 @@ SQL: dict[str, str] = {
 }
 SQL.update(REPORTS)
 SQL.update(ML)
+SQL.update(MISC)

@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs as X
-from .common import attach_stats, broadcast_if_small, null_safe_join, two_level_lag
+from .common import attach_stats, two_level_lag
 
 TYPE_STD = "Device_Type_Standardized"
-INF = float("inf")
 
 
 # ----------------------------------------------------------------- conform --

@@ -579,3 +579,40 @@ def c9_ttl(spark, sf_dir):
     cols = C.ttl(F.col("device_type") == "ZM1", "BatteryLevel", None)
     return latest.select("Serial", "device_type", *[r6(c).alias(n) if n != "ttl_category" else c.alias(n)
                                                     for n, c in cols.items()])
+
+
+@register("w6_history_dedupe")
+def w6_history_dedupe(spark, sf_dir):
+    """W6/ST2/T33: one row per (Serial, report time) keeping the last ingested row;
+    report time falls back to Last_Heard, then the batch date."""
+    from ..operators.common import dedupe_keep
+    r = A.readings(spark, sf_dir)
+    key = F.coalesce(F.col("BatteryLatestReport"), F.col("Last_Heard"), F.col("batch_date").cast("timestamp"))
+    d = dedupe_keep(r.select("*", key.alias("report_key")), ["Serial", "report_key"], [F.col("reading_id")], "last")
+    return d.select("Serial", F.date_format("report_key", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("report_key"),
+                    "reading_id")
+
+
+@register("a15_reconfigure_counts")
+def a15_reconfigure_counts(spark, sf_dir):
+    """Reconfigure attempts and the last attempt per device."""
+    c = H.reconfigure_counts(A.attempts(spark, sf_dir))
+    return c.select("Serial", "reconfigure_count",
+                    F.date_format("last_reconfigure_time", "yyyy-MM-dd").alias("last_reconfigure_time"))
+
+
+# fixed values: raw device-type spellings used to exercise canonicalisation
+RAW_TYPES = ["ZM1", " um3 ", "M3", "U-M3", "None", "", None, "mm3", "UM3+", "NULL", "nan", "zm-1", "X9"]
+
+
+@register("p8_device_types")
+def p8_device_types(spark, sf_dir):
+    """Canonical type A and standard type B of dirty spellings, per reading."""
+    from ..functions import exprs as X
+    ev = A.table(spark, sf_dir, "events")
+    spell = F.element_at(F.array(*[F.lit(v).cast("string") for v in RAW_TYPES]),
+                         (F.col("user_id") % len(RAW_TYPES) + 1).cast("int"))
+    d = ev.select(F.col("event_id").alias("reading_id"), spell.alias("raw_type"))
+    return d.select("reading_id", "raw_type", X.device_type_a("raw_type").alias("type_a"),
+                    X.device_type_b(X.device_type_upper(F.col("raw_type"))).alias("type_b"),
+                    X.device_type_b(X.device_type_upper(F.col("raw_type")), "Unknown").alias("type_b_unknown"))
