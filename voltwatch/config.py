@@ -66,6 +66,45 @@ MISSING_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
 # Aliases of the misspelled temperature column.
 TEMPERATURE_ALIASES = ("LineTemperatrue", "LineTemperture", "LineTemp", "Line_Temperature")
 
+# Risk-reason texts (D5), in the order the rules are checked.  "{}" marks a
+# formatted number (comm days and drain as whole numbers, the rest with one
+# decimal, formatted like Python).
+REASON_TEXT = {
+    "reconf_once": "Reconfigure attempted 1 time",
+    "reconf_many": "Reconfigure attempted {} times",
+    "reconf_multiple": "Multiple reconfigure attempts - consider replacement after 48 hours if no improvement",
+    "missing_last_heard": "Missing Last_Heard date",
+    "gps_drift": "GPS drift detected - reconfigure recommended",
+    "gps_missing": "GPS coordinates missing - reconfigure recommended",
+    "zm1_drain_fast": "Battery draining fast ({}%/year)",
+    "zm1_drain_faster": "Battery draining faster than expected ({}%/year)",
+    "zm1_battery_missing": "Missing battery data - check telemetry",
+    "zm1_battery_low": "Battery critically low - reconfigure to verify",
+    "zm1_battery_low_after": "Battery still low after reconfigure - consider replacement after 48 hours if no improvement",
+    "mm3_critical": "CRITICAL: Current {}A exceeds max (850A)",
+    "mm3_overheat": "Overheating ({}C) - check ventilation",
+    "mm3_overheat_after": "Still overheating after reconfigure - consider replacement after 48 hours if no improvement",
+    "mm3_high": "High current ({}A) - investigate",
+    "mm3_low": "Low current ({}A) - check connection",
+    "mm3_zero": "Zero current detected - reconfigure sensor",
+    "mm3_offpeak": "High current during off-peak - investigate",
+    "mm3_life": "Device past 90% expected life ({} years) - plan replacement",
+    "mm3_no_comm": "No communication for {} days",
+    "mm3_comm_gap": "Long communication gap ({} days)",
+    "um3_no_comm": "No communication for {} days - reconfigure",
+    "um3_no_comm_after": "Still no communication after reconfigure - consider replacement after 48 hours if no improvement",
+    "um3_comm_persists": "Communication issue persists after reconfigure",
+    "um3_comm_delay": "Communication delay ({} days)",
+    "um3_life": "Device past 90% expected life - plan replacement",
+    "normal": "Normal operating conditions",
+}
+
+# Trust-stack rule texts (D14), in rule order.
+TRUST_RULE_TEXT = ["Battery <20%", "Battery <10%", "Battery <20% AND not heard >3d", "Not heard >7d",
+                   "LineCurrent=0 with low battery", "LineCurrent=0 AND not heard >3d", "Temperature >85C",
+                   "Temperature <-20C", "Installed/Active but LineCurrent=0"]
+TRUST_NO_RULE = "No rule triggered"
+
 # Fixed reference date used by tests and queries instead of wall clock.
 DEFAULT_AS_OF = "2024-01-31"
 

@@ -12,6 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import exprs as X
 
 OFFLINE_SPELLINGS = ("OFFLINE", "OFF LINE", "OFF-LINE")
@@ -130,18 +131,17 @@ def rule_score(df: DataFrame, battery: str = "BatteryLevel", days: str = "days_s
     def c(name):
         return X.to_num(F.col(name)) if name in df.columns else F.lit(None).cast("double")
     b, d, cur, t = c(battery), c(days), c(current), c(temp)
-    rules = [(b < 20, 35, "Battery <20%"), (b < 10, 30, "Battery <10%"),
-             ((b < 20) & (d > 3), 25, "Battery <20% AND not heard >3d"), (d > 7, 25, "Not heard >7d"),
-             ((cur == 0) & (b < 30), 25, "LineCurrent=0 with low battery"),
-             ((cur == 0) & (d > 3), 20, "LineCurrent=0 AND not heard >3d"),
-             (t > 85, 20, "Temperature >85C"), (t < -20, 20, "Temperature <-20C")]
+    txt = config.TRUST_RULE_TEXT
+    rules = [(b < 20, 35, txt[0]), (b < 10, 30, txt[1]), ((b < 20) & (d > 3), 25, txt[2]), (d > 7, 25, txt[3]),
+             ((cur == 0) & (b < 30), 25, txt[4]), ((cur == 0) & (d > 3), 20, txt[5]),
+             (t > 85, 20, txt[6]), (t < -20, 20, txt[7])]
     if status and status in df.columns:
         s = F.lower(F.col(status).cast("string"))
-        rules.append((s.isin("installed", "active") & (cur == 0), 10, "Installed/Active but LineCurrent=0"))
+        rules.append((s.isin("installed", "active") & (cur == 0), 10, txt[8]))
     score = F.lit(0.0)
     for cond, pts, _ in rules:
         score = score + F.when(F.coalesce(cond, F.lit(False)), F.lit(float(pts))).otherwise(F.lit(0.0))
     score = F.least(F.lit(100.0), F.greatest(F.lit(0.0), score))
     reasons = F.concat_ws("; ", *[F.when(F.coalesce(cond, F.lit(False)), F.lit(txt)) for cond, _, txt in rules])
     return df.select("*", score.alias("rule_risk_score"), (score >= threshold).cast("int").alias("rule_label"),
-                     F.when(reasons == "", F.lit("No rule triggered")).otherwise(reasons).alias("rule_reasons"))
+                     F.when(reasons == "", F.lit(config.TRUST_NO_RULE)).otherwise(reasons).alias("rule_reasons"))

@@ -362,6 +362,15 @@ def _if(cond: Column, text: Column | str) -> Column:
     return F.when(F.coalesce(cond, F.lit(False)), t)
 
 
+def _txt(key: str, *nums: Column) -> Column:
+    """Reason text from ``config.REASON_TEXT`` with formatted numbers spliced in."""
+    parts = config.REASON_TEXT[key].split("{}")
+    out = [F.lit(parts[0])]
+    for n, tail in zip(nums, parts[1:]):
+        out += [n, F.lit(tail)]
+    return F.concat(*out) if len(out) > 1 else out[0]
+
+
 def with_risk_reason(df: DataFrame, coord_missing_flag: Column) -> DataFrame:
     """D5 reason text (see survey 9.1): reasons joined with ', '.
 
@@ -380,54 +389,50 @@ def with_risk_reason(df: DataFrame, coord_missing_flag: Column) -> DataFrame:
         X.py_fixed(F.col("pct_life_used") * 10.0, 1).alias("_years_txt"),
         (coord_missing_flag == 1).alias("_coord"),
     )
-    never_retry = "consider replacement after 48 hours if no improvement"
     lh_missing = F.col("Last_Heard_dt").isNull() | F.col("_lh_raw_missing")
     gps = F.col("gps_jump_flag") == 1
     coord = F.col("_coord")
     life_hi = F.col("pct_life_used") > 0.9
     common = [
-        _if(rc == 1, "Reconfigure attempted 1 time"),
-        _if(rc > 1, F.format_string("Reconfigure attempted %d times", rc)),
-        _if(rc >= 2, "Multiple reconfigure attempts - " + never_retry),
-        _if(lh_missing, "Missing Last_Heard date"),
-        _if(gps, "GPS drift detected - reconfigure recommended"),
-        _if(coord, "GPS coordinates missing - reconfigure recommended"),
+        _if(rc == 1, _txt("reconf_once")),
+        _if(rc > 1, _txt("reconf_many", rc.cast("string"))),
+        _if(rc >= 2, _txt("reconf_multiple")),
+        _if(lh_missing, _txt("missing_last_heard")),
+        _if(gps, _txt("gps_drift")),
+        _if(coord, _txt("gps_missing")),
     ]
+    bat_missing, bat_low = F.col("_battery_missing"), F.col("battery_low_flag") == 1
     zm1 = [
-        _if(drain > 40, F.concat(F.lit("Battery draining fast ("), F.col("_drain_txt"), F.lit("%/year)"))),
-        _if((drain <= 40) & (drain > 20),
-            F.concat(F.lit("Battery draining faster than expected ("), F.col("_drain_txt"), F.lit("%/year)"))),
-        _if(F.col("_battery_missing"), "Missing battery data - check telemetry"),
-        _if(~F.col("_battery_missing") & (F.col("battery_low_flag") == 1) & (rc == 0),
-            "Battery critically low - reconfigure to verify"),
-        _if(~F.col("_battery_missing") & (F.col("battery_low_flag") == 1) & (rc > 0),
-            "Battery still low after reconfigure - " + never_retry),
+        _if(drain > 40, _txt("zm1_drain_fast", F.col("_drain_txt"))),
+        _if((drain <= 40) & (drain > 20), _txt("zm1_drain_faster", F.col("_drain_txt"))),
+        _if(bat_missing, _txt("zm1_battery_missing")),
+        _if(~bat_missing & bat_low & (rc == 0), _txt("zm1_battery_low")),
+        _if(~bat_missing & bat_low & (rc > 0), _txt("zm1_battery_low_after")),
     ]
     crit = F.col("critical_current_flag") == 1
     hot = F.col("overheat_flag") == 1
     high = F.col("high_current_flag") == 1
     low = F.col("low_current_flag") == 1
     cur_txt, temp_txt, cm_txt = F.col("_cur_txt"), F.col("_temp_txt"), F.col("_cm_txt")
-    first_match = (F.when(crit, F.concat(F.lit("CRITICAL: Current "), cur_txt, F.lit("A exceeds max (850A)")))
-                   .when(hot & (rc == 0), F.concat(F.lit("Overheating ("), temp_txt, F.lit("C) - check ventilation")))
-                   .when(hot, F.lit("Still overheating after reconfigure - " + never_retry))
-                   .when(high, F.concat(F.lit("High current ("), cur_txt, F.lit("A) - investigate")))
-                   .when(low, F.concat(F.lit("Low current ("), cur_txt, F.lit("A) - check connection"))))
+    first_match = (F.when(crit, _txt("mm3_critical", cur_txt))
+                   .when(hot & (rc == 0), _txt("mm3_overheat", temp_txt))
+                   .when(hot, _txt("mm3_overheat_after"))
+                   .when(high, _txt("mm3_high", cur_txt))
+                   .when(low, _txt("mm3_low", cur_txt)))
     um3 = [
-        _if((cm > 30) & (rc == 0), F.concat(F.lit("No communication for "), cm_txt, F.lit(" days - reconfigure"))),
-        _if((cm > 90) & (rc > 0), "Still no communication after reconfigure - " + never_retry),
-        _if((cm <= 90) & (cm > 30) & (rc > 0), "Communication issue persists after reconfigure"),
-        _if((cm <= 30) & (cm > 7), F.concat(F.lit("Communication delay ("), cm_txt, F.lit(" days)"))),
-        _if(gps, "GPS drift detected - reconfigure recommended"),
-        _if(coord, "GPS coordinates missing - reconfigure recommended"),
-        _if(life_hi, "Device past 90% expected life - plan replacement"),
+        _if((cm > 30) & (rc == 0), _txt("um3_no_comm", cm_txt)),
+        _if((cm > 90) & (rc > 0), _txt("um3_no_comm_after")),
+        _if((cm <= 90) & (cm > 30) & (rc > 0), _txt("um3_comm_persists")),
+        _if((cm <= 30) & (cm > 7), _txt("um3_comm_delay", cm_txt)),
+        _if(gps, _txt("gps_drift")),
+        _if(coord, _txt("gps_missing")),
+        _if(life_hi, _txt("um3_life")),
     ]
     suffix = F.concat_ws(
         " | ",
-        _if(life_hi, F.concat(F.lit("Device past 90% expected life ("), F.col("_years_txt"),
-                              F.lit(" years) - plan replacement"))),
-        _if(cm > 90, F.concat(F.lit("No communication for "), cm_txt, F.lit(" days"))),
-        _if((cm <= 90) & (cm > 30), F.concat(F.lit("Long communication gap ("), cm_txt, F.lit(" days)"))),
+        _if(life_hi, _txt("mm3_life", F.col("_years_txt"))),
+        _if(cm > 90, _txt("mm3_no_comm", cm_txt)),
+        _if((cm <= 90) & (cm > 30), _txt("mm3_comm_gap", cm_txt)),
     )
     dev = F.col("Device_Type")
     notnull = lambda x: x.isNotNull()
@@ -440,8 +445,8 @@ def with_risk_reason(df: DataFrame, coord_missing_flag: Column) -> DataFrame:
     # MM3: zero / off-peak only when nothing else was said, then life/comm are
     # appended to the first reason with " | ".
     d = d.select("*", F.concat("_common", "_typed").alias("_base"))
-    zero_or_peak = (F.when(F.col("zero_current_flag") == 1, F.lit("Zero current detected - reconfigure sensor"))
-                    .when(F.col("high_offpeak_flag") == 1, F.lit("High current during off-peak - investigate")))
+    zero_or_peak = (F.when(F.col("zero_current_flag") == 1, _txt("mm3_zero"))
+                    .when(F.col("high_offpeak_flag") == 1, _txt("mm3_offpeak")))
     base = F.col("_base")
     d = d.select("*", F.when((F.size(base) == 0) & zero_or_peak.isNotNull(), F.array(zero_or_peak))
                  .otherwise(base).alias("_mm3_base"))
@@ -453,8 +458,7 @@ def with_risk_reason(df: DataFrame, coord_missing_flag: Column) -> DataFrame:
     final = F.when(dev.contains("ZM1"), base).when(dev.contains("MM3"), mm3_list).otherwise(base)
     d = d.select("*", final.alias("_reasons"))
     r = F.col("_reasons")
-    return d.select("*", F.when(F.size(r) == 0, F.lit("Normal operating conditions"))
-                    .otherwise(F.array_join(r, ", ")).alias("risk_reason"))
+    return d.select("*", F.when(F.size(r) == 0, _txt("normal")).otherwise(F.array_join(r, ", ")).alias("risk_reason"))
 
 
 def get_top_risk_devices(df: DataFrame, n: int = 15, tiebreak: Sequence[str] = ()) -> DataFrame:
