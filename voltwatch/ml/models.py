@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs as X
+from ..operators.common import reliable_checkpoint
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint", "boolean")
 DEFAULT_DROP = ["Region", "Substation", "Feeder", "Site", "Phase", "IP_Address", "NetworkGroup", "Profile_Name",
@@ -79,7 +80,7 @@ def rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column], o
     checkpoint, then add per (partition, group) offsets from a table of
     #partitions x #groups rows."""
     s = df.orderBy(*[F.col(g) for g in groups], *order).select(
-        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")).checkpoint()
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")).transform(reliable_checkpoint)
     pg = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = pg.select("_pid", *groups, "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
@@ -125,13 +126,13 @@ def train_action_models(df: DataFrame, params: ActionParams = ActionParams(), ty
         sub = with_class_weight(stratified_split(sub, label, params.test_size, params.seed, key=["Serial"]
                                                  if "Serial" in sub.columns else ()), label)
         # tree induction makes one pass per level: cut the lineage once (reliable checkpoint)
-        sub = sub.select(label, "class_weight", "is_test", *feats).checkpoint()
+        sub = sub.select(label, "class_weight", "is_test", *feats).transform(reliable_checkpoint)
         train, test = sub.where(~F.col("is_test")), sub.where("is_test")
         rf = RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="class_weight",
                                     numTrees=params.num_trees, maxDepth=params.max_depth,
                                     minInstancesPerNode=params.min_instances_per_node, seed=params.seed)
         model = Pipeline(stages=[_assembler(feats), rf]).fit(train)
-        out[t] = {"model": model, "features": feats, "test": predict(model, test).checkpoint()}
+        out[t] = {"model": model, "features": feats, "test": predict(model, test).transform(reliable_checkpoint)}
     return out
 
 
@@ -173,7 +174,7 @@ def train_failure_model(ds: DataFrame, feats: Sequence[str], params: FailurePara
     if n_classes < 2:
         raise ValueError("failure model needs both classes in the data")
     d = with_class_weight(stratified_split(ds, label, params.test_size, params.seed, key=["Serial", "date"]), label)
-    d = d.checkpoint()
+    d = d.transform(reliable_checkpoint)
     train, test = d.where(~F.col("is_test")), d.where("is_test")
     rf = RandomForestClassifier(labelCol=label, featuresCol="scaled", weightCol="class_weight",
                                 numTrees=params.num_trees, maxDepth=params.max_depth,
@@ -187,7 +188,7 @@ def train_failure_model(ds: DataFrame, feats: Sequence[str], params: FailurePara
         res["cv_auc_mean"] = float(cvm.avgMetrics[0])
         res["cv_auc_2std"] = float(2 * (cvm.stdMetrics[0] if cvm.stdMetrics else 0.0))
     model = pipe.fit(train)
-    res.update(model=model, test=predict(model, test).checkpoint(), features=list(feats))
+    res.update(model=model, test=predict(model, test).transform(reliable_checkpoint), features=list(feats))
     return res
 
 
@@ -326,7 +327,7 @@ def trust_stack(df: DataFrame, label_col: str | None = None, date_col: str = "La
     d = d.select(*[c for c in d.columns if c not in feats], *[X.to_num(F.col(c)).alias(c) for c in feats],
                  F.col(lab).cast("int").alias("_y"))
     split = chrono_split(d, date_col, train_frac, tiebreak=[c for c in ("reading_id",) if c in d.columns])
-    split = split.checkpoint()
+    split = split.transform(reliable_checkpoint)
     train, test = median_impute(split.where("is_train"), split.where("not is_train"), feats)
     asm = _assembler(feats)
     dt = Pipeline(stages=[asm, DecisionTreeClassifier(labelCol="_y", maxDepth=3, seed=seed)]).fit(train)

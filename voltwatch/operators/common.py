@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from .. import config
 
 
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Eager checkpoint into the session's ``spark.checkpoint.dir`` (a shared
+    folder on a cluster); a scratch folder is only chosen in local mode when
+    nothing is configured.  Never ``localCheckpoint``: executors may be lost."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def broadcast_if_small(small: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
     """Return ``small`` hinted for broadcast only after counting it.
 
@@ -48,7 +57,7 @@ def materialize_small(stats: DataFrame, max_rows: int = config.LOCAL_STATS_MAX_R
     rows = stats.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
         return F.broadcast(stats.sparkSession.createDataFrame(rows, stats.schema))
-    return broadcast_if_small(stats.checkpoint())
+    return broadcast_if_small(reliable_checkpoint(stats))
 
 
 def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs as X
+from .common import reliable_checkpoint
 
 OFFLINE_SPELLINGS = ("OFFLINE", "OFF LINE", "OFF-LINE")
 ML_FEATURES = ["battery_level", "LineTemperature_val", "LineCurrent_val", "device_age_months", "comm_age_days",
@@ -108,7 +109,7 @@ def chrono_split(df: DataFrame, ts: str, frac: float = 0.8, tiebreak: Sequence[s
     """
     order = [F.col(ts).asc_nulls_last()] + [F.col(c) for c in tiebreak]
     s = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
-                                  F.monotonically_increasing_id().alias("_mid")).checkpoint()
+                                  F.monotonically_increasing_id().alias("_mid")).transform(reliable_checkpoint)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
