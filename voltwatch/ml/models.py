@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs as X
-from ..operators.common import reliable_checkpoint
+from ..operators.common import materialize_small, reliable_checkpoint
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint", "boolean")
 DEFAULT_DROP = ["Region", "Substation", "Feeder", "Site", "Phase", "IP_Address", "NetworkGroup", "Profile_Name",
@@ -226,7 +226,9 @@ def recommendations(importances: DataFrame) -> DataFrame:
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """M5: per-class precision / recall / F1 / support, accuracy, macro and
     weighted averages (0 on division by zero); pure aggregates."""
-    cm = df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    # the confusion matrix has #classes^2 rows: evaluate the predictions once
+    cm = materialize_small(df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
+                           .agg(F.count(F.lit(1)).alias("n")))
     classes = cm.select(F.col("y").alias("c")).union(cm.select(F.col("p").alias("c"))).distinct()
     per = (classes.join(cm, (cm.y == classes.c) | (cm.p == classes.c), "left")
            .groupBy("c").agg(F.sum(F.when((F.col("y") == F.col("c")) & (F.col("p") == F.col("c")), F.col("n"))
@@ -265,8 +267,8 @@ def score_histogram(df: DataFrame, label: str, score: str) -> DataFrame:
     The running sums run over the aggregated histogram (one row per distinct
     score: rule scores and forest probabilities take few values), never over
     the rows themselves."""
-    h = df.groupBy(F.col(score).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("pos"),
-                                                F.sum((1 - F.col(label)).cast("long")).alias("neg"))
+    h = materialize_small(df.groupBy(F.col(score).alias("s")).agg(
+        F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")))
     w = Window.orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
     return h.select("*", F.sum("pos").over(w).alias("cum_pos"), F.sum("neg").over(w).alias("cum_neg"))
 
@@ -274,7 +276,7 @@ def score_histogram(df: DataFrame, label: str, score: str) -> DataFrame:
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """(threshold, FPR, TPR) per distinct score, descending."""
     h = score_histogram(df, label, score)
-    tot = df.agg(F.sum(F.col(label).cast("long")).alias("P"), F.sum((1 - F.col(label)).cast("long")).alias("N"))
+    tot = h.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     j = h.crossJoin(F.broadcast(tot))
     return j.select(F.col("s").alias("threshold"),
                     F.when(F.col("N") > 0, F.col("cum_neg") / F.col("N")).alias("fpr"),
@@ -284,11 +286,14 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
 def binary_metrics(df: DataFrame, label: str, pred: str, score: str) -> DataFrame:
     """Accuracy, precision, recall, F1 and rank-based ROC-AUC (ties count
     half; null with one class)."""
-    y, p = F.col(label), F.col(pred)
-    base = df.agg(F.count(F.lit(1)).alias("n"), F.sum(((y == 1) & (p == 1)).cast("long")).alias("tp"),
-                  F.sum(((y == 0) & (p == 1)).cast("long")).alias("fp"),
-                  F.sum(((y == 1) & (p == 0)).cast("long")).alias("fn"),
-                  F.sum((y == p).cast("long")).alias("ok"), F.sum(y.cast("long")).alias("P"))
+    # one pass: a small table of (label, prediction) counts, and the score histogram
+    yp = materialize_small(df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
+                           .agg(F.count(F.lit(1)).alias("c")))
+    y, p, c = F.col("y"), F.col("p"), F.col("c")
+    base = yp.agg(F.sum(c).alias("n"), F.sum(F.when((y == 1) & (p == 1), c).otherwise(0)).alias("tp"),
+                  F.sum(F.when((y == 0) & (p == 1), c).otherwise(0)).alias("fp"),
+                  F.sum(F.when((y == 1) & (p == 0), c).otherwise(0)).alias("fn"),
+                  F.sum(F.when(y == p, c).otherwise(0)).alias("ok"), F.sum(F.when(y == 1, c).otherwise(0)).alias("P"))
     h = score_histogram(df, label, score)
     # pairs (positive, negative) ranked correctly, ties count half
     auc_num = h.agg(F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") * 0.5)).alias("num"))

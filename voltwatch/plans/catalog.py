@@ -190,7 +190,9 @@ def a12_action_crosstab(spark, sf_dir):
 def export_rows(spark, sf_dir):
     from ..operators import export as X_
     from ..operators import timeseries as T
-    prof = T.device_profiles(daily(spark, sf_dir))
+    from ..operators.common import reliable_checkpoint
+    # profiles feed both the rows and the fleet KPIs: written once, read twice
+    prof = reliable_checkpoint(T.device_profiles(daily(spark, sf_dir)))
     return X_.with_global_kpis(X_.with_categories(prof, AS_OF))
 
 
