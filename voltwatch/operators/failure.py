@@ -50,11 +50,14 @@ def label_lookahead(df: DataFrame, key: str = "Serial", date_col: str = "date",
     return d
 
 
-def ml_features(df: DataFrame) -> DataFrame:
-    """D13 + A16: engineered failure-model features over the whole frame."""
+def ml_features(df: DataFrame, exact: bool = True) -> DataFrame:
+    """D13 + A16: engineered failure-model features over the whole frame.
+
+    The 75 % quantiles are exact (linear, as pandas) by default; ``exact=False``
+    uses a bounded-memory sketch for continuous columns at large scale."""
+    q = (lambda c: F.percentile(c, 0.75)) if exact else (lambda c: F.percentile_approx(c, 0.75, 10000))
     stats = df.agg(F.max("device_age_months").alias("_max_age"),
-                   F.percentile("device_age_months", 0.75).alias("_old_q"),
-                   F.percentile("LineTemperature_val", 0.75).alias("_hot_q"))
+                   q("device_age_months").alias("_old_q"), q("LineTemperature_val").alias("_hot_q"))
     d = df.crossJoin(F.broadcast(stats))
     bat, tmp, age, comm = (F.col(c) for c in ("battery_level", "LineTemperature_val", "device_age_months",
                                                "comm_age_days"))

@@ -22,10 +22,11 @@ def value_counts(df: DataFrame, by: str | Sequence[str]) -> DataFrame:
     """Counts per value and percent of all rows (total is a one-row aggregate)."""
     by = [by] if isinstance(by, str) else list(by)
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("count"))
-    # the total comes from the small grouped table: one pass over the data
-    total = F.sum("count").over(Window.partitionBy())
-    return counts.select(*by, F.col("count").cast("long").alias("count"),
-                         (F.col("count") / total * 100.0).alias("pct"))
+    # the total is aggregated from the grouped table (its shuffle is reused),
+    # not from a second pass over the data nor from a one-partition window
+    total = counts.agg(F.sum("count").alias("_total"))
+    return counts.crossJoin(F.broadcast(total)).select(
+        *by, F.col("count").cast("long").alias("count"), (F.col("count") / F.col("_total") * 100.0).alias("pct"))
 
 
 def risk_stats(df: DataFrame, type_col: str = "Device_Type_Standardized") -> DataFrame:
@@ -38,11 +39,18 @@ def risk_stats(df: DataFrame, type_col: str = "Device_Type_Standardized") -> Dat
         (F.count_if(r > 0) / F.count(F.lit(1)) * 100.0).alias("risk_positive_pct"))
 
 
-def describe(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
+def _quantile(x: Column, p, exact: bool) -> Column:
+    """Exact quantile (value->count map per group: bounded by the number of
+    distinct values, e.g. rounded scores) or a bounded-memory sketch."""
+    return F.percentile(x, p) if exact else F.percentile_approx(x, p, 10000)
+
+
+def describe(df: DataFrame, c: str, by: Sequence[str] = (), exact: bool = True) -> DataFrame:
     """Count, min, max, mean, median, sample std."""
     x = F.col(c)
     return df.groupBy(*by).agg(F.count(x).cast("long").alias("count"), F.min(x).alias("min"), F.max(x).alias("max"),
-                               F.avg(x).alias("mean"), F.median(x).alias("median"), F.stddev_samp(x).alias("std"))
+                               F.avg(x).alias("mean"), _quantile(x, 0.5, exact).alias("median"),
+                               F.stddev_samp(x).alias("std"))
 
 
 def age_bucket(months: Column) -> Column:
@@ -115,9 +123,9 @@ def histogram(df: DataFrame, c: str, n: int = 20) -> DataFrame:
                     (F.sum("count").over(tot) / F.sum("count").over(allw)).alias("ecdf"))
 
 
-def five_numbers(df: DataFrame, by: str, c: str) -> DataFrame:
-    """Min, q1, median, q3, max per group (exact, linear interpolation)."""
-    q = F.percentile(F.col(c), F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]))
+def five_numbers(df: DataFrame, by: str, c: str, exact: bool = True) -> DataFrame:
+    """Min, q1, median, q3, max per group (exact linear interpolation, or a sketch)."""
+    q = _quantile(F.col(c), F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]), exact)
     g = df.where(F.col(c).isNotNull()).groupBy(by).agg(q.alias("_q"))
     return g.select(by, *[F.col("_q")[i].alias(n) for i, n in enumerate(("min", "q1", "median", "q3", "max"))])
 
@@ -148,9 +156,8 @@ def risk_category_report(df: DataFrame) -> DataFrame:
     # one pass: group by category (null = outside the bins) and total over the <= 6 groups
     g = df.groupBy(cat.alias("risk_category")).agg(F.count(F.lit(1)).alias("devices"),
                                                    F.count_if(r > 60).alias("gt60"), F.count_if(r > 80).alias("gt80"))
-    allg = Window.partitionBy()
-    g = g.select("*", F.sum("devices").over(allg).alias("_n"), F.sum("gt60").over(allg).alias("_gt60"),
-                 F.sum("gt80").over(allg).alias("_gt80")).where(F.col("risk_category").isNotNull())
+    tot = g.agg(F.sum("devices").alias("_n"), F.sum("gt60").alias("_gt60"), F.sum("gt80").alias("_gt80"))
+    g = g.where(F.col("risk_category").isNotNull()).crossJoin(F.broadcast(tot))
     return g.select(
         "risk_category", F.col("devices").cast("long").alias("devices"),
         (F.col("devices") / F.col("_n") * 100.0).alias("pct"),
