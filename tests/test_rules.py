@@ -100,3 +100,17 @@ def test_label_rules_last_writer_wins(spark):
     ]
     assert _label(spark, rows) == {"Z1": "RECONFIGURE", "Z2": "REPLACE", "Z3": "REPLACE", "M1": "RECONFIGURE",
                                    "M2": "REPLACE", "M3": "RECONFIGURE", "M4": "NO_ACTION"}
+
+
+@pytest.mark.parametrize("batch", [[], ["batch_date"]])
+def test_single_pass_equals_two_pass(spark, batch):
+    from voltwatch.sources import adapter as A
+    sf = "/root/testdata/sf0.001"
+    args = dict(install=A.install_dates(spark, sf), attempts=A.attempts(spark, sf), batch_cols=batch,
+                order_cols=["reading_id"])
+    cols = ["reading_id", "comm_age_days", "pct_life_used", "battery_report_age_days", "age_adjusted_battery_risk",
+            "maintenance_urgency_score", "risk_score_zm1", "risk_score_um3", "risk_score_mm3", "risk_score",
+            "risk_reason"]
+    one = build_health_features(A.readings(spark, sf), **args).select(cols)
+    two = build_health_features(A.readings(spark, sf), stats_mode="two_pass", **args).select(cols)
+    assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0

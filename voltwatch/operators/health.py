@@ -148,10 +148,112 @@ def with_reconfigure(df: DataFrame, attempts: DataFrame | None) -> DataFrame:
                     (rc > 0).alias("reconfigure_attempted"))
 
 
+# ---------------------------------------------------- shared row formulas --
+# The per-row features and the single-pass statistics use the same builders,
+# so the derived extremes are bit-identical to the per-row values.
+
+def _f_comm(snap: Column, lh: Column) -> Column:
+    return X.clip(X.days_between(snap, lh), hi=365.0)
+
+
+def _f_report(snap_bt: Column, blr: Column) -> Column:
+    return F.coalesce(X.days_between(snap_bt, blr), F.lit(0.0))
+
+
+def _f_life(snap: Column, inst: Column, lifetime: Column) -> Column:
+    return X.clip(F.coalesce(X.clip(X.days_between(snap, inst) / lifetime, 0.0, 1.0), F.lit(0.0)), hi=1.0)
+
+
+def _f_months(snap: Column, inst: Column) -> Column:
+    return F.coalesce(X.days_between(snap, inst) / config.DAYS_PER_MONTH, F.lit(0.0))
+
+
+def _f_aabr(rate: Column, months: Column) -> Column:
+    return X.clip(F.coalesce(rate * (months / 24.0), F.lit(0.0)), hi=100.0)
+
+
+def _f_urgency(rate: Column, months: Column) -> Column:
+    age_comp = X.clip(F.coalesce(months / 120.0, F.lit(0.0)), hi=1.0)
+    bat_comp = X.clip(rate / 20.0, hi=1.0)
+    return X.np_round(X.clip(age_comp * 0.4 + bat_comp * 0.6, hi=1.0), 3)
+
+
+def _f_cur(c: Column) -> Column:
+    return X.clip(F.coalesce(c, F.lit(0.0)), hi=1000.0)
+
+
+def _f_temp(c: Column) -> Column:
+    return X.clip(F.coalesce(c, F.lit(0.0)), hi=100.0)
+
+
+def _single_pass_stats(d: DataFrame, gkeys: Sequence[str], batch: Sequence[str], snapshot_scope: str,
+                       has_install: bool) -> DataFrame:
+    """Snapshots and min-max statistics of every normalised input from one
+    aggregate of raw extremes per (batch, type).  Each input is a monotone
+    function of one raw column (comm and report age fall with the timestamp,
+    life / age terms with the install date, current and temperature rise
+    with the reading), and missing raw values map to one constant, so
+    min / max follow from min / max / null-count of the raw column."""
+    is_mm3_row = F.col(TYPE_STD) == "MM3"
+    fsum = ((_f_cur(F.col("_current")) > config.MM3_CURRENT_WARNING).cast("double")
+            + (_f_cur(F.col("_current")) > config.MM3_CURRENT_CRITICAL).cast("double")
+            + (_f_temp(F.col("_temperature")) > config.TEMP_LIMITS_C["MM3"]).cast("double"))
+    raw = d.groupBy(*gkeys).agg(
+        F.max("Last_Heard_dt").alias("_snap_bt"), F.min("Last_Heard_dt").alias("_lh_min"),
+        F.count(F.lit(1)).alias("_n"),
+        F.max("BatteryLatestReport_dt").alias("_blr_max"), F.min("BatteryLatestReport_dt").alias("_blr_min"),
+        F.count("BatteryLatestReport_dt").alias("_n_blr"),
+        F.max("InstallDate_dt").alias("_inst_max"), F.min("InstallDate_dt").alias("_inst_min"),
+        F.count("InstallDate_dt").alias("_n_inst"),
+        F.min("_current").alias("_cur_min"), F.max("_current").alias("_cur_max"), F.count("_current").alias("_n_cur"),
+        F.min("_temperature").alias("_tmp_min"), F.max("_temperature").alias("_tmp_max"),
+        F.count("_temperature").alias("_n_tmp"),
+        F.min(F.when(is_mm3_row, fsum).otherwise(F.lit(0.0))).alias("_mn_flags"),
+        F.max(F.when(is_mm3_row, fsum).otherwise(F.lit(0.0))).alias("_mx_flags"),
+    )
+    from .common import materialize_small
+    s = materialize_small(raw)  # <= 4 rows per batch
+    s = s.select("*", F.max("_snap_bt").over(Window.partitionBy(*batch)).alias("_snap_b"))
+    snap = F.col("_snap_b") if snapshot_scope == "batch" else F.col("_snap_bt")
+    t = F.col("_stat_type")
+    zero = F.lit(0.0)
+
+    def with_null(v: Column, n_col: str) -> Column:
+        return F.when(F.col("_n") > F.col(n_col), zero)
+
+    rate = X.clip(F.lit(0.0) * 365.0, lo=0.1)  # observed model without a drain column
+    if has_install:
+        life_lo = F.least(_f_life(snap, F.col("_inst_max"), X.expected_lifetime(t)), with_null(zero, "_n_inst"))
+        life_hi = F.greatest(_f_life(snap, F.col("_inst_min"), X.expected_lifetime(t)), with_null(zero, "_n_inst"))
+        months_lo = F.least(_f_months(snap, F.col("_inst_max")), with_null(zero, "_n_inst"))
+        months_hi = F.greatest(_f_months(snap, F.col("_inst_min")), with_null(zero, "_n_inst"))
+    else:
+        life_lo = life_hi = zero
+        months_lo = months_hi = zero
+    zm1, mm3 = t == "ZM1", t == "MM3"
+    rep_lo = F.least(_f_report(F.col("_snap_bt"), F.col("_blr_max")), with_null(zero, "_n_blr"))
+    rep_hi = F.greatest(_f_report(F.col("_snap_bt"), F.col("_blr_min")), with_null(zero, "_n_blr"))
+    cols = {
+        "_mn_comm": _f_comm(snap, F.col("_snap_bt")), "_mx_comm": _f_comm(snap, F.col("_lh_min")),
+        "_mn_report": F.when(zm1, X.clip(rep_lo, hi=180.0)).otherwise(zero),
+        "_mx_report": F.when(zm1, X.clip(rep_hi, hi=180.0)).otherwise(zero),
+        "_mn_life": life_lo, "_mx_life": life_hi,
+        "_mn_aabr": F.when(zm1, _f_aabr(rate, months_lo)).otherwise(zero),
+        "_mx_aabr": F.when(zm1, _f_aabr(rate, months_hi)).otherwise(zero),
+        "_mn_urgency": F.when(zm1, _f_urgency(rate, months_lo)).otherwise(zero),
+        "_mx_urgency": F.when(zm1, _f_urgency(rate, months_hi)).otherwise(zero),
+        "_mn_current": F.when(mm3, F.least(_f_cur(F.col("_cur_min")), with_null(zero, "_n_cur"))).otherwise(zero),
+        "_mx_current": F.when(mm3, F.greatest(_f_cur(F.col("_cur_max")), with_null(zero, "_n_cur"))).otherwise(zero),
+        "_mn_temp": F.when(mm3, F.least(_f_temp(F.col("_tmp_min")), with_null(zero, "_n_tmp"))).otherwise(zero),
+        "_mx_temp": F.when(mm3, F.greatest(_f_temp(F.col("_tmp_max")), with_null(zero, "_n_tmp"))).otherwise(zero),
+    }
+    return s.select(*gkeys, "_snap_bt", "_snap_b", *[c.alias(n) for n, c in cols.items()], "_mn_flags", "_mx_flags")
+
+
 def build_health_features(df: DataFrame, install: DataFrame | None = None, attempts: DataFrame | None = None,
                           batch_cols: Sequence[str] = ("batch_date",), snapshot_scope: str = "batch",
                           drain_model: str = "observed", install_dedupe: bool = True,
-                          order_cols: Sequence[str] = ()) -> DataFrame:
+                          order_cols: Sequence[str] = (), stats_mode: str = "auto") -> DataFrame:
     """Standardise, conform, ages, GPS drift, per-type scores, risk and reason.
 
     ``batch_cols`` is the scope of snapshots and min-max statistics (one
@@ -159,7 +261,8 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     ``snapshot_scope`` is ``"batch"`` (device/comm ages vs the batch's latest
     reading) or ``"batch_type"``.  ``drain_model`` is ``"observed"`` (parity)
     or ``"design"`` (T2).  ``order_cols`` breaks ties in time order (file row
-    order).
+    order).  ``stats_mode="two_pass"`` forces the generic statistics path
+    (the default picks one pass whenever the drain is constant).
     """
     raw_cols = set(df.columns)
     has_battery_col = "BatteryLevel" in raw_cols
@@ -180,14 +283,7 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     is_um3 = F.col(TYPE_STD) == "UM3"
     is_mm3 = F.col(TYPE_STD) == "MM3"
 
-    # A1 snapshots: latest reading per (batch, type) and per batch.
-    snaps = d.groupBy(*gkeys).agg(F.max("Last_Heard_dt").alias("_snap_bt"))
-    # per-batch snapshot on the small table (<= 4 rows per batch), no self-join rescan
-    snaps = snaps.select("*", F.max("_snap_bt").over(Window.partitionBy(*batch)).alias("_snap_b"))
-    d = attach_stats(d, snaps, gkeys)
-    snap = F.col("_snap_b") if snapshot_scope == "batch" else F.col("_snap_bt")
-
-    # J1 install dates
+    # J1 install dates (before the statistics: their extremes feed the ages)
     if install is not None:
         # dimension join: Spark's size estimate picks broadcast, else a
         # shuffle join that AQE splits when one device is hot
@@ -195,18 +291,36 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     else:
         d = d.select("*", F.lit(None).cast("timestamp").alias("InstallDate_dt"))
 
+    # With a constant drain (the parity default) every normalised input is a
+    # monotone function of one raw column, so all statistics come from one
+    # pass of raw extremes; other drain models take a second pass.
+    single_pass = drain_model == "observed" and not has_drain_col and stats_mode != "two_pass"
+    if single_pass:
+        stats = _single_pass_stats(d, gkeys, batch, snapshot_scope, install is not None)
+        # snapshots now; the min/max columns join after the lag shuffle so they
+        # do not travel through it (and keep the fused stage small)
+        d = attach_stats(d, stats.select(*gkeys, "_snap_bt", "_snap_b"), gkeys)
+        stats2 = stats.select(*gkeys, *[c for c in stats.columns if c.startswith(("_mn_", "_mx_"))])
+    else:
+        # A1 snapshots: latest reading per (batch, type) and per batch.
+        snaps = d.groupBy(*gkeys).agg(F.max("Last_Heard_dt").alias("_snap_bt"))
+        # per-batch snapshot on the small table (<= 4 rows per batch), no self-join rescan
+        snaps = snaps.select("*", F.max("_snap_bt").over(Window.partitionBy(*batch)).alias("_snap_b"))
+        d = attach_stats(d, snaps, gkeys)
+    snap = F.col("_snap_b") if snapshot_scope == "batch" else F.col("_snap_bt")
+
     lifetime = X.expected_lifetime(F.col(TYPE_STD))
-    comm = X.clip(X.days_between(snap, "Last_Heard_dt"), hi=365.0)
+    comm = _f_comm(snap, F.col("Last_Heard_dt"))
     if install is not None:
         age_days = X.days_between(snap, "InstallDate_dt")
-        life = X.clip(F.coalesce(X.clip(age_days / lifetime, 0.0, 1.0), F.lit(0.0)), hi=1.0)
+        life = _f_life(snap, F.col("InstallDate_dt"), lifetime)
     else:
         age_days = F.lit(None).cast("double")
         life = F.lit(0.0)
 
     # ZM1 battery, drain and urgency
     battery = F.col("_battery")
-    report_age = F.coalesce(X.days_between(F.col("_snap_bt"), "BatteryLatestReport_dt"), F.lit(0.0))
+    report_age = _f_report(F.col("_snap_bt"), F.col("BatteryLatestReport_dt"))
     months = F.coalesce(F.col("device_age_days") / config.DAYS_PER_MONTH, F.lit(0.0))
     if drain_model == "observed":
         observed = F.col("battery_drain_rate_per_day") if has_drain_col else F.lit(0.0)
@@ -225,8 +339,8 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     rate = X.clip(rate, lo=0.1)
 
     # MM3 line values and flags (D3)
-    cur = X.clip(F.coalesce(F.col("_current"), F.lit(0.0)), hi=1000.0)
-    temp = X.clip(F.coalesce(F.col("_temperature"), F.lit(0.0)), hi=100.0)
+    cur = _f_cur(F.col("_current"))
+    temp = _f_temp(F.col("_temperature"))
 
     d = d.select(
         "*",
@@ -266,11 +380,8 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
         "high_offpeak_flag": F.col("LineCurrent_val") > config.MM3_CURRENT_OFF_PEAK_MAX,
         "overheat_flag": F.col("LineTemperature_val") > config.TEMP_LIMITS_C["MM3"],
     }
-    aabr = X.clip(F.coalesce(F.col("battery_drain_rate") * (F.col("device_age_months") / 24.0), F.lit(0.0)),
-                  hi=100.0)
-    age_comp = X.clip(F.coalesce(F.col("device_age_months") / 120.0, F.lit(0.0)), hi=1.0)
-    bat_comp = X.clip(F.col("battery_drain_rate") / 20.0, hi=1.0)
-    urgency = X.np_round(X.clip(age_comp * 0.4 + bat_comp * 0.6, hi=1.0), 3)
+    aabr = _f_aabr(F.col("battery_drain_rate"), F.col("device_age_months"))
+    urgency = _f_urgency(F.col("battery_drain_rate"), F.col("device_age_months"))
     d = d.select(
         "*",
         F.col("aging_acceleration_factor").alias("battery_degradation_factor"),
@@ -281,12 +392,13 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     d = d.select("*", (F.col("high_current_flag") + F.col("critical_current_flag") + F.col("overheat_flag"))
                  .cast("double").alias("_mm3_flag_sum"))
 
-    # A2 min/max of every normalised input per (batch, type): one partial aggregate.
-    aggs = []
-    for key, (name, cap) in NORMALISED.items():
-        c = _capped(F.col(name), cap)
-        aggs += [F.min(c).alias(f"_mn_{key}"), F.max(c).alias(f"_mx_{key}")]
-    stats = d.groupBy(*gkeys).agg(*aggs)
+    if not single_pass:
+        # A2 min/max of every normalised input per (batch, type): one partial aggregate.
+        aggs = []
+        for key, (name, cap) in NORMALISED.items():
+            c = _capped(F.col(name), cap)
+            aggs += [F.min(c).alias(f"_mn_{key}"), F.max(c).alias(f"_mx_{key}")]
+        stats2 = d.groupBy(*gkeys).agg(*aggs)
 
     # W1 GPS drift on a (device, day) window (skew-safe lag).
     order = [F.col("Last_Heard_dt")] + [F.col(c) for c in order_cols]
@@ -300,11 +412,14 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     d = d.select("*", dist.alias("distance_drift_m"))
     d = d.select("*", X.flag(F.col("distance_drift_m") > config.GPS_JUMP_THRESHOLD_M).alias("gps_jump_flag"))
 
-    d = attach_stats(d, stats, gkeys)
+    d = attach_stats(d, stats2, gkeys)
+
+    # normalised inputs once per row (each feeds up to three type scores)
+    d = d.select("*", *[_norm(F.col(name), cap, f"_mn_{key}", f"_mx_{key}").alias(f"_n_{key}")
+                        for key, (name, cap) in NORMALISED.items()])
 
     def n(key):
-        name, cap = NORMALISED[key]
-        return _norm(F.col(name), cap, f"_mn_{key}", f"_mx_{key}")
+        return F.col(f"_n_{key}")
 
     lh_missing = F.col("Last_Heard_dt").isNull()
     inst_missing = F.col("InstallDate_dt").isNull()

@@ -152,10 +152,13 @@ def variance_frequency(df: DataFrame, key: str = "Serial") -> DataFrame:
 def risk_category_report(df: DataFrame) -> DataFrame:
     """Devices and % per load-test risk bin (bins start at 0, so 0 drops), plus > 60 and > 80."""
     r = F.col("risk_score")
-    cat = X.cut(r, LOAD_RISK_BINS, LOAD_RISK_LABELS)
+    # category and thresholds projected first: the aggregate then reads three
+    # plain columns instead of re-deriving the score once per bin edge
+    c = df.select(X.cut(r, LOAD_RISK_BINS, LOAD_RISK_LABELS).alias("risk_category"),
+                  (r > 60).cast("int").alias("_gt"), (r > 80).cast("int").alias("_gt2"))
     # one pass: group by category (null = outside the bins) and total over the <= 6 groups
-    g = df.groupBy(cat.alias("risk_category")).agg(F.count(F.lit(1)).alias("devices"),
-                                                   F.count_if(r > 60).alias("gt60"), F.count_if(r > 80).alias("gt80"))
+    g = c.groupBy("risk_category").agg(F.count(F.lit(1)).alias("devices"), F.sum("_gt").alias("gt60"),
+                                       F.sum("_gt2").alias("gt80"))
     tot = g.agg(F.sum("devices").alias("_n"), F.sum("gt60").alias("_gt60"), F.sum("gt80").alias("_gt80"))
     g = g.where(F.col("risk_category").isNotNull()).crossJoin(F.broadcast(tot))
     return g.select(
