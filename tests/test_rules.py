@@ -114,3 +114,33 @@ def test_single_pass_equals_two_pass(spark, batch):
     one = build_health_features(A.readings(spark, sf), **args).select(cols)
     two = build_health_features(A.readings(spark, sf), stats_mode="two_pass", **args).select(cols)
     assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
+
+
+def test_battery_trend_matches_polyfit(spark):
+    """X3 cross-check: built-in regr_slope trend == numpy polyfit per device (applyInPandas, test only)."""
+    import numpy as np
+    import pandas as pd
+    from voltwatch.plans.catalog import zm1_series
+    from voltwatch.operators import timeseries as TS
+
+    ts = zm1_series(spark, "/root/testdata/sf0.01").select("Serial", "date", "BatteryLevel")
+    got = {r["Serial"]: r for r in TS.battery_trend(ts).collect()}
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date")
+        x = (pd.to_datetime(pdf["date"]) - pd.to_datetime(pdf["date"].iloc[0])).dt.days.to_numpy(dtype=float)
+        y = pdf["BatteryLevel"].to_numpy(dtype=float)
+        if len(pdf) < 2 or x[-1] <= 0:
+            return pd.DataFrame({"Serial": [], "slope": [], "icpt": []})
+        slope, icpt = np.polyfit(x, y, 1) if not np.isnan(y).any() else (np.nan, np.nan)
+        return pd.DataFrame({"Serial": [pdf["Serial"].iloc[0]], "slope": [slope], "icpt": [icpt]})
+
+    ref = ts.groupBy("Serial").applyInPandas(fit, "Serial long, slope double, icpt double").collect()
+    assert len(ref) == len(got) > 0
+    for r in ref:
+        g = got[r["Serial"]]
+        if r["slope"] is None or np.isnan(r["slope"]):
+            assert g["trend_slope"] is None
+        else:
+            assert g["trend_slope"] == pytest.approx(r["slope"], rel=1e-9, abs=1e-9)
+            assert g["trend_intercept"] == pytest.approx(r["icpt"], rel=1e-9, abs=1e-9)
