@@ -152,10 +152,10 @@ def variance_frequency(df: DataFrame, key: str = "Serial") -> DataFrame:
 def risk_category_report(df: DataFrame) -> DataFrame:
     """Devices and % per load-test risk bin (bins start at 0, so 0 drops), plus > 60 and > 80."""
     r = F.col("risk_score")
-    # category and thresholds projected first: the aggregate then reads three
-    # plain columns instead of re-deriving the score once per bin edge
-    c = df.select(X.cut(r, LOAD_RISK_BINS, LOAD_RISK_LABELS).alias("risk_category"),
-                  (r > 60).cast("int").alias("_gt"), (r > 80).cast("int").alias("_gt2"))
+    # the score is bound once (it is a large expression): category and thresholds from one value
+    binned = X.let(r, lambda x: F.struct(X.cut(x, LOAD_RISK_BINS, LOAD_RISK_LABELS).alias("risk_category"),
+                                         (x > 60).cast("int").alias("_gt"), (x > 80).cast("int").alias("_gt2")))
+    c = df.select(binned.alias("_b")).select("_b.*")
     # one pass: group by category (null = outside the bins) and total over the <= 6 groups
     g = c.groupBy("risk_category").agg(F.count(F.lit(1)).alias("devices"), F.sum("_gt").alias("gt60"),
                                        F.sum("_gt2").alias("gt80"))
