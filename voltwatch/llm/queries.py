@@ -6,16 +6,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltwatch.llm import pii, sql
+from voltwatch.llm import bpe, langid, pii, quality, sql
 from voltwatch.llm.common import documents
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer's file on the driver; workers get its tables from the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_digest(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(documents(spark, sf_dir))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_bpe": op4_bpe,
+    "op6_language": op6_language,
     "op8_pii": op8_pii,
+    "op9_quality": op9_quality,
 }
 
 SQL: dict[str, str] = {
