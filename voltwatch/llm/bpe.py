@@ -36,6 +36,7 @@ LEXICON_SIZE = 65_536
 CACHE_WORDS, OUT_BYTES = 400_000, 4 << 20
 _NEVER = np.int32(2**31 - 1)
 _LONG = 64
+_FIELD, _ODD_SPACE = regex.compile(r"\p{White_Space}+"), regex.compile(r"[\x1c-\x1f]")
 
 
 def byte_characters() -> list[str]:
@@ -108,21 +109,27 @@ class Model:
                     heapq.heappush(heap, (k, l, ids[l], ids[r]))
         return np.array([i for i in ids if i >= 0], np.int32)
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word, by exact merges; words of like length in step."""
-        out: list = [None] * len(words)
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and how many each has, by exact merges; words of like length in step."""
+        places, flats, counts = [], [], []
         by_width: dict[int, list[int]] = {}
         for k, w in enumerate(words):
-            if len(w) > _LONG:
-                out[k] = self.merge_long(w)
-            else:
-                by_width.setdefault(-(-len(w) // 8) * 8, []).append(k)
+            by_width.setdefault(min(-(-len(w) // 8) * 8, _LONG + 1), []).append(k)
         for width, group in by_width.items():
             for at in range(0, len(group), 20_000):
                 some = group[at : at + 20_000]
-                for k, ids in zip(some, self._in_step([words[k] for k in some], width), strict=True):
-                    out[k] = ids
-        return out
+                if width > _LONG:
+                    long = [self.merge_long(words[k]) for k in some]
+                    flat, count = np.concatenate(long), np.array([len(x) for x in long])
+                else:
+                    flat, count = self._in_step([words[k] for k in some], width)
+                places.append(some)
+                flats.append(flat)
+                counts.append(count)
+        if not words:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        order = np.argsort(np.concatenate(places))
+        return take(np.concatenate(flats), np.concatenate(counts), order)
 
     def _in_step(self, words: list[bytes], width: int) -> list[np.ndarray]:
         n = len(words)
@@ -157,10 +164,18 @@ class Model:
             r, p = rows[has], prior[has]
             rank[r, p], made[r, p] = self.find(ids[r, p], ids[r, at[has]])
         keep = ids >= 0
-        return np.split(ids[keep], keep.sum(axis=1).cumsum()[:-1])
+        return ids[keep], keep.sum(axis=1)
+
 
+def take(flat: np.ndarray, counts: np.ndarray, order: np.ndarray, begins: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of ``flat`` (as long as ``counts`` says) in another order, and their lengths."""
+    begins = counts.cumsum() - counts if begins is None else begins
+    some = counts[order]
+    ends = some.cumsum()
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[order] - (ends - some), some)], some
 
-def build_automaton(words: list[bytes], ids: list[np.ndarray]) -> bytes:
+
+def build_automaton(words: list[bytes], ids: np.ndarray, counts: np.ndarray) -> bytes:
     """The minimal acyclic automaton of sorted distinct words, with their ids, as one block for a memory map."""
     register: dict[tuple, int] = {}
     states: list[tuple[bool, tuple]] = []  # (final, ((byte, target), ...))
@@ -198,10 +213,10 @@ def build_automaton(words: list[bytes], ids: list[np.ndarray]) -> bytes:
             outs.append(passed)
             passed += int(holds[target])
         holds[s] = passed
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
+    offsets = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
     parts = [
         np.array(keys, np.int64), np.array(targets, np.int64), np.array(outs, np.int64), np.array([f for f, _ in states], np.int64),
-        offsets, np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64), np.array([root], np.int64),
+        offsets, ids.astype(np.int64), np.array([root], np.int64),
     ]
     head = np.array([len(p) for p in parts], np.int64)
     return b"".join(x.tobytes() for x in (head, *parts))
@@ -247,12 +262,9 @@ class Automaton:
         out[order] = np.where((state >= 0) & (self.finals[state] == 1), place, -1)
         return out
 
-    def ids_of(self, place: int) -> np.ndarray:
-        return self.ids[self.offsets[place] : self.offsets[place + 1]]
-
 
 class Encoder:
-    """A worker's encoder: automaton first, exact merges for the rest, a bounded cache of both."""
+    """A worker's encoder: automaton first, exact merges for the rest, a bounded cache of what stands between spaces."""
 
     def __init__(self, model: Model, block: bytes):
         self.model, self.automaton = model, Automaton(block)
@@ -262,45 +274,52 @@ class Encoder:
 
     def clear(self) -> None:
         self.places: dict[str, int] = {}
-        self.found: list[np.ndarray] = []
-        for s, i in self.model.special.items():
-            self.places["\0" + s] = len(self.found)
-            self.found.append(np.array([i], np.int32))
+        self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    def split(self, text: str) -> list[str]:
+    def split(self, piece: str) -> list[str]:
+        """Words of a text without white space; a special token is marked by a leading NUL."""
+        if piece.isalpha() and piece.isascii():
+            return [piece.lower()]
         out: list[str] = []
-        pieces = self.marks.split(text) if self.marks and any(s in text for s in self.model.special) else [text]
-        for piece in pieces:
-            if piece in self.model.special:
-                out.append("\0" + piece)
-            elif piece:
-                plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-                out += self.words.findall(plain)
+        for part in self.marks.split(piece) if self.marks else [piece]:
+            if part in self.model.special:
+                out.append("\0" + part)
+            elif part:
+                out += self.words.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
         return out
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Adds the ids of new pieces to the cache."""
+        split = [self.split(p) for p in pieces]
+        number: dict[str, int] = {}
+        index = np.array([number.setdefault(w, len(number)) for words in split for w in words], np.int64)
+        words = list(number)
+        special = np.array([self.model.special[w[1:]] if w[0] == "\0" else -1 for w in words], np.int64)
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        at = self.automaton.find(raw)
+        at[special >= 0] = -1
+        known, marked = np.flatnonzero(at >= 0), np.flatnonzero(special >= 0)
+        unseen = np.flatnonzero((at < 0) & (special < 0))
+        sizes = np.diff(self.automaton.offsets)
+        parts = [take(self.automaton.ids, sizes, at[known]), self.model.merge([raw[k] for k in unseen]), (special[marked], np.ones(len(marked), np.int64))]
+        order = np.argsort(np.concatenate([known, unseen, marked]))
+        flat, counts = take(np.concatenate([f for f, _ in parts]).astype(np.int32), np.concatenate([c for _, c in parts]).astype(np.int64), order)
+        flat, each = take(flat, counts, index)
+        owner = np.repeat(np.arange(len(pieces)), [len(x) for x in split])
+        self.places.update(zip(pieces, range(len(self.places), len(self.places) + len(pieces)), strict=True))
+        self.flat = np.concatenate([self.flat, flat])
+        self.counts = np.concatenate([self.counts, np.bincount(owner, each, len(pieces)).astype(np.int64)])
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split(t) for t in texts]
+        # str.split also parts at U+001C to U+001F, which are no white space here
+        split = [_FIELD.split(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
         if len(self.places) > CACHE_WORDS:
             self.clear()
-        new = list({w for words in split for w in words if w not in self.places})
-        raw = [w.encode("utf-8", "surrogatepass") for w in new]
-        at = self.automaton.find(raw)
-        unseen = np.flatnonzero(at < 0).tolist()
-        merged = dict(zip(unseen, self.model.merge([raw[k] for k in unseen]), strict=True))
-        for k, w in enumerate(new):
-            self.places[w] = len(self.found)
-            self.found.append(merged[k] if k in merged else self.automaton.ids_of(at[k]).astype(np.int32))
-        lengths = np.fromiter(map(len, self.found), np.int64, len(self.found))
-        begins = np.concatenate([[0], lengths.cumsum()])
-        flat = np.concatenate(self.found) if self.found else np.zeros(0, np.int32)
-        out = []
-        for words in split:
-            places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-            sizes = lengths[places]
-            ends = sizes.cumsum()
-            index = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[places] - (ends - sizes), sizes)
-            out.append(flat[index])
-        return out
+        new = set().union(*split).difference(self.places)
+        if new:
+            self._learn(list(new))
+        begins = self.counts.cumsum() - self.counts
+        return [take(self.flat, self.counts, np.array([*map(self.places.__getitem__, pieces)], np.int64), begins)[0] for pieces in split]
 
     def decode(self, ids: np.ndarray) -> str:
         return " ".join(map(self.model.strings.__getitem__, ids.tolist()))
@@ -319,7 +338,7 @@ def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     model = Model(path)
     words = sorted({unicodedata.normalize("NFC", w).encode() for w in lexicon(df, text_col, lexicon_size)})
     words = [w for w in words if len(w) <= _LONG]
-    shared = spark.sparkContext.broadcast((model, build_automaton(words, model.merge(words))))
+    shared = spark.sparkContext.broadcast((model, build_automaton(words, *model.merge(words))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(*shared.value)

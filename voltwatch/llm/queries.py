@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltwatch.llm import bpe, langid, pii, quality, sql
+from voltwatch.llm import bpe, langid, minhash, pii, quality, sql
 from voltwatch.llm.common import documents
 
 
@@ -25,6 +25,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_digest(documents(spark, sf_dir))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(documents(spark, sf_dir))
 
@@ -36,10 +40,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op6_language": op6_language,
+    "op7_minhash": op7_minhash,
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
 }
 
 SQL: dict[str, str] = {
+    "op7_minhash": sql.NEAR_SQL,
     "op8_pii": sql.PII_SQL,
 }

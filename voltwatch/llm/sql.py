@@ -44,3 +44,18 @@ SELECT doc_id, CAST(coalesce(n_email, 0) AS BIGINT) AS n_email, CAST(coalesce(n_
     CAST(coalesce(n_phone, 0) AS BIGINT) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
 FROM d LEFT JOIN by_doc USING (rid)
 """
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+NEAR_SQL = f"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' '))) END AS ss FROM w),
+one AS (SELECT doc_id, len(ss) AS n, unnest(ss) AS x FROM s),
+links AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM one a JOIN one b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS c FROM s UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.a)
+SELECT doc_id, CAST(len(ss) AS BIGINT) AS n_shingles, least AS component_id, doc_id = least AS kept
+FROM s JOIN (SELECT a, min(c) AS least FROM reach GROUP BY a) ON a = doc_id
+"""
