@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltwatch.llm import bpe, langid, minhash, pii, quality, sql
+from voltwatch.llm import bpe, langid, minhash, pii, quality, sql, substring
 from voltwatch.llm.common import documents
 
 
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_digest(documents(spark, sf_dir))
+
+
 def tokenizer(name: str) -> str:
     """Path of a public tokenizer's file on the driver; workers get its tables from the driver."""
     import public_tokenizers
@@ -38,6 +42,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substring": op3_substring,
     "op4_bpe": op4_bpe,
     "op6_language": op6_language,
     "op7_minhash": op7_minhash,
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_substring": sql.SUBSTRING_SQL,
     "op7_minhash": sql.NEAR_SQL,
     "op8_pii": sql.PII_SQL,
 }

@@ -59,3 +59,13 @@ reach AS (SELECT doc_id AS a, doc_id AS c FROM s UNION SELECT l.b, r.c FROM reac
 SELECT doc_id, CAST(len(ss) AS BIGINT) AS n_shingles, least AS component_id, doc_id = least AS kept
 FROM s JOIN (SELECT a, min(c) AS least FROM reach GROUP BY a) ON a = doc_id
 """
+
+SUBSTRING_SQL = """
+WITH w AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+win AS MATERIALIZED (SELECT rid, i, md5(array_to_string(ws[i:i+34], ' ')) AS k FROM (SELECT rid, ws, unnest(range(1, len(ws) - 33)) AS i FROM w)),
+cov AS (SELECT DISTINCT rid, i + o AS p FROM win JOIN (SELECT k FROM win GROUP BY k HAVING count(*) > 1) USING (k), range(35) AS t(o)),
+words AS (SELECT rid, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM w),
+kept AS (SELECT rid, count(c.p) AS removed, string_agg(x, ' ' ORDER BY p) FILTER (c.p IS NULL) AS kept FROM words LEFT JOIN cov c USING (rid, p) GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (rid)
+"""
