@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from voltwatch.llm.common import Words, grams, mix, shuffle_partitions, steps, string_parts, with_checkpoint_dir
 from voltwatch.llm.graph import components
 
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 28, 5
 HASHES = BANDS * ROWS
 #: Probability with which a pair at the threshold may be dropped by its signatures alone; hashes compared at a time.
 MISS, BATCH = 1e-6, 32
@@ -120,25 +120,20 @@ def link_group(ids: np.ndarray, sides: np.ndarray, signatures: np.ndarray, sets:
 
 
 def _signed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, the set's 128-bit key, signature and band keys of every document."""
+    """doc_id, text_hash, n_shingles, the set's 128-bit key and signature (16 bits a hash) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = np.uint64(0x94D049BB133111EB)
-        numbers = np.arange(1, BANDS + 1, dtype=np.uint64)
         for batch in batches:
             data, offsets = string_parts(batch.column(2))
             for first, past in steps(offsets):
-                count, key1, key2, signature, bands = [], [], [], [], []
+                count, key1, key2, signature = [], [], [], []
                 for s in shingle_sets(data, offsets, first, past, size):
                     count.append(len(s))
                     key1.append(mix(s).sum(dtype=np.uint64))
                     key2.append(mix(s ^ salt).sum(dtype=np.uint64))
                     low = minima(s)
                     signature.append(((low * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16).tobytes())
-                    total = numbers.copy()
-                    for k in range(ROWS):
-                        total = mix(total + low[k::ROWS])
-                    bands.append(total)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, past - first),
@@ -147,20 +142,20 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                         pa.array(np.array(key1, np.uint64).view(np.int64)),
                         pa.array(np.array(key2, np.uint64).view(np.int64)),
                         pa.array(signature, pa.binary()),
-                        pa.ListArray.from_arrays(np.arange(0, BANDS * (past - first) + 1, BANDS, dtype=np.int32), np.concatenate(bands).view(np.int64)),
                     ],
-                    ["doc_id", "text_hash", "n_shingles", "key1", "key2", "signature", "bands"],
+                    ["doc_id", "text_hash", "n_shingles", "key1", "key2", "signature"],
                 )
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, "doc_id bigint, text_hash bigint, n_shingles bigint, key1 bigint, key2 bigint, signature binary, bands array<bigint>"
+        run, "doc_id bigint, text_hash bigint, n_shingles bigint, key1 bigint, key2 bigint, signature binary"
     )
 
 
 def _links(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> DataFrame:
     """Links (a, b) between class representatives, verified on the full sets of their texts."""
     spark = docs.sparkSession
-    member = classes.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
+    bands = [F.xxhash64(F.lit(k), F.substring("signature", 2 * ROWS * k + 1, 2 * ROWS)) for k in range(BANDS)]
+    member = classes.select("doc_id", "n_shingles", F.explode(F.array(*bands)).alias("bucket"))
     shared = member.groupBy("bucket").agg(
         F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y")
     ).where("n > 1")
@@ -227,7 +222,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, threshold: int = 80) -> Data
     _signed(docs, size).write.parquet(f"{where}/signed")
     signed = spark.read.parquet(f"{where}/signed")
     some = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    least = F.min(F.struct("doc_id", "text_hash", "signature", "bands", "n_shingles"))
+    least = F.min(F.struct("doc_id", "text_hash", "signature", "n_shingles"))
     some.groupBy("key1", "key2").agg(least.alias("r")).select("key1", "key2", "r.*").write.parquet(f"{where}/classes")
     classes = spark.read.parquet(f"{where}/classes")
     found = components(_links(docs, classes, size, threshold))
