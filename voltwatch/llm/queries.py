@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltwatch.llm import bpe, langid, minhash, pii, quality, sql, substring
+from voltwatch.llm import bpe, decontam, langid, minhash, pii, quality, sql, substring
 from voltwatch.llm.common import documents
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_digest(documents(spark, sf_dir))
 
@@ -42,6 +46,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op3_substring": op3_substring,
     "op4_bpe": op4_bpe,
     "op6_language": op6_language,
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_decontamination": sql.LEAK_SQL,
     "op3_substring": sql.SUBSTRING_SQL,
     "op7_minhash": sql.NEAR_SQL,
     "op8_pii": sql.PII_SQL,

@@ -69,3 +69,23 @@ kept AS (SELECT rid, count(c.p) AS removed, string_agg(x, ' ' ORDER BY p) FILTER
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (rid)
 """
+
+
+def _shingles(table: str, key: str) -> str:
+    return f"""SELECT rid, {key}, i, CASE WHEN len(ws) >= 5 THEN array_to_string(ws[i:i+4], ' ') ELSE '#' || array_to_string(ws, ' ') END AS x,
+        greatest(1, least(15, length(array_to_string(CASE WHEN len(ws) >= 5 THEN ws[i:i+4] ELSE ws END, '')) // 4)) AS g, greatest(1, len(ws) - 4) AS n
+        FROM (SELECT *, unnest(range(1, 1 + CASE WHEN len(ws) = 0 THEN 0 ELSE greatest(1, len(ws) - 4) END)) AS i
+            FROM (SELECT row_number() OVER () AS rid, {key}, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS ws FROM {table}))"""
+
+
+LEAK_SQL = f"""
+WITH d AS MATERIALIZED ({_shingles('documents', 'doc_id')}), b AS MATERIALIZED ({_shingles('benchmark', 'item_id')}),
+own AS (SELECT rid AS item, item_id, n AS long, x, g FROM b GROUP BY ALL),
+total AS (SELECT item, sum(g) AS total_weight FROM own GROUP BY item),
+met AS (SELECT d.rid, doc_id, item, item_id, long, d.x, own.g, unnest(range(least(greatest(0, d.i - long), greatest(0, d.n - long)), least(d.i - 1, greatest(0, d.n - long)) + 1)) AS s
+    FROM d JOIN own ON d.x = own.x),
+shares AS (SELECT rid, doc_id, item, item_id, s, sum(g) AS shared FROM (SELECT DISTINCT rid, doc_id, item, item_id, s, x, g FROM met) GROUP BY ALL),
+best AS (SELECT doc_id, item_id, s, CAST(shared AS DOUBLE) / CAST(total_weight AS DOUBLE) AS similarity,
+    row_number() OVER (PARTITION BY rid, item ORDER BY shared DESC, s) AS k FROM shares JOIN total USING (item))
+SELECT doc_id, item_id, CAST(s AS BIGINT) AS first_word, similarity FROM best WHERE k = 1 AND similarity >= 0.8
+"""
