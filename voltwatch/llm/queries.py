@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltwatch.llm import bpe, decontam, langid, minhash, pii, quality, sql, substring
+from voltwatch.llm import bpe, decontam, edit_fingerprint, langid, minhash, pii, quality, sql, substring
 from voltwatch.llm.common import documents
 
 
+def op1_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprint.with_next(documents(spark, sf_dir))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -46,6 +50,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_edit_fingerprint": op1_edit_fingerprint,
     "op2_decontamination": op2_decontamination,
     "op3_substring": op3_substring,
     "op4_bpe": op4_bpe,
