@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltwatch.llm import bpe, decontam, edit_fingerprint, langid, minhash, pii, quality, sql, substring
+from voltwatch.llm import bpe, decontam, edit_fingerprint, langid, minhash, pii, quality, sql, substring, token_counts
 from voltwatch.llm.common import documents
 
 
@@ -33,6 +33,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the 32,000-piece tokenizer, whose first free id ends a document."""
+    return token_counts.document_counts(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"), end=32_000)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_substring": op3_substring,
     "op4_bpe": op4_bpe,
+    "op5_token_counts": op5_token_counts,
     "op6_language": op6_language,
     "op7_minhash": op7_minhash,
     "op8_pii": op8_pii,
