@@ -79,14 +79,13 @@ def _confirmed(kind: str, x: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(text: Column, kind: str) -> Column:
-    """Confirmed spans of a kind, in order: array of (kind, start, end, score)."""
-    pattern = F.lit(LINEAR[kind])
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, LINEAR[kind], -1)
+def place(text: Column, pattern: str) -> Column:
+    """Matches of a pattern, in order: array of (start, end, x)."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
     pairs = F.filter(F.zip_with(gaps, found, lambda g, x: F.struct(F.length(g).alias("gap"), x.alias("x"))), lambda p: p.x.isNotNull())
     empty = F.array().cast("array<struct<start:bigint,end:bigint,x:string>>")
-    placed = F.aggregate(
+    return F.aggregate(
         pairs,
         F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out")),
         lambda acc, p: F.struct(
@@ -95,6 +94,11 @@ def _spans(text: Column, kind: str) -> Column:
         ),
         lambda acc: acc.out,
     )
+
+
+def _spans(text: Column, kind: str) -> Column:
+    """Confirmed spans of a kind, in order: array of (kind, start, end, score)."""
+    placed = place(text, LINEAR[kind])
     kept = F.filter(placed, lambda s: _confirmed(kind, s.x))
 
     def scored(s: Column) -> Column:

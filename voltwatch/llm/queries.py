@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltwatch.llm import bpe, decontam, edit_fingerprint, langid, minhash, pii, quality, sql, substring, token_counts
+from voltwatch.llm import bpe, decontam, edit_fingerprint, langid, minhash, pii, quality, secret_scan, sql, substring, token_counts
 from voltwatch.llm.common import documents
 
 
@@ -54,6 +54,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_fingerprint": op1_edit_fingerprint,
     "op2_decontamination": op2_decontamination,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_minhash": op7_minhash,
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
+    "op10_secrets": op10_secrets,
 }
 
 SQL: dict[str, str] = {
