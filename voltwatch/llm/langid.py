@@ -161,7 +161,7 @@ def predict(df: DataFrame, model: Centroids, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Centroids = shared.value
         for batch in batches:
-            texts = batch.column(0)
+            texts = batch.column(at)
             data, offsets = string_parts(texts)
             lang, score, rejected = [], [], []
             for first, past in steps(offsets, STEP_BYTES // 4):
@@ -174,13 +174,15 @@ def predict(df: DataFrame, model: Centroids, id_col: str = "doc_id", text_col: s
                 lang += [m.langs[c] if ok else "und" for c, ok in zip(choice.tolist(), letter, strict=True)]
                 score += np.where(letter, s, 0.0).tolist()
                 rejected += (r | ~np.array(letter, bool)).tolist()
-            yield pa.RecordBatch.from_arrays([*(batch.column(k + 1) for k in range(len(batch.columns) - 1)), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], names)
 
-    columns = [id_col, *keep]
+    columns = [id_col, *(c for c in keep if c != id_col)]
+    read = columns if text_col in columns else [*columns, text_col]
+    at = read.index(text_col)
     types = dict(df.dtypes)
     names = [*columns, "lang_pred", "score", "rejected"]
     schema = ", ".join(f"`{c}` {types[c]}" for c in columns) + ", lang_pred string, score double, rejected boolean"
-    return df.select(F.col(text_col).alias("__text"), *columns).mapInArrow(run, schema)
+    return df.select(*read).mapInArrow(run, schema)
 
 
 def held_out() -> Column:
@@ -188,6 +190,14 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
 
 
+def recognised(df: DataFrame) -> DataFrame:
+    """The rows whose language is recognised, with the columns of ``df``: neither ``und`` nor rejected as far."""
+    taken = {"lang_pred", "score", "rejected"} & {*df.columns}
+    held = df.withColumnsRenamed({c: f"__own_{c}" for c in taken})
+    found = predict(held, fit(df, ~F.coalesce(held_out(), F.lit(True))), keep=tuple(held.columns)).where(~F.col("rejected"))
+    return found.select(*(F.col(f"__own_{c}" if c in taken else c).alias(c) for c in df.columns))
+
+
 def identify(df: DataFrame) -> DataFrame:
     """One row per document: held_out, lang_pred, score, rejected."""
     model = fit(df, ~F.coalesce(held_out(), F.lit(True)))

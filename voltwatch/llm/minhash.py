@@ -233,5 +233,14 @@ def near_duplicates(docs: DataFrame, size: int = 4, threshold: int = 80) -> Data
     return linked.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def one_of_each(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
+    """One document of each component, the one with the least id, with all columns of ``docs``. Repeated rows become one."""
+    kept = near_duplicates(docs, size, threshold).where("kept")
+    none = F.lit(-(2**63))  # stands for a missing id
+    keys = kept.select(F.coalesce("doc_id", none).alias("__id"), F.col("text_hash").alias("__hash"))
+    held = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("bigint"), none), "__hash": F.xxhash64("text")})
+    return held.join(keys, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+
+
 def near_digest(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
