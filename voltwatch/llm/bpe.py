@@ -326,10 +326,16 @@ class Encoder:
 
 
 def lexicon(df: DataFrame, text_col: str, size: int) -> list[str]:
-    """The most frequent runs of letters of the texts, lower case, by count over all rows."""
+    """The most frequent runs of letters of the texts, lower case, by count over all rows.
+
+    A word counts as frequent if it is at least one in 4 * ``size`` of the texts' words (of seven characters each), so
+    that however large the corpus is, no more than about that many words come together for the choice.
+    """
+    characters = df.select(F.sum(F.length(text_col))).first()[0] or 0
+    least = max(1, characters // (7 * 4 * max(1, size)))
     words = df.select(F.explode(F.split(F.lower(text_col), r"[^\p{L}]+")).alias("word")).where(F.col("word") != "")
-    top = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [r.word for r in top.collect()]
+    frequent = words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return [r.word for r in frequent.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
 def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_size: int = LEXICON_SIZE) -> DataFrame:
