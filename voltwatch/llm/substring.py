@@ -222,15 +222,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     _short_rows(keyed, window).write.parquet(f"{where}/short")
     short = spark.read.parquet(f"{where}/short")
     minis = short.groupBy("mini").agg(F.count("*").alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high")).where("n > 1")
-    seen = short.join(minis.select("mini", (F.col("low") != F.col("high")).alias("contested")), "mini")
+    # written, so that the join has plain shuffles on both sides and Spark can split a minimiser of very many rows
+    minis.select("mini", (F.col("low") != F.col("high")).alias("contested")).write.parquet(f"{where}/minis")
+    seen = short.join(spark.read.parquet(f"{where}/minis"), "mini")
     seen.write.parquet(f"{where}/seen")
     seen = spark.read.parquet(f"{where}/seen")
 
     contested = seen.where("contested").groupBy("mini", "whole", "count").agg((F.count("*") > 1).alias("often"), F.min(F.struct("k1", "k2", "start")).alias("r"))
-    crowd = contested.groupBy("mini").agg(F.count("*").alias("distinct"))
-    first = contested.join(crowd, "mini").select("r.*", "mini", "whole", "count", "often", (F.col("distinct") > HOT).alias("hot"))
-    first.write.parquet(f"{where}/first")
-    first = spark.read.parquet(f"{where}/first")
+    contested.select("r.*", "mini", "whole", "count", "often").write.parquet(f"{where}/contested")
+    contested = spark.read.parquet(f"{where}/contested")
+    contested.groupBy("mini").agg(F.count("*").alias("distinct")).where(F.col("distinct") > HOT).select("mini", F.lit(True).alias("hot")).write.parquet(f"{where}/crowds")
+    first = contested.join(spark.read.parquet(f"{where}/crowds"), "mini", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
 
     def asked(rows: DataFrame) -> DataFrame:
         by_doc = rows.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "count", "mini", "whole", "often")).alias("asked"))
