@@ -123,11 +123,3 @@ FEATURE_HEALTH_OUTPUT_COLUMNS = [
     "comm_fail_frequency", "gps_jump_frequency", "risk_score_zm1", "risk_score_um3",
     "risk_score_mm3", "risk_score", "risk_reason",
 ]
-
-# --- engine knobs (not reference values) -------------------------------------
-
-# Largest row count we broadcast after an explicit size check.
-BROADCAST_MAX_ROWS = 2_000_000
-
-# Largest statistics table collected to a local relation (beyond: checkpoint).
-LOCAL_STATS_MAX_ROWS = 20_000

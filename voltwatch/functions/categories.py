@@ -94,9 +94,13 @@ def critical_flag(battery: ColumnOrName | None, days: ColumnOrName | None, risk:
 
 
 def ttl(is_zm1: Column, battery: ColumnOrName, drain_per_day: ColumnOrName | None) -> dict[str, Column]:
-    """Battery / max(drain, 0.001) for ZM1 with a reading; months, years, category."""
+    """Battery / max(drain, 0.001) for ZM1 with a reading; months, years, category.
+
+    With a drain column, a device without a drain has no days, and its category
+    is the last one, as no limit is below; callers of a frame without any drain
+    pass None for the default rate."""
     b = col(battery)
-    d = F.lit(0.027) if drain_per_day is None else F.coalesce(col(drain_per_day), F.lit(0.027))
+    d = F.lit(0.027) if drain_per_day is None else col(drain_per_day)
     d = F.when(d < 0.001, F.lit(0.001)).otherwise(d)
     ok = is_zm1 & b.isNotNull()
     days = F.when(ok, b / d)

@@ -3,7 +3,7 @@
 Training uses ``pyspark.ml`` (distributed tree induction); every evaluation
 table is a DataFrame aggregate, so reports are computed where the
 predictions live.  Reference hyper-parameters are the defaults of
-``ActionParams``/``FailureParams``; queries and the bench pass smaller ones.
+``ActionParams``/``FailureParams``.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs as X
-from ..operators.common import materialize_small, reliable_checkpoint
+from ..operators.common import reliable_checkpoint
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint", "boolean")
 DEFAULT_DROP = ["Region", "Substation", "Feeder", "Site", "Phase", "IP_Address", "NetworkGroup", "Profile_Name",
@@ -66,9 +66,9 @@ def align_features(df: DataFrame, feats: Sequence[str]) -> DataFrame:
     return df.select(*keep, *cols)
 
 
-def with_class_weight(df: DataFrame, label: str, out: str = "class_weight") -> DataFrame:
-    """M4: balanced weights n / (k * n_c); the class table has k rows."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+def with_class_weight(df: DataFrame, label: str, out: str = "class_weight", train: Column | None = None) -> DataFrame:
+    """M4: balanced weights n / (k * n_c), counted over the rows where ``train`` holds (all by default)."""
+    counts = (df if train is None else df.where(train)).groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
     w = counts.crossJoin(tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
     return df.join(F.broadcast(w), label, "left")
@@ -124,7 +124,7 @@ def train_action_models(df: DataFrame, params: ActionParams = ActionParams(), ty
             continue
         sub = align_features(df.where(F.col(type_col) == t), feats)
         sub = with_class_weight(stratified_split(sub, label, params.test_size, params.seed, key=["Serial"]
-                                                 if "Serial" in sub.columns else ()), label)
+                                                 if "Serial" in sub.columns else ()), label, train=~F.col("is_test"))
         # tree induction makes one pass per level: cut the lineage once (reliable checkpoint)
         sub = sub.select(label, "class_weight", "is_test", *feats).transform(reliable_checkpoint)
         train, test = sub.where(~F.col("is_test")), sub.where("is_test")
@@ -173,7 +173,8 @@ def train_failure_model(ds: DataFrame, feats: Sequence[str], params: FailurePara
     n_classes = ds.select(label).distinct().count()
     if n_classes < 2:
         raise ValueError("failure model needs both classes in the data")
-    d = with_class_weight(stratified_split(ds, label, params.test_size, params.seed, key=["Serial", "date"]), label)
+    d = with_class_weight(stratified_split(ds, label, params.test_size, params.seed, key=["Serial", "date"]), label,
+                          train=~F.col("is_test"))
     d = d.transform(reliable_checkpoint)
     train, test = d.where(~F.col("is_test")), d.where("is_test")
     rf = RandomForestClassifier(labelCol=label, featuresCol="scaled", weightCol="class_weight",
@@ -227,7 +228,7 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """M5: per-class precision / recall / F1 / support, accuracy, macro and
     weighted averages (0 on division by zero); pure aggregates."""
     # the confusion matrix has #classes^2 rows: evaluate the predictions once
-    cm = materialize_small(df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
+    cm = (df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
                            .agg(F.count(F.lit(1)).alias("n")))
     classes = cm.select(F.col("y").alias("c")).union(cm.select(F.col("p").alias("c"))).distinct()
     per = (classes.join(cm, (cm.y == classes.c) | (cm.p == classes.c), "left")
@@ -267,7 +268,7 @@ def score_histogram(df: DataFrame, label: str, score: str) -> DataFrame:
     The running sums run over the aggregated histogram (one row per distinct
     score: rule scores and forest probabilities take few values), never over
     the rows themselves."""
-    h = materialize_small(df.groupBy(F.col(score).alias("s")).agg(
+    h = (df.groupBy(F.col(score).alias("s")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")))
     w = Window.orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
     return h.select("*", F.sum("pos").over(w).alias("cum_pos"), F.sum("neg").over(w).alias("cum_neg"))
@@ -287,7 +288,7 @@ def binary_metrics(df: DataFrame, label: str, pred: str, score: str) -> DataFram
     """Accuracy, precision, recall, F1 and rank-based ROC-AUC (ties count
     half; null with one class)."""
     # one pass: a small table of (label, prediction) counts, and the score histogram
-    yp = materialize_small(df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
+    yp = (df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
                            .agg(F.count(F.lit(1)).alias("c")))
     y, p, c = F.col("y"), F.col("p"), F.col("c")
     base = yp.agg(F.sum(c).alias("n"), F.sum(F.when((y == 1) & (p == 1), c).otherwise(0)).alias("tp"),
@@ -329,8 +330,10 @@ def trust_stack(df: DataFrame, label_col: str | None = None, date_col: str = "La
     lab = "rule_label" if label_col is None else label_col
     feats = [c for c in ("BatteryLevel", "days_since_last_heard", "LineCurrent", "LineTemperature", "rule_risk_score")
              if c in d.columns]
-    d = d.select(*[c for c in d.columns if c not in feats], *[X.to_num(F.col(c)).alias(c) for c in feats],
+    types = dict(d.dtypes)
+    d = d.select(*[c for c in d.columns if c not in feats], *[(X.sanitize_num(c) if types[c] == "string" else X.to_num(F.col(c))).alias(c) for c in feats],
                  F.col(lab).cast("int").alias("_y"))
+    d = d.where(F.col("_y").isNotNull())  # a row without a supplied label teaches and tests nothing
     split = chrono_split(d, date_col, train_frac, tiebreak=[c for c in ("reading_id",) if c in d.columns])
     split = split.transform(reliable_checkpoint)
     train, test = median_impute(split.where("is_train"), split.where("not is_train"), feats)

@@ -1,4 +1,4 @@
-"""Shared relational building blocks: size-checked joins, skew-safe lag, dedupe."""
+"""Shared relational building blocks: null-safe joins, skew-safe lag, dedupe."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import config
-
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Eager checkpoint into the session's ``spark.checkpoint.dir`` (a shared
@@ -19,18 +17,6 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``small`` hinted for broadcast only after counting it.
-
-    The side is cached first so the count and the later join read the same
-    materialised rows (no second evaluation).  Beyond ``max_rows`` the
-    DataFrame is returned unhinted and Spark plans a shuffle join.
-    """
-    small = small.cache()
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on ``keys`` with null == null (batch keys may be null), keeping one copy of each key."""
     keys = list(keys)
@@ -46,31 +32,17 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def materialize_small(stats: DataFrame, max_rows: int = config.LOCAL_STATS_MAX_ROWS) -> DataFrame:
-    """Evaluate a small statistics table once so later plans do not re-run it.
-
-    Up to ``max_rows`` rows are collected (bounded by ``limit``) into a local
-    relation that every consumer broadcasts; a bigger table is written once
-    with a reliable ``checkpoint()`` (``spark.checkpoint.dir``) and joined as
-    data.  Either way the source is scanned for the statistics exactly once.
-    """
-    rows = stats.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(stats.sparkSession.createDataFrame(rows, stats.schema))
-    return broadcast_if_small(reliable_checkpoint(stats))
-
-
 def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join a per-group statistics table back to rows (see ``materialize_small``).
+    """Join a per-group statistics table back to rows, lazily.
 
     Group keys may be null (a file without a date is still one batch), so the
-    join is null-safe; the statistics side is small, so this is a broadcast.
+    join is null-safe.  Spark picks the join from the size of the aggregate.
     """
-    return null_safe_join(df, materialize_small(stats), keys, "left")
+    return null_safe_join(df, stats, keys, "left")
 
 
 def two_level_lag(df: DataFrame, key: str | Sequence[str], bucket: Column, order: Sequence[Column],
-                  cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+                  cols: Sequence[str], prefix: str = "prev_", skip_null: Sequence[str] = ()) -> DataFrame:
     """``lag(c, 1)`` per ``key`` in ``order`` without putting one key in one task.
 
     Rows are windowed by (key, bucket) -- e.g. (device, hour) -- so a hot key
@@ -79,8 +51,14 @@ def two_level_lag(df: DataFrame, key: str | Sequence[str], bucket: Column, order
     table of one row per (key, bucket).  Keys are replaced by non-null
     surrogates (value + is-null flag) before the window, so the window's hash
     partitioning already satisfies the join and the rows are shuffled once.
+
+    A row with a null in ``skip_null`` belongs to no key: it has no previous
+    row and is nobody's previous row, and such rows are spread by a hash.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if skip_null:
+        lost = F.greatest(*[F.col(k).isNull() for k in skip_null], F.lit(False))
+        bucket = F.when(lost, F.pmod(F.xxhash64(*order), F.lit(1 << 20))).otherwise(bucket)
     dtypes = dict(df.dtypes)
     sur = []
     for i, k in enumerate(keys):
@@ -105,6 +83,8 @@ def two_level_lag(df: DataFrame, key: str | Sequence[str], bucket: Column, order
     out = lagged.join(prev_bucket, knames + [b], "left")
     fixed = [F.when(F.col(rn) == 1, F.col("__pb")[c]).otherwise(F.col(f"{prefix}{c}")).alias(f"{prefix}{c}")
              for c in cols]
+    if skip_null:
+        fixed = [F.when(~lost, c).alias(f"{prefix}{name}") for c, name in zip(fixed, cols)]
     keep = [c for c in df.columns if c not in {f"{prefix}{c}" for c in cols}]
     return out.select(*keep, *fixed)
 

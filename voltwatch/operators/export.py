@@ -79,9 +79,10 @@ def with_predictions(df: DataFrame, pred: DataFrame, as_of: str) -> DataFrame:
                     F.col("Confidence").alias("PredictionConfidence") if "Confidence" in pred.columns
                     else F.lit(None).cast("double").alias("PredictionConfidence"))
     j = df.join(p, "Serial", "left")
-    return j.select(*[c for c in j.columns if c not in ("PredictedAction", "PredictedActionLabel")],
+    return j.select(*[c for c in j.columns if c not in ("PredictedAction", "PredictedActionLabel", "PredictionConfidence")],
                     F.coalesce(F.col("PredictedAction"), F.lit("NO_ACTION")).alias("PredictedAction"),
                     F.coalesce(F.col("PredictedActionLabel"), F.lit(0)).alias("PredictedActionLabel"),
+                    F.coalesce(F.col("PredictionConfidence"), F.lit(0.0)).alias("PredictionConfidence"),
                     F.to_date(F.lit(as_of)).alias("PredictionDate"))
 
 

@@ -133,8 +133,11 @@ def rule_score(df: DataFrame, battery: str = "BatteryLevel", days: str = "days_s
                threshold: float = 50.0) -> DataFrame:
     """Nine additive rules, clipped 0-100, label = score >= threshold, '; '-joined reasons."""
     def c(name):
-        return X.to_num(F.col(name)) if name in df.columns else F.lit(None).cast("double")
-    b, d, cur, t = c(battery), c(days), c(current), c(temp)
+        if name not in df.columns:
+            return F.lit(None).cast("double")
+        return X.sanitize_num(name) if types[name] == "string" else X.to_num(F.col(name))  # "85%" is 85
+    types = dict(df.dtypes)
+    b, d, cur, t = X.clip(c(battery), 0, 100), c(days), c(current), c(temp)
     txt = config.TRUST_RULE_TEXT
     rules = [(b < 20, 35, txt[0]), (b < 10, 30, txt[1]), ((b < 20) & (d > 3), 25, txt[2]), (d > 7, 25, txt[3]),
              ((cur == 0) & (b < 30), 25, txt[4]), ((cur == 0) & (d > 3), 20, txt[5]),

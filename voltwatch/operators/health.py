@@ -211,9 +211,7 @@ def _single_pass_stats(d: DataFrame, gkeys: Sequence[str], batch: Sequence[str],
         F.min(F.when(is_mm3_row, fsum).otherwise(F.lit(0.0))).alias("_mn_flags"),
         F.max(F.when(is_mm3_row, fsum).otherwise(F.lit(0.0))).alias("_mx_flags"),
     )
-    from .common import materialize_small
-    s = materialize_small(raw)  # <= 4 rows per batch
-    s = s.select("*", F.max("_snap_bt").over(Window.partitionBy(*batch)).alias("_snap_b"))
+    s = raw.select("*", F.max("_snap_bt").over(Window.partitionBy(*batch)).alias("_snap_b"))
     snap = F.col("_snap_b") if snapshot_scope == "batch" else F.col("_snap_bt")
     t = F.col("_stat_type")
     zero = F.lit(0.0)
@@ -405,7 +403,8 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     # hour buckets; unparseable timestamps sort last as in pandas
     bucket = F.coalesce(F.floor(F.unix_micros(F.col("Last_Heard_dt")) / F.lit(3600 * 1_000_000)),
                         F.lit(2 ** 62)).cast("long")
-    d = two_level_lag(d, batch + ["Serial"], bucket, order, ["Latitude", "Longitude"], prefix="prev_")
+    d = two_level_lag(d, batch + ["Serial"], bucket, order, ["Latitude", "Longitude"], prefix="prev_",
+                      skip_null=["Serial"])
     d = d.withColumnsRenamed({"prev_Latitude": "prev_lat", "prev_Longitude": "prev_lon"})
     dist = F.when(F.col("prev_lat").isNull() | F.col("prev_lon").isNull(), F.lit(0.0)).otherwise(
         X.haversine("prev_lat", "prev_lon", "Latitude", "Longitude"))

@@ -103,7 +103,7 @@ def label_flags(df: DataFrame, as_of: str = config.DEFAULT_AS_OF, battery_low: f
     # W2 against the previous reading of the device in timestamp order
     order = [F.col("_ts_filled")] + [F.col(c) for c in order_cols]
     bucket = F.floor(F.unix_micros("_ts_filled") / F.lit(86400 * 1_000_000)).cast("long")
-    d = two_level_lag(d, ["Serial"], bucket, order, ["_lat", "_lon"], prefix="prev")
+    d = two_level_lag(d, ["Serial"], bucket, order, ["_lat", "_lon"], prefix="prev", skip_null=["Serial"])
     moved = ((F.col("prev_lat").isNotNull() & F.col("_lat").isNotNull()
               & (F.abs(F.col("_lat") - F.col("prev_lat")) > config.COORD_CHANGE_DEG))
              | (F.col("prev_lon").isNotNull() & F.col("_lon").isNotNull()
@@ -182,13 +182,16 @@ def latest_per_device(df: DataFrame, ts: str = "BatteryLatestReport", order_cols
     return (df.groupBy("Serial").agg(F.max_by(F.struct(*others), key).alias("_r")).select("Serial", "_r.*"))
 
 
-def with_install_lookup(df: DataFrame, install: DataFrame | None, as_of: str) -> DataFrame:
-    """J2 + P24: install date lookup (unparseable dropped, one per device),
-    whole-day age vs ``as_of`` and percent of life used (1 dp)."""
+def with_install_lookup(df: DataFrame, install: DataFrame | None, as_of: str, order_cols: Sequence[str] = ()
+                        ) -> DataFrame:
+    """J2 + P24: install date lookup (unparseable dropped, the last per device in
+    ``order_cols``; without a declared order the latest date), whole-day age vs
+    ``as_of`` and percent of life used (1 dp)."""
     if install is None:
         return df.select("*", F.lit(0.0).alias("pct_life_used"), F.lit(0.0).alias("device_age_days"))
-    inst = install.select("Serial", X.to_ts_any(F.col("InstallDate"), _dtype(install, "InstallDate")).alias("_inst"))
-    inst = inst.where(F.col("_inst").isNotNull()).groupBy("Serial").agg(F.max("_inst").alias("InstallDate"))
+    inst = install.select("Serial", *order_cols, X.to_ts_any(F.col("InstallDate"), _dtype(install, "InstallDate")).alias("_inst"))
+    inst = inst.where(F.col("_inst").isNotNull()).groupBy("Serial").agg(
+        F.max_by("_inst", F.struct(*order_cols, "_inst")).alias("InstallDate"))
     drop = [c for c in ("InstallDate", "pct_life_used", "device_age_days") if c in df.columns]
     d = df.drop(*drop).join(inst, "Serial", "left")
     today = F.to_timestamp(F.lit(as_of))

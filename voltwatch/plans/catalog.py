@@ -515,11 +515,11 @@ def m3_stratified_split_sizes(spark, sf_dir):
 
 @register("m2_action_model_report")
 def m2_action_model_report(spark, sf_dir):
-    """M1-M6, M9: per-type action forests (small params) and their test reports."""
+    """M1-M6, M9: per-type action forests and their test reports."""
     from ..ml import models as M
     lab = d8_label_actions_full(spark, sf_dir)
     feats = M.feature_cols(lab.drop("reading_id"), M.DEFAULT_DROP + ["reading_id"])
-    models = M.train_action_models(lab, M.ActionParams(num_trees=20, max_depth=8), feats=feats)
+    models = M.train_action_models(lab, M.ActionParams(), feats=feats)
     out = None
     for t, m in models.items():
         rep = M.classification_report(m["test"], "action_label", "prediction").select(
@@ -534,7 +534,7 @@ def m11_failure_model_importances(spark, sf_dir):
     from ..ml import models as M
     from ..operators import failure as FL
     ds = FL.failure_dataset(zm1_series(spark, sf_dir))
-    res = M.train_failure_model(ds, FL.ML_FEATURES, M.FailureParams(num_trees=20, max_depth=6, folds=3))
+    res = M.train_failure_model(ds, FL.ML_FEATURES, M.FailureParams())
     imp = M.importance_table(res["model"], res["features"])
     return imp.join(M.recommendations(imp).select("feature", "recommendation"), "feature", "left").select(
         "*", F.lit(res.get("cv_auc_mean")).alias("cv_auc_mean"))
@@ -546,7 +546,7 @@ def m24_trust_stack(spark, sf_dir):
     from ..ml import models as M
     from ..operators import failure as FL
     scored = FL.rule_score(trust_input(spark, sf_dir))
-    res = M.trust_stack(scored, rf_trees=20)
+    res = M.trust_stack(scored)
     return res["test"].select("reading_id", "Serial", "rule_label", "dt_pred", "rf_pred", "dt_prob", "rf_prob",
                               "rule_vs_tree_agree", "rule_vs_forest_agree", "rf_explanation")
 

@@ -2,7 +2,8 @@
 
 CSV snapshots are read as text (no inference) and typed once by
 ``conform``-style projections downstream.  File lineage comes from the
-``_metadata`` column, so no per-file driver loop is needed.
+``_metadata`` column.  Columns are taken by name: the driver reads one header
+line per (new) file and Spark reads the files of each header together.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import zipfile
 from typing import Iterable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,8 @@ SNAPSHOT_COLUMNS = ["Serial", "Device_Type", "Status", "Last_Heard", "BatteryLat
                     "LineCurrent", "LineTemperature", "Latitude", "Longitude", "DNP_Addr", "ParentId", "Region",
                     "Substation", "Feeder", "Site", "Phase", "IP_Address", "NetworkGroup", "Profile_Name",
                     "SensorGateway"]
+#: Columns that arrive as text and are numbers.
+NUMERIC_COLUMNS = ("LineCurrent", "LineTemp", "LineTemperature", "BatteryLevel", "BatteryLev")
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
@@ -30,19 +34,39 @@ def all_string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``path`` and ``file_name`` of every file below ``path``; contents are not read."""
+    return (spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
+            .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name")))
+
+
+def path_missing(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_snapshots(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None
                    ) -> DataFrame:
     """S1 + S6 + S7: daily CSV snapshots as text with ``_source_file`` and ``batch_date``.
 
-    With ``columns`` the header must carry exactly those names (explicit
-    all-string schema, checked against the header); without, the header is
-    taken as is and every column stays a string.
+    Columns are taken by name: files are grouped by their own header (one line
+    read per file), each group is read with it, and the groups are united by
+    name.  A column that a file lacks is null.  ``columns`` come first and
+    always exist; further ones are kept.
     """
-    r = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for r in list_files(spark, path).select("path").distinct().orderBy("path").collect():  # one path per file
+        header = tuple(spark.read.option("header", True).csv(r.path).columns)
+        by_header.setdefault(header, []).append(r.path)
+    frames = [with_source_file(spark.read.option("header", True).option("mode", "PERMISSIVE")
+                               .schema(all_string_schema(h)).option("enforceSchema", False).csv(files))
+              for h, files in by_header.items() if h]
+    df = frames[0] if frames else spark.createDataFrame([], all_string_schema([*(columns or []), "_source_file"]))
+    for f in frames[1:]:
+        df = df.unionByName(f, allowMissingColumns=True)
     if columns is not None:
-        r = r.schema(all_string_schema(columns)).option("enforceSchema", False)
-    df = r.csv(path if isinstance(path, str) else list(path))
-    return with_batch_date(with_source_file(df))
+        df = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns],
+                       *[c for c in df.columns if c not in columns])
+    return with_batch_date(df)
 
 
 def with_source_file(df: DataFrame, name: str = "_source_file") -> DataFrame:
@@ -69,13 +93,15 @@ ATTEMPT_SCHEMA = T.StructType([T.StructField("Serial", T.StringType()), T.Struct
 
 
 def read_attempts(spark: SparkSession, path: str) -> DataFrame:
-    """Reconfigure-attempt log; an empty frame with the schema when absent."""
+    """Reconfigure-attempt log by column name; an empty frame with the schema when the path does not exist.
+    Any other error is raised."""
     try:
-        df = spark.read.option("header", True).schema(ATTEMPT_SCHEMA).csv(path)
-        df.schema  # noqa: B018 - resolves the path now
-    except Exception:  # noqa: BLE001 - missing folder means "no attempts yet"
+        df = read_snapshots(spark, path, ATTEMPT_SCHEMA.names)
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return spark.createDataFrame([], ATTEMPT_SCHEMA)
-    return df
+    return df.select(*ATTEMPT_SCHEMA.names)
 
 
 def record_attempts(serials: DataFrame, as_of: str, path: str) -> None:
@@ -84,19 +110,34 @@ def record_attempts(serials: DataFrame, as_of: str, path: str) -> None:
      .write.mode("append").option("header", True).csv(path))
 
 
-def ingest_new(spark: SparkSession, src: str, manifest_path: str, columns: Sequence[str] | None = None
-               ) -> tuple[DataFrame, DataFrame]:
-    """S8 (batch twin of the streaming ingest) + J8: rows of files not yet in the
-    manifest, and the manifest rows to append after the batch succeeds."""
-    snaps = read_snapshots(spark, src, columns)
+def clean_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
+    """P5: the numeric columns as numbers; "1,234" is 1234, tokens such as NULL and anything else are null."""
+    return df.select(*[X.to_num_tokens(c).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+def ingest_new(spark: SparkSession, src: str, manifest_path: str, columns: Sequence[str] | None = None,
+               history_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """S8 (batch twin of the streaming ingest) + J8 + P5: rows of files not yet in
+    the manifest, and the manifest rows to append after the batch succeeds.
+
+    File names are compared first, so only new files are read.  Without a
+    manifest, or where ``history_path`` is given and does not exist, every file is new.
+    """
+    files = list_files(spark, src)
     try:
-        seen = spark.read.parquet(manifest_path).select("file_name")
-    except Exception:  # noqa: BLE001 - no manifest yet: process everything
-        seen = spark.createDataFrame([], "file_name string")
-    # the manifest holds one row per file: Spark's size estimate broadcasts it
-    new = snaps.join(seen, snaps["_source_file"] == seen["file_name"], "left_anti")
-    names = new.select(F.col("_source_file").alias("file_name")).distinct()
-    return new, names
+        if history_path is not None:
+            spark.read.format("binaryFile").load(history_path)  # resolves the path
+        new = files.join(spark.read.parquet(manifest_path).select("file_name").distinct(), "file_name", "left_anti")
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
+        new = files
+    paths = [r.path for r in new.select("path").orderBy("path").collect()]  # one path per new file
+    if not paths:
+        empty = with_batch_date(spark.createDataFrame([], all_string_schema([*(columns or []), "_source_file"])))
+        return clean_numeric(empty), spark.createDataFrame([], "file_name string")
+    rows = clean_numeric(read_snapshots(spark, paths, columns))
+    return rows, spark.createDataFrame([(p.rsplit("/", 1)[-1],) for p in paths], "file_name string").distinct()
 
 
 def mark_processed(names: DataFrame, manifest_path: str) -> None:
@@ -108,8 +149,10 @@ def skip_existing(df: DataFrame, out_path: str, keys: Sequence[str] = ("device_t
     spark = df.sparkSession
     try:
         done = spark.read.parquet(out_path).select(*keys).distinct()
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return df
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
+        return df  # nothing written yet
     return df.join(done, list(keys), "left_anti")
 
 

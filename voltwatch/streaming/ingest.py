@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import exprs as X
 from ..operators.common import dedupe_keep
 from ..operators.health import build_health_features
-from ..sources.files import SNAPSHOT_COLUMNS, all_string_schema, with_batch_date, with_source_file
+from ..sources.files import SNAPSHOT_COLUMNS, all_string_schema, clean_numeric, with_batch_date, with_source_file
 
 
 def snapshot_stream(spark: SparkSession, src: str, columns: Sequence[str] = SNAPSHOT_COLUMNS,
@@ -30,34 +30,40 @@ def snapshot_stream(spark: SparkSession, src: str, columns: Sequence[str] = SNAP
     return with_batch_date(with_source_file(r.csv(src)))
 
 
-def _append_batch(path: str) -> Callable[[DataFrame, int], None]:
+def _append_batch(path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        # one folder per micro-batch id: a retried batch overwrites itself (idempotent)
-        batch.write.mode("overwrite").parquet(f"{path}/ingest_batch={batch_id}")
+        # the stream's own id keeps a new checkpoint's batch 0 apart from an older one's; a retried batch
+        # overwrites itself (idempotent)
+        stream = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        placed = clean_numeric(batch).select("*", F.monotonically_increasing_id().alias("_row"),
+                                             F.current_timestamp().alias("_ingested_at"))
+        placed.write.mode("overwrite").parquet(f"{path}/ingest_stream={stream}/ingest_batch={batch_id}")
     return write
 
 
 def stream_ingest(spark: SparkSession, src: str, history: str, checkpoint: str,
                   columns: Sequence[str] = SNAPSHOT_COLUMNS) -> StreamingQuery:
-    """ST1: new daily files -> history (append, exactly once per file).
+    """ST1 + P5: new daily files -> history (append, exactly once per file), numeric columns cleaned.
 
-    The history keeps every delivery with its ``ingest_batch``; ST2's one row
-    per (Serial, report) is applied on read by :func:`read_history`.
+    The history keeps every delivery with its ``ingest_stream`` and
+    ``ingest_batch``; ST2's one row per (Serial, report) is applied on read by
+    :func:`read_history`.  A stream with a new checkpoint adds, never replaces.
     """
-    s = snapshot_stream(spark, src, columns)
+    s = snapshot_stream(spark, src, columns).select("*", F.col("_metadata.file_block_start").alias("_block"))
     return (s.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
-            .foreachBatch(_append_batch(history)).start())
+            .foreachBatch(_append_batch(history, checkpoint)).start())
 
 
 def read_history(spark: SparkSession, history: str) -> DataFrame:
     """ST2: exactly one row per (Serial, report time) across runs; the latest
-    ingest wins (the reference keeps the last after appending new files).
-    Missing report times fall back to Last_Heard, then the batch date (T33)."""
+    ingest wins, inside a file the last row (the reference keeps the last after
+    appending new files).  Missing report times fall back to Last_Heard, then
+    the batch date (T33)."""
     h = spark.read.parquet(history)
     key = F.coalesce(X.to_ts("BatteryLatestReport"), X.to_ts("Last_Heard"), F.col("batch_date").cast("timestamp"))
     h = h.select("*", key.alias("_report_key"))
-    out = dedupe_keep(h, ["Serial", "_report_key"], [F.col("ingest_batch"), F.col("_source_file")], keep="last")
-    return out.drop("_report_key")
+    order = ["_ingested_at", "ingest_batch", "_source_file", "_block", "_row"]
+    return dedupe_keep(h, ["Serial", "_report_key"], [F.col(c) for c in order], keep="last").drop("_report_key")
 
 
 def stream_daily(stream: DataFrame, watermark: str = "2 days") -> DataFrame:
