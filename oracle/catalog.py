@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .dirty_sql import SQL as DIRTY
 from .export_sql import ALERT_SQL, EXPORT_SQL, J5_SQL, SUMMARY_SQL, TTL_SQL
 from .health_sql import health_sql
 from .misc_sql import SQL as MISC
@@ -28,3 +29,4 @@ SQL: dict[str, str] = {
 SQL.update(REPORTS)
 SQL.update(ML)
 SQL.update(MISC)
+SQL.update(DIRTY)

@@ -618,3 +618,6 @@ def p8_device_types(spark, sf_dir):
     return d.select("reading_id", "raw_type", X.device_type_a("raw_type").alias("type_a"),
                     X.device_type_b(X.device_type_upper(F.col("raw_type"))).alias("type_b"),
                     X.device_type_b(X.device_type_upper(F.col("raw_type")), "Unknown").alias("type_b_unknown"))
+
+
+from . import dirty  # noqa: E402,F401 - registers its queries here
