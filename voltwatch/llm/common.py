@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -50,6 +52,13 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished phases whose results are written: it does so when the driver
+    collects the plans that hold them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A finaliser that spreads every input bit over the 64 bits (wraps around)."""
     h = h ^ (h >> np.uint64(30))

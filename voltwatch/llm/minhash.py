@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltwatch.llm.common import Words, grams, mix, shuffle_partitions, steps, string_parts, with_checkpoint_dir
+from voltwatch.llm.common import Words, grams, mix, release, shuffle_partitions, steps, string_parts, with_checkpoint_dir
 from voltwatch.llm.graph import components
 
 BANDS, ROWS = 28, 5
@@ -225,7 +225,9 @@ def near_duplicates(docs: DataFrame, size: int = 4, threshold: int = 80) -> Data
     least = F.min(F.struct("doc_id", "text_hash", "signature", "n_shingles"))
     some.groupBy("key1", "key2").agg(least.alias("r")).select("key1", "key2", "r.*").write.parquet(f"{where}/classes")
     classes = spark.read.parquet(f"{where}/classes")
+    release(spark)
     found = components(_links(docs, classes, size, threshold))
+    release(spark)
     label = classes.select("key1", "key2", F.col("doc_id").alias("id")).join(found, "id", "left").select("key1", "key2", F.coalesce("component", "id").alias("component"))
     light = signed.select("doc_id", "text_hash", "n_shingles", "key1", "key2")
     linked = light.where("n_shingles > 0 AND doc_id IS NOT NULL").join(label, ["key1", "key2"]).select("doc_id", "text_hash", "n_shingles", F.col("component").alias("component_id"))
