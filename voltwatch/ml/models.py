@@ -228,7 +228,7 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """M5: per-class precision / recall / F1 / support, accuracy, macro and
     weighted averages (0 on division by zero); pure aggregates."""
     # the confusion matrix has #classes^2 rows: evaluate the predictions once
-    cm = (df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
+    cm = reliable_checkpoint(df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
                            .agg(F.count(F.lit(1)).alias("n")))
     classes = cm.select(F.col("y").alias("c")).union(cm.select(F.col("p").alias("c"))).distinct()
     per = (classes.join(cm, (cm.y == classes.c) | (cm.p == classes.c), "left")
@@ -268,7 +268,7 @@ def score_histogram(df: DataFrame, label: str, score: str) -> DataFrame:
     The running sums run over the aggregated histogram (one row per distinct
     score: rule scores and forest probabilities take few values), never over
     the rows themselves."""
-    h = (df.groupBy(F.col(score).alias("s")).agg(
+    h = reliable_checkpoint(df.groupBy(F.col(score).alias("s")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")))
     w = Window.orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
     return h.select("*", F.sum("pos").over(w).alias("cum_pos"), F.sum("neg").over(w).alias("cum_neg"))
@@ -288,7 +288,7 @@ def binary_metrics(df: DataFrame, label: str, pred: str, score: str) -> DataFram
     """Accuracy, precision, recall, F1 and rank-based ROC-AUC (ties count
     half; null with one class)."""
     # one pass: a small table of (label, prediction) counts, and the score histogram
-    yp = (df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
+    yp = reliable_checkpoint(df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
                            .agg(F.count(F.lit(1)).alias("c")))
     y, p, c = F.col("y"), F.col("p"), F.col("c")
     base = yp.agg(F.sum(c).alias("n"), F.sum(F.when((y == 1) & (p == 1), c).otherwise(0)).alias("tp"),
