@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +55,9 @@ def frozen(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished phases whose results are written: it does so when the driver
-    collects the plans that hold them."""
+    collects the plans that hold them. Python's references reach the JVM's count with a delay of about a second."""
     gc.collect()
+    time.sleep(2)
     spark.sparkContext._jvm.System.gc()
 
 
