@@ -10,6 +10,9 @@ The tokenizer file is one of the ``tokenizers`` library: NFC, lower case per cha
 characters, merges by rank with an end-of-word mark, no decoder (decoding joins the token strings by one space). Its
 path is a parameter.
 
+Words are split by the ``regex`` module, whose character tables are newer than the library's: letters and digits that
+Unicode added after version 16 may be split another way than there.
+
 Cases: a null text counts as empty and has no ids; special tokens in a text are their ids, as in the library; repeated
 rows each give a row; an empty table gives no rows; other columns are ignored.
 """
