@@ -386,3 +386,24 @@ def test_secrets(spark, texts):
     assert sum(r.is_secret == bool(r.label) for r in held) >= 0.95 * len(held)
     assert secret_scan.scan(make(spark, [(1, "abcdefghijklmnop1234")])).collect()[0].score == 0.5
     assert secret_scan.scan(make(spark, texts).limit(0)).count() == 0
+
+
+def test_secrets_unquoted_short_and_without_digits(spark):
+    """Spans written by hand: (text before, value, text after) of what is proposed; a named value is no sure false finding."""
+    hexes, mixed = "24be64d6b2755a36d7d9c25bd72c4d5f67e061fd", "wJalrXUtnFEMIK7MDENGbPxRfiCYzzzzzzzzKEY9"
+    cases = {
+        1: ("API_KEY=", hexes, "\n"), 2: ("export AWS_SECRET_ACCESS_KEY=", mixed, ""), 3: ("GET /a?api_key=", hexes, "&page=2"),
+        4: ('password = "', "hunter2hunter2", '"'), 5: ("PASSWORD=", "Zq!xv#kwpj", " next"), 6: ('{"client_secret": "', "qzxv wkjq pfgh", '", "a": 1}'),
+        7: ("DB_PASSWORD: ", "xkq7", "."), 8: ("é 'auth_token' => '", "zxqwvkjh", "'"), 9: ("secret=", "QUJDREVGR0hJSktMTU5PUA==", ""), 10: ("n=", "abcdefghij1234==", " x"),
+    }
+    rows = [(i, "".join(parts)) for i, parts in cases.items()]
+    rows += [(20, "the key: a b"), (21, "keyboard monkey"), (22, "n=12 m=ab"), (23, "token" * 20000), (24, "key=" * 3000)]
+    rows += [(100 + k, "order 4952935900253000 and thereinbefore12345678901") for k in range(3)]
+    docs = make(spark, rows)
+    found = {}
+    for r in secret_scan.candidates(docs).collect():
+        found.setdefault(r.doc_id, []).append((r.start, r.end, r.x))
+    assert {i: found.get(i) for i in cases} == {i: [(len(a), len(a) + len(x), x)] for i, (a, x, _) in cases.items()}
+    assert not {20, 21, 22, 23} & {*found}
+    got = {r.doc_id: r.label for r in secret_scan.scan(docs).collect()}
+    assert not [i for i in range(1, 10) if got[i] == 0] and got[1] == 1 and got[100] == 0

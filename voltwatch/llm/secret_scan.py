@@ -1,9 +1,11 @@
 """Secret scan: patterns propose findings, a random forest removes the false ones.
 
-A candidate is a run of at least 16 letters, digits and ``_+/=-`` (ASCII) that has a digit. Its features are length,
-shares of digits and capitals, changes between letters, digits and cases, distinct characters, dictionary coverage (share
-of its letter trigrams that occur in the corpus's frequent words, counted over all documents), the path it stands in, and
-words next to it.
+A candidate is a run of at least 16 letters, digits and ``_+/-`` (ASCII, ``=`` only as padding at its end) that has a
+digit, or the value given to a name that says it is a credential, of any characters from ``LEAST_NAMED`` on: up to the
+closing quote, or without quotes up to a space or a sign that ends values. Places that both find count once. Its features
+are length, shares of digits and capitals, changes between letters, digits and cases, distinct characters, dictionary
+coverage (share of its letter trigrams that occur in the corpus's frequent words, counted over all documents), the path
+it stands in, and words next to it.
 
 The forest learns from labelled findings: ``labelled`` gives those that a rule can tell for sure, from at most about
 ``FIT_ROWS`` of them, chosen by a hash of the document's id. Every candidate of every whole text is scored. A caller with
@@ -26,12 +28,23 @@ from voltwatch.llm.bpe import lexicon
 from voltwatch.llm.common import frozen
 from voltwatch.llm.pii import place
 
-CANDIDATE = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*[0-9])[A-Za-z0-9_+/=-]{16,}"
+_RUN = "[A-Za-z0-9_+/-]"
+_PADDED = "(?![A-Za-z0-9_+/=-])"  # an equals sign before anything else assigns
+CANDIDATE = rf"(?<!{_RUN})(?=[A-Za-z_+/-]*[0-9])(?:{_RUN}{{16,}}(?:={{1,2}}{_PADDED})?|{_RUN}{{15}}={{1,2}}{_PADDED}|{_RUN}{{14}}=={_PADDED})"
+#: Characters of a named value at least: what is shorter keeps no secret.
+LEAST_NAMED = 4
+_NAMES = "token|secret|key|passw|auth|credential|api"
+_GIVEN = r"[\"']?\s*+(?::=|=>|[=:])\s*+[\"']?"
+#: A name and what stands between it and its value; and both with the value. A name is read once, from its start.
+_BEFORE = rf"(?<![\w.-])(?=[\w.-]*?(?i:{_NAMES}))[\w.-]++{_GIVEN}"
+_PLAIN = r"[^\s\"'`&,;<>(){}\[\]]"
+_VALUE = rf"(?<=\")[^\"\r\n]{{{LEAST_NAMED},}}+(?=\")|(?<=')[^'\r\n]{{{LEAST_NAMED},}}+(?=')|(?![=:>]|\w*(?i:{_NAMES})[\w.-]*+{_GIVEN}{_PLAIN}){_PLAIN}{{{LEAST_NAMED},}}(?<![.:])"
+NAMED = rf"{_BEFORE}(?:{_VALUE})"
 #: Frequent words that make the dictionary, labelled findings in the fit about, trees and depth.
 DICTIONARY_WORDS, FIT_ROWS, TREES, DEPTH = 20_000, 20_000, 40, 8
 NEAR_CHARS = 40
-KEYWORD = r"(?i)(token|secret|key|passw|auth|credential|api)[\w.-]*\s*[=:]\s*[\"']?$"
-ASSIGNED = r"[=:]\s*[\"']?$"
+KEYWORD = rf"(?i)({_NAMES})[\w.-]*{_GIVEN}$"
+ASSIGNED = r"(?:=>|[=:])\s*[\"']?$"
 HARMLESS = r"(?i)example|sample|dummy|card|visa|phone|sha1|commit|uuid|isbn|order"
 FEATURES = ["size", "digits", "capitals", "changes", "cases", "distinct", "hex", "numeric", "luhn", "coverage", "depth", "test_path", "keyword", "assigned", "harmless", "quoted"]
 
@@ -39,8 +52,10 @@ FEATURES = ["size", "digits", "capitals", "changes", "cases", "distinct", "hex",
 def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """A row a candidate: ``id_col``, path, start, end (code points, end exclusive), x, before, next."""
     path = F.coalesce(F.col(path_col), F.lit("")) if path_col else F.lit("")
-    held = df.select(F.col(id_col), path.alias("path"), F.col(text_col).alias("text")).where(F.col("text").rlike(CANDIDATE))
-    found = held.select("*", F.explode(place(F.col("text"), CANDIDATE)).alias("c"))
+    held = df.select(F.col(id_col), path.alias("path"), F.col(text_col).alias("text")).where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(NAMED))
+    value = lambda s: F.regexp_replace(s.x, rf"^{_BEFORE}", "")
+    named = F.transform(place(F.col("text"), NAMED), lambda s: F.struct((s.end - F.length(value(s))).alias("start"), s.end.alias("end"), value(s).alias("x")))
+    found = held.select("*", F.explode(F.array_union(place(F.col("text"), CANDIDATE), named)).alias("c"))
     first = F.greatest(F.col("c.start") - NEAR_CHARS, F.lit(0))
     return found.select(
         id_col, "path", "c.start", "c.end", "c.x",
