@@ -97,6 +97,27 @@ def test_edit_fingerprint_finds_edits(spark):
     assert pairs == {(1, 2), (1, 4)}
 
 
+def test_edit_fingerprint_crowded_buckets_and_early_edits(spark, monkeypatch):
+    """Every pair alike by brute force is found: many unlike texts of one opening among near ones, and rewritten beginnings."""
+    rnd = random.Random(12)
+    prose = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
+    opening, rows = prose(900), []
+    for _ in range(20):
+        own = opening + prose(1150)
+        rows += [own, own[:-40] + prose(40)]
+    for size in (1010, 1400, 2050):
+        for _ in range(5):
+            base = prose(size)
+            rows += [base, prose(size // 10) + base[size // 10 :], prose(size // 5) + base[size // 5 :]]
+    prints = dict(enumerate(edit_fingerprint.fingerprints(rows)))
+    want = {(a, b) for a in prints for b in prints if a < b and edit_fingerprint.likeness(prints[a], prints[b]) >= 0.7}
+    assert len(want) >= 30
+    monkeypatch.setattr(edit_fingerprint, "CHUNK", 7)
+    got = edit_fingerprint.near_pairs(edit_fingerprint.with_fingerprints(make(spark, [*enumerate(rows)])), 0.7).collect()
+    assert {(r.a, r.b) for r in got} == want and len(got) == len(want)
+    assert all(r.likeness == edit_fingerprint.likeness(prints[r.a], prints[r.b]) for r in got)
+
+
 def test_substring(spark, texts):
     docs = [(i, WORD.findall(t or "")) for i, t in texts]
     for window in (35, 3):

@@ -8,7 +8,7 @@ characters share ``CLASSES`` rows of bits.
 A fingerprint holds ``SAMPLES`` outputs from each octave of steps [2^o, 2^(o+1)) up to the walk's end, at fixed random
 steps, one hex digit of a hash each; so it is short for texts of any length, and the same for equal texts. ``likeness``
 weighs octaves by their length and takes off what unlike texts agree in by chance. ``near_pairs`` cuts the longest
-octaves into bands of sampled digits; texts that share a band are candidates, verified by likeness.
+octaves into bands of sampled digits; texts that share a band are candidates, each pair verified by likeness.
 
 Cases: a null text counts as empty; an empty text has the fingerprint ``0``, like another empty text to 1 and any other
 to 0; ties of ids are ordered by text; rows without an id come last; repeated rows each give a row; an empty table gives
@@ -17,6 +17,7 @@ no rows; other columns are ignored. One document is its own next one.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -135,24 +136,26 @@ def likeness(one: str, two: str) -> float:
     return max(0.0, (share - CHANCE) / (1 - CHANCE))
 
 
-#: Digits in a band, and bands from each of two octaves.
-BAND, BANDS = 8, 8
+#: Digits in a band, and bands from each of the last ``LONG`` octaves (15/16 of the walk or more).
+BAND, BANDS, LONG = 8, 8, 4
+#: Classes in a chunk of a bucket, about; two chunks make a group.
+CHUNK = 512
+
+
+@functools.cache
+def _band_places(at: int, size: int) -> list[list[int]]:
+    draw = np.random.default_rng(at)
+    return [draw.choice(size, min(BAND, size), replace=False).tolist() for _ in range(BANDS)]
 
 
 def bands(fingerprint: str) -> list[str]:
-    """Band keys: digits sampled from the third and fourth last octave, which near texts share even where one of them
-    just reaches the next octave; short texts: from the first steps."""
+    """Band keys: digits sampled from each of the last ``LONG`` octaves, the first steps being one too. So near texts share
+    some wherever their edits are, also where one of them just reaches the next octave. A band that lies behind the end
+    of the walk tells nothing and is left out."""
     head = 1 << FIRST
-    if len(fingerprint) < head + 3 * SAMPLES:
-        parts = [(0, fingerprint[:head])]
-    else:
-        parts = [(at, fingerprint[at : at + SAMPLES]) for at in (len(fingerprint) - 3 * SAMPLES, len(fingerprint) - 4 * SAMPLES) if at >= head]
-        parts = parts or [(0, fingerprint[:head])]
-    keys = []
-    for at, part in parts:
-        draw = np.random.default_rng(at)
-        keys += [f"{at}:{k}:" + "".join(part[i] for i in draw.choice(len(part), min(BAND, len(part)), replace=False)) for k in range(BANDS)]
-    return keys
+    parts = [(0, fingerprint[:head]), *((at, fingerprint[at : at + SAMPLES]) for at in range(head, len(fingerprint), SAMPLES))]
+    keys = [f"{at}:{k}:" + "".join(part[i] for i in places) for at, part in parts[-LONG:] for k, places in enumerate(_band_places(at, len(part)))]
+    return [k for k in keys if k.rsplit(":", 1)[1].strip("g")] or keys
 
 
 def with_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,25 +172,73 @@ def with_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def near_pairs(prints: DataFrame, least: float, id_col: str = "doc_id") -> DataFrame:
     """Pairs (a, b, likeness) of ids that are alike by ``least``, from columns ``id_col``, fingerprint, bands.
 
-    Equal fingerprints are one class, named by its least id, whose members are paired with it. The classes in a band's
-    bucket are verified against the bucket's first class, so a bucket gives as many candidates as it has members.
+    Equal fingerprints are one class, named by its least id, whose members are paired with it; of classes, every pair that
+    is alike is given. A band's bucket is compared whole: its classes are dealt to chunks, and every pair of chunks is a
+    group of its own. Buckets with equal members count once.
     """
     rows = prints.where(F.col(id_col).isNotNull())
     classes = rows.groupBy("fingerprint").agg(F.min(id_col).alias("id"), F.first("bands").alias("bands"))
     member = classes.select("id", "fingerprint", F.explode(F.array_distinct("bands")).alias("band"))
-    first = member.groupBy("band").agg(F.min(F.struct("id", "fingerprint")).alias("f"), F.count("*").alias("n")).where("n > 1")
-    pairs = member.join(first.select("band", F.col("f.id").alias("a"), F.col("f.fingerprint").alias("fa")), "band").where("id <> a")
-    pairs = pairs.select("a", F.col("id").alias("b"), "fa", F.col("fingerprint").alias("fb")).dropDuplicates(["a", "b"])
+    marks = (F.bit_xor(F.xxhash64("fingerprint")).alias("x"), F.bit_xor(F.xxhash64("fingerprint", F.lit(1))).alias("y"))
+    shared = member.groupBy("band").agg(F.count("*").alias("n"), *marks).where("n > 1")
+    once = shared.groupBy("n", "x", "y").agg(F.min("band").alias("band"))
+    dealt = member.join(once.select("band", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "band")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fingerprint", F.lit(2)), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side")
+    dealt = dealt.select(F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other")).alias("grp"), side, "id", "fingerprint")
+    dealt = dealt.repartition(shuffle_partitions(prints.sparkSession), "grp").sortWithinPartitions("grp")
+
+    def found(ids: pa.Array, sides: np.ndarray, texts: list[str]) -> Iterator[pa.RecordBatch]:
+        for some in _alike(sides, texts, least):
+            one, two = ids.take(pa.array([p for p, _, _ in some], pa.int64())), ids.take(pa.array([q for _, q, _ in some], pa.int64()))
+            yield pa.RecordBatch.from_arrays([one, two, pa.array([v for _, _, v in some], pa.float64())], ["a", "b", "likeness"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of one group, which goes on from one batch to the next
+
+        def worked() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield from found(table.column(2).combine_chunks(), table.column(1).to_numpy(), table.column(3).to_pylist())
+
         for batch in batches:
-            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([likeness(x, y) for x, y in both], pa.float64())], ["a", "b", "likeness"])
+            group = batch.column(0).to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]]).tolist()
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if b > a:
+                    if held and held[-1].column(0)[-1].as_py() != group[a]:
+                        yield from worked()
+                        held.clear()
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield from worked()
 
     kind = dict(prints.dtypes)[id_col]
-    found = pairs.mapInArrow(run, f"a {kind}, b {kind}, likeness double").where(F.col("likeness") >= least)
+    pairs = dealt.mapInArrow(run, f"a {kind}, b {kind}, likeness double").where("a <> b")
+    pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("likeness").alias("likeness"))
     copies = rows.join(classes.select("fingerprint", F.col("id").alias("a")), "fingerprint").where(F.col(id_col) != F.col("a"))
-    return found.union(copies.select("a", F.col(id_col).alias("b"), F.lit(1.0).alias("likeness")))
+    return pairs.union(copies.select("a", F.col(id_col).alias("b"), F.lit(1.0).alias("likeness")))
+
+
+def _alike(sides: np.ndarray, texts: list[str], least: float) -> Iterator[list[tuple[int, int, float]]]:
+    """For each fingerprint of a group, the pairs (place, later place, likeness) with those alike by ``least``; sides 1 and
+    2 are compared with each other only."""
+    size = max(map(len, texts))
+    digits = np.frombuffer("".join(t.ljust(size, "h") for t in texts).encode(), np.uint8).reshape(len(texts), size)
+    inside = digits < ord("g")
+    octaves = np.arange(FIRST, FIRST + -(-size // SAMPLES))
+    weight = np.concatenate([np.full(1 << FIRST, 1.0), np.repeat(2.0**octaves / SAMPLES, SAMPLES)])[:size]
+    for p in range(len(texts) - 1):
+        there = np.arange(p + 1, len(texts))
+        there = there[sides[there] != sides[p]] if sides[p] else there
+        if not len(there):
+            continue
+        counts = inside[there] | inside[p]
+        share = ((digits[there] == digits[p]) & counts) @ weight / np.maximum(counts @ weight, 1e-9)
+        near = there[(share - CHANCE) / (1 - CHANCE) >= least - 1e-6] if least > 0 else there  # the sums' order differs
+        some = [(p, q, v) for q in near.tolist() if (v := likeness(texts[p], texts[q])) >= least]
+        if some:
+            yield some
 
 
 def edited_text(text: str, other: str) -> str:
