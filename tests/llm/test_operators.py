@@ -255,6 +255,19 @@ def test_minhash(spark, texts):
     assert [r.text for r in kept if r.doc_id is None] == ["no id"]
 
 
+def test_minhash_equal_ids(spark):
+    """Of documents that share an id, the linked one goes and the unlinked one stays."""
+    rnd = random.Random(10)
+    prose = lambda: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(100))
+    linked, other, third, far = prose(), prose(), prose(), prose()
+    rows = [(3, linked + " end"), (5, linked), (5, other), (5, third), (4, third + " end"), (9, third + " more"), (6, far), (2, far + " end")]
+    got = {(r.doc_id, r.text_hash): (r.component_id, r.kept) for r in minhash.near_duplicates(make(spark, rows)).collect()}
+    hashed = {r.text: r.h for r in make(spark, rows).select("text", F.xxhash64("text").alias("h")).collect()}
+    want = {linked + " end": 3, linked: 3, other: 5, third: 4, third + " end": 4, third + " more": 4, far: 2, far + " end": 2}
+    assert got == {(i, hashed[t]): (want[t], i == want[t]) for i, t in rows}
+    assert sorted((r.doc_id, r.text) for r in minhash.one_of_each(make(spark, rows)).collect()) == sorted((i, t) for i, t in rows if i == want[t])
+
+
 def test_minhash_large_group_near_the_threshold(spark, monkeypatch):
     """Copies edited here and there, similar by about the threshold, in buckets of several chunks."""
     rnd = random.Random(4)

@@ -12,7 +12,7 @@ comparison, so a group gives back at most one link a member. Buckets with equal
 
 Cases: a null text, or one without words, has no shingles and is linked with nothing; a document without an id is
 never linked, has a null component and is kept; repeated rows are copies and share their component; equal ids with
-different texts are separate documents that share the id; an empty table gives no rows; other columns are ignored.
+different texts are separate documents that share the id, each linked by its own text; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -152,26 +152,26 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _links(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> DataFrame:
-    """Links (a, b) between class representatives, verified on the full sets of their texts."""
+    """Links (a, b) between the nodes of classes, verified on the full sets of their representatives' texts."""
     spark = docs.sparkSession
     bands = [F.xxhash64(F.lit(k), F.substring("signature", 2 * ROWS * k + 1, 2 * ROWS)) for k in range(BANDS)]
-    member = classes.select("doc_id", "n_shingles", F.explode(F.array(*bands)).alias("bucket"))
+    member = classes.select("node", "n_shingles", F.explode(F.array(*bands)).alias("bucket"))
     shared = member.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y")
+        F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
     ).where("n > 1")
     once = shared.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"), F.max("shingles").alias("shingles"))
     chunks = F.ceil(F.greatest(F.col("n") / CHUNK, F.col("shingles") * 8 / CHUNK_BYTES)).cast("int")
-    dealt = member.select("doc_id", "bucket").join(once.select("bucket", chunks.alias("chunks")), "bucket")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("chunks")).cast("int"))
+    dealt = member.select("node", "bucket").join(once.select("bucket", chunks.alias("chunks")), "bucket")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node", F.lit(2)), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select(
-        "doc_id",
+        "node",
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("grp"),
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
     )
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(classes.select("doc_id", "text_hash", "signature"), ["doc_id", "text_hash"])
-    rows = dealt.join(texts, "doc_id").select("grp", "side", "doc_id", "signature", "text")
-    rows = rows.repartition(shuffle_partitions(spark), "grp").sortWithinPartitions("grp", "doc_id")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(classes.select("doc_id", "text_hash", "node", "signature"), ["doc_id", "text_hash"])
+    rows = dealt.join(texts, "node").select("grp", "side", "node", "signature", "text")
+    rows = rows.repartition(shuffle_partitions(spark), "grp").sortWithinPartitions("grp", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -179,7 +179,7 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> Da
         def worked(table: pa.Table) -> pa.RecordBatch:
             data, offsets = string_parts(table.column("text"))
             sets = [s for f, p in steps(offsets) for s in shingle_sets(data, offsets, f, p, size)]
-            ids, sides = table.column("doc_id").to_numpy(), table.column("side").to_numpy()
+            ids, sides = table.column("node").to_numpy(), table.column("side").to_numpy()
             group = table.column("grp").to_numpy()
             raw, _ = string_parts_binary(table.column("signature"))
             signatures = raw.view(np.uint16).reshape(-1, HASHES)
@@ -223,12 +223,15 @@ def near_duplicates(docs: DataFrame, size: int = 4, threshold: int = 80) -> Data
     signed = spark.read.parquet(f"{where}/signed")
     some = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     least = F.min(F.struct("doc_id", "text_hash", "signature", "n_shingles"))
-    some.groupBy("key1", "key2").agg(least.alias("r")).select("key1", "key2", "r.*").write.parquet(f"{where}/classes")
+    # ids may be shared by documents with different texts, so links go between numbers of classes, fixed by writing them
+    some.groupBy("key1", "key2").agg(least.alias("r")).select("key1", "key2", "r.*", F.monotonically_increasing_id().alias("node")).write.parquet(f"{where}/classes")
     classes = spark.read.parquet(f"{where}/classes")
     release(spark)
     found = components(_links(docs, classes, size, threshold))
     release(spark)
-    label = classes.select("key1", "key2", F.col("doc_id").alias("id")).join(found, "id", "left").select("key1", "key2", F.coalesce("component", "id").alias("component"))
+    tops = found.join(classes.select(F.col("node").alias("id"), "doc_id"), "id").groupBy("component").agg(F.min("doc_id").alias("top"))
+    found = found.join(tops, "component").select(F.col("id").alias("node"), "top")
+    label = classes.select("key1", "key2", "node", "doc_id").join(found, "node", "left").select("key1", "key2", F.coalesce("top", "doc_id").alias("component"))
     light = signed.select("doc_id", "text_hash", "n_shingles", "key1", "key2")
     linked = light.where("n_shingles > 0 AND doc_id IS NOT NULL").join(label, ["key1", "key2"]).select("doc_id", "text_hash", "n_shingles", F.col("component").alias("component_id"))
     alone = light.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"))
