@@ -224,6 +224,18 @@ def test_language_rejects_what_it_never_saw(spark):
     assert len(ids) >= 0.99 * docs.count()
 
 
+def test_samples_of_tables_a_million_times_larger(spark, monkeypatch):
+    """A share below a millionth still draws rows."""
+    rows = spark.range(0, 40_000_000, 1, 8).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.lit("en").alias("lang"))
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 30)
+    monkeypatch.setattr(langid, "_document_frequency", lambda rows: (langid.np.zeros(langid.DIMS, int), 40_000_000))
+    model = langid.fit(rows, F.lit(True))
+    assert model.langs == ["en"]
+    marked = spark.range(0, 6_000_000, 1, 8).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    monkeypatch.setattr(quality, "FIT_ROWS", 5)
+    assert quality.fit(rows.where("doc_id < 6000000"), marked, F.lit(True)).any()
+
+
 def brute_components(rows, size, percent):
     sets = {}
     for i, t in rows:

@@ -8,7 +8,7 @@ import time
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step looks at; a longer text is a step of its own.
@@ -53,6 +53,12 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drawn(share: float, *on) -> Column:
+    """Whether a row belongs to the ``share`` of rows that the hash of ``on`` chooses. All 64 bits decide, so a share
+    may be as small as a table is large."""
+    return F.xxhash64(*on) < F.lit(-(2**63) + int(share * 2**64)) if share < 1 else F.lit(True)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished phases whose results are written: it does so when the driver
     collects the plans that hold them. Python's references reach the JVM's count with a delay of about a second."""

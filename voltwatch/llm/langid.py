@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltwatch.llm.common import LOWER, STEP_BYTES, mix, steps, string_parts
+from voltwatch.llm.common import LOWER, STEP_BYTES, drawn, mix, steps, string_parts
 
 DIMS = 4096
 #: Learning rows that the centroids are fitted on, about; and centroids a language.
@@ -124,8 +124,7 @@ def fit(df: DataFrame, learn: Column) -> Centroids:
     idf = np.log((1 + n) / (1 + frequency)).astype(np.float32) + 1
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     each = max(1, SAMPLE_ROWS // max(1, len(sizes)))
-    share = F.coalesce(*(F.when(F.col("lang") == k, F.lit(int(1e6 * min(1.0, each / v)))) for k, v in sizes.items()), F.lit(0))
-    drawn = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1_000_000)) < share
+    chosen = F.coalesce(*(F.when(F.col("lang") == k, drawn(each / v, F.lit("langid"), "doc_id")) for k, v in sizes.items()), F.lit(False))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,7 +133,7 @@ def fit(df: DataFrame, learn: Column) -> Centroids:
                 counts = trigram_counts(data, offsets, first, past)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, past - first), pa.array([c.astype(np.uint16 if c.max(initial=0) < 65536 else np.float32).tobytes() for c in counts], pa.binary())], ["lang", "counts"])
 
-    sample = rows.where(drawn).select("lang", "text").mapInArrow(vectors, "lang string, counts binary").collect()
+    sample = rows.where(chosen).select("lang", "text").mapInArrow(vectors, "lang string, counts binary").collect()
     langs = sorted({r.lang for r in sample})
     if not langs:
         return Centroids([], idf, np.zeros(0, int), np.zeros((0, DIMS), np.float32), np.zeros(_LENGTHS))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltwatch.llm.common import Words, grams, mix, steps, string_parts
+from voltwatch.llm.common import Words, drawn, grams, mix, steps, string_parts
 
 DIMS = 1 << 18
 #: Labelled rows in the fit at most, about.
@@ -85,9 +85,8 @@ class Ftrl:
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "quality") -> np.ndarray:
     """Weights (``DIMS + 1``) learned from the labelled rows where ``learn`` (over doc_id) holds."""
     marked = labels.where(learn & F.col("doc_id").isNotNull() & F.col(label_col).isNotNull()).groupBy("doc_id").agg((F.avg(label_col) >= 0.5).cast("int").alias("__label"))
-    share = min(1.0, FIT_ROWS / max(1, marked.count()))
-    drawn = marked.where(F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1_000_000)) < int(1e6 * share))
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # about FIT_ROWS pairs of numbers
+    chosen = marked.where(drawn(FIT_ROWS / max(1, marked.count()), F.lit("quality"), "doc_id"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about FIT_ROWS pairs of numbers
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
