@@ -201,6 +201,24 @@ def test_token_counts_of_any_file(spark, tmp_path):
         assert got == {"a": [(0, 1), (1, 0), (2, 3), (3, 1)], "b": [(0, 0)], "c": [(0, 10)]}
 
 
+def test_token_counts_of_a_file_beyond_2_gib(spark, tmp_path, monkeypatch):
+    """A sparse file longer than Spark's rows may be, with documents over many blocks; and the way of files that only Spark opens."""
+    import numpy as np
+
+    ends = [10, 11, 300_000_000, 549_999_000]
+    with open(tmp_path / "large file", "wb") as f:
+        f.truncate(4 * 550_000_000 + 3)
+        for k in ends:
+            f.seek(4 * k)
+            f.write(np.array([9], "<u4").tobytes())
+    got = [r.n_tokens for r in token_counts.token_counts(spark, str(tmp_path), 9, width=4).orderBy("nth").collect()]
+    assert got == [10, 0, 300_000_000 - 12, 549_999_000 - 300_000_001, 999]
+    (tmp_path / "small").mkdir()
+    np.array([5, 9, 9, 1, 2, 3, 9, 4], "<u2").tofile(tmp_path / "small" / "a")
+    monkeypatch.setattr(token_counts, "can_open", lambda path: False)
+    assert [r.n_tokens for r in token_counts.token_counts(spark, str(tmp_path / "small"), 9, block=3).orderBy("nth").collect()] == [1, 0, 3, 1]
+
+
 def test_language(spark, texts):
     rows = {r.doc_id: r for r in langid.identify(documents(spark, SF)).collect()}
     docs = documents(spark, SF).collect()

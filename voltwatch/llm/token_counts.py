@@ -1,7 +1,7 @@
 """Token counts of documents in flat token files, by a scan for end-of-document ids.
 
 A flat token file is a row of little-endian integers; every document ends with the end id, nothing tells where. A file is
-looked at in blocks: numpy finds the end ids of a block at once and gives the tokens before the first, between them and
+looked at in blocks, each read by itself in any task: numpy finds the end ids of a block at once and gives the tokens before the first, between them and
 after the last. A prefix scan over the blocks of a file (window sums in Spark) stitches documents that go over block
 ends and numbers them.
 
@@ -17,13 +17,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltwatch.llm.common import with_checkpoint_dir
+from voltwatch.llm.common import shuffle_partitions, with_checkpoint_dir
 
 #: Tokens in a block.
 BLOCK = 1 << 20
@@ -56,29 +58,73 @@ def write_tokens(df: DataFrame, path: str, model_path: str, end: int, text_col:
     df.select(text_col).mapInArrow(run, "tokens binary").select(F.col("tokens").cast("string")).write.option("lineSep", mark.decode("ascii")).text(path)
 
 
+def _local(path: str) -> str | None:
+    """The local path that a path of Spark's names, or none."""
+    if path.startswith("file:"):
+        return "/" + path[len("file:") :].lstrip("/")
+    return path if path.startswith("/") else None
+
+
+def opened(path: str) -> BinaryIO:
+    """The file under a path as Spark lists it, for reading from any place."""
+    if (local := _local(path)) is not None:
+        return open(local, "rb")
+    system, inner = pa.fs.FileSystem.from_uri(path)
+    return system.open_input_file(inner)
+
+
+def can_open(path: str) -> bool:
+    try:
+        opened(path).close()
+    except (OSError, pa.ArrowException):
+        return False
+    return True
+
+
 def token_counts(spark: SparkSession, path: str, end: int, width: int = 2, block: int = BLOCK) -> DataFrame:
-    """path, nth (document of the file, from 0), n_tokens, for flat files of ``width``-byte integers."""
+    """path, nth (document of the file, from 0), n_tokens, for flat files of ``width``-byte integers.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Spark lists the files and spreads their blocks over tasks, each of which reads its bytes alone. Files of a file system
+    that neither Python nor Arrow opens are read whole by Spark, a file a task.
+    """
+
+    def counted(name: str, number: int, tokens: np.ndarray) -> pa.RecordBatch:
+        ends = np.flatnonzero(tokens == end)
+        row = (len(ends), int(ends[0]), len(tokens) - 1 - int(ends[-1]), (np.diff(ends) - 1).tolist()) if len(ends) else (0, 0, len(tokens), [])
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((name, number, *row), types, strict=True)], ["path", "block", "ends", "head", "tail", "inner"])
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, number, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = number * block * width
+                size = min(block * width, length - length % width - at)
+                with opened(name) as f:
+                    f.seek(at)
+                    content = f.read(size)
+                if len(content) != size:
+                    raise OSError(f"{name} is shorter than listed")
+                yield counted(name, number, np.frombuffer(content, f"<u{width}"))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
-                name, content = batch.column(0).slice(k, 1), batch.column(1)[k].as_buffer()
+                content = batch.column(1)[k].as_buffer()
                 tokens = np.frombuffer(content, f"<u{width}", len(content) // width)
-                rows = []
                 for at in range(0, len(tokens), block):
-                    part = tokens[at : at + block]
-                    ends = np.flatnonzero(part == end)
-                    if len(ends):
-                        rows.append((at // block, len(ends), int(ends[0]), len(part) - 1 - int(ends[-1]), (np.diff(ends) - 1).tolist()))
-                    else:
-                        rows.append((at // block, 0, 0, len(part), []))
-                if rows:
-                    columns = [*zip(*rows, strict=True)]
-                    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-                    yield pa.RecordBatch.from_arrays([pa.array(name.to_pylist() * len(rows), pa.string()), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], ["path", "block", "ends", "head", "tail", "inner"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    blocks = files.mapInArrow(run, "path string, block bigint, ends bigint, head bigint, tail bigint, inner array<bigint>")
+                    yield counted(batch.column(0)[k].as_py(), at // block, tokens[at : at + block])
+
+    schema = "path string, block bigint, ends bigint, head bigint, tail bigint, inner array<bigint>"
+    files = spark.read.format("binaryFile").load(path)
+    scheme = F.regexp_extract("path", "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    one_each = files.groupBy(scheme.alias("scheme")).agg(F.min("path").alias("path")).collect()  # a row a kind of file system
+    shut = [r.scheme for r in one_each if not can_open(r.path)]
+    spread = files.where(~scheme.isin(shut)).select("path", "length") if shut else files.select("path", "length")
+    count = F.ceil(F.floor(F.col("length") / width) / block).cast("bigint")
+    spread = spread.where(count > 0).select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)).alias("block"), "length")
+    blocks = spread.repartition(shuffle_partitions(spark), "path", "block").mapInArrow(ranges, schema)
+    if shut:
+        blocks = blocks.union(files.where(scheme.isin(shut)).select("path", "content").mapInArrow(whole, schema))
     order = Window.partitionBy("path").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumns({"first": F.coalesce(F.sum("ends").over(before), F.lit(0)), "sum": F.coalesce(F.sum("tail").over(before), F.lit(0)), "final": F.lead("block").over(order).isNull()})
