@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,9 @@ from pyspark.sql import functions as F
 #: Bytes of text that one vectorised step looks at; a longer text is a step of its own.
 STEP_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: A random number for each of the first ``_PLACES`` places of a word and each byte; later places mix these again.
+_PLACES = 64
+_BYTE = np.random.default_rng(20240229).integers(0, 2**64, _PLACES * 256, dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: ASCII upper case to lower case, all other bytes unchanged.
@@ -67,6 +71,27 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def _trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library keeps its memory as it likes
+        return None
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, but at a task's end the worker gives freed memory back to the system: Spark keeps idle workers, and what
+    their allocators hold counts beside the executor's heap in later stages."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := _trim():
+            trim(0)
+
+    return inner
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A finaliser that spreads every input bit over the 64 bits (wraps around)."""
     h = h ^ (h >> np.uint64(30))
@@ -106,16 +131,20 @@ def steps(offsets: np.ndarray, limit: int = STEP_BYTES):
 
 
 class Words:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of some texts: byte ranges, 64-bit hashes, and where each text's words begin."""
+    """The words ``[^\\x20\\x09-\\x0D]+`` of some texts: byte ranges, 64-bit hashes, and where each text's words begin.
+
+    ``gaps`` marks the bytes between words. A word's hash sums a random number for each byte and its place, mixed with
+    the word's length, so no arrangement of bytes cancels out.
+    """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, first: int, past: int, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, first: int, past: int, lower: bool = False, gaps: np.ndarray = _SPACE):
         base = int(offsets[first])
         self.bytes = data[base : int(offsets[past])]
         if lower:
             self.bytes = LOWER[self.bytes]
         bounds = offsets[first : past + 1] - base
         n = len(self.bytes)
-        space = _SPACE[self.bytes]
+        space = gaps[self.bytes]
         before = np.empty(n, bool)
         if n:
             before[0] = True
@@ -131,11 +160,16 @@ class Words:
         else:
             self.starts = self.ends = np.zeros(0, np.int64)
         self.of = np.searchsorted(self.starts, bounds)
-        up, down = _power(max(n, 1))
         if len(self.starts):
-            term = _BYTE[self.bytes] * up[:n]
+            size = self.ends - self.starts
+            spans = np.diff(self.starts, prepend=0, append=n)  # from one word's start to the next one's
+            place = np.arange(n, dtype=np.int32) - np.repeat(np.append(0, self.starts).astype(np.int32), spans)
+            term = _BYTE[(place & (_PLACES - 1)) << 8 | self.bytes]
+            if size.max() > _PLACES:
+                late = np.flatnonzero(place >= _PLACES)
+                term[late] = mix(term[late] + (place[late] // _PLACES).astype(np.uint64) * _ODD)
             total = term.cumsum(dtype=np.uint64)
-            self.hashes = mix((total[self.ends - 1] - total[self.starts] + term[self.starts]) * down[self.starts])
+            self.hashes = mix(total[self.ends - 1] - total[self.starts] + term[self.starts] + size.astype(np.uint64) * _ODD)
         else:
             self.hashes = np.zeros(0, np.uint64)
 
