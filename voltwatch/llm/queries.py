@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltwatch.llm import bpe, decontam, edit_fingerprint, langid, minhash, pii, quality, secret_scan, sql, substring, token_counts
+from voltwatch.llm import (
+    bpe,
+    conversation_repair,
+    decontam,
+    edit_fingerprint,
+    langid,
+    lexical,
+    minhash,
+    pii,
+    quality,
+    quality_rules,
+    secret_scan,
+    sql,
+    substring,
+    token_counts,
+)
 from voltwatch.llm.common import documents
 
 
@@ -58,6 +73,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_digest(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_fingerprint": op1_edit_fingerprint,
     "op2_decontamination": op2_decontamination,
@@ -69,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 SQL: dict[str, str] = {
@@ -76,4 +106,7 @@ SQL: dict[str, str] = {
     "op3_substring": sql.SUBSTRING_SQL,
     "op7_minhash": sql.NEAR_SQL,
     "op8_pii": sql.PII_SQL,
+    "op11_conversation_repair": sql.REPAIR_SQL,
+    "op12_quality_rules": sql.RULES_SQL,
+    "op13_lexical_search": sql.SEARCH_SQL,
 }

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from voltwatch.llm import pii
+from voltwatch.llm import lexical, pii
+from voltwatch.llm import quality_rules as rules
 
 
 def _pii_kind(kind: str, pattern: str, test: str, only: str) -> str:
@@ -89,3 +90,80 @@ best AS (SELECT doc_id, item_id, s, CAST(shared AS DOUBLE) / CAST(total_weight A
     row_number() OVER (PARTITION BY rid, item ORDER BY shared DESC, s) AS k FROM shares JOIN total USING (item))
 SELECT doc_id, item_id, CAST(s AS BIGINT) AS first_word, similarity FROM best WHERE k = 1 AND similarity >= 0.8
 """
+
+_WORD = "[^\\x20\\x09-\\x0D]"
+_CRC_TABLE = "(SELECT list_transform(range(256), lambda i: list_reduce([i :: BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc)"
+_CRC = "xor(list_reduce(list_prepend(4294967295 :: BIGINT, list_transform(string_split(key, ''), lambda x: ascii(x) :: BIGINT)), lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+
+REPAIR_SQL = f"""
+WITH RECURSIVE ids AS (SELECT conv_id, row_number() OVER () AS conv FROM (SELECT DISTINCT conv_id FROM conversations)),
+hit AS (SELECT conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS kind
+    FROM (SELECT *, coalesce(c.conv_id :: VARCHAR, ' ') || ':' || coalesce(turn :: VARCHAR, ' ') AS key FROM conversations c JOIN ids ON c.conv_id IS NOT DISTINCT FROM ids.conv_id), {_CRC_TABLE}),
+rows AS MATERIALIZED (SELECT conv, turn, role, text, row_number() OVER w AS i, NOT regexp_matches(text, '{_WORD}') AS blank, NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS open,
+    row_number() OVER (PARTITION BY conv, role, text) > 1 AS seen, substr(role, 1, 1) AS initial
+    FROM (SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM hit, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text)),
+signs AS MATERIALIZED (SELECT * EXCLUDE (seen), NOT blank AND row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again, lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial AS pair FROM rows),
+moves(q, initial, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+nexts(q, q2, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+best AS (SELECT conv, 0 :: BIGINT AS i, 0 AS q, {{'c': 0, 'a': '', 'o': ''}} AS b FROM ids
+    UNION ALL
+    SELECT conv, i, q, min(b) AS b FROM (
+        WITH step AS (SELECT s.conv, s.i, s.role, s.text, s.initial, s.blank OR s.again AS gone, CASE WHEN s.open THEN 1 ELSE 0 END AS more, b.q, b.b.c AS c, b.b.a AS a, b.b.o AS o FROM best b JOIN signs s ON s.conv = b.conv AND s.i = b.i + 1),
+        ready AS (SELECT * FROM step UNION ALL SELECT step.* REPLACE (nexts.q2 AS q, c + 2 AS c, a || 'I' AS a, o || nexts.role || ':' || chr(10) AS o) FROM step JOIN nexts USING (q))
+        SELECT conv, i, q, {{'c': c + 3, 'a': a || 'D', 'o': o}} AS b FROM ready
+        UNION ALL SELECT conv, i, moves.q2, {{'c': c + more, 'a': a || 'K', 'o': o || role || ':' || text || chr(10)}} FROM ready JOIN moves USING (q, initial) WHERE NOT gone
+        UNION ALL SELECT conv, i, nexts.q2, {{'c': c + more + 2, 'a': a || 'R', 'o': o || nexts.role || ':' || text || chr(10)}} FROM ready JOIN nexts USING (q) WHERE NOT gone)
+    GROUP BY conv, i, q),
+ends(q, c, a, o) AS (VALUES (0, 0, '', ''), (1, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), (2, 2, 'I', 'assistant:' || chr(10)), (3, 0, '', '')),
+done AS (SELECT conv, min({{'c': b.c + ends.c, 'a': b.a || ends.a, 'o': b.o || ends.o}}) AS b FROM best JOIN ends USING (q) WHERE i = (SELECT count(*) FROM signs s WHERE s.conv = best.conv) GROUP BY conv),
+facts AS (SELECT conv, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+    count(*) FILTER (open AND NOT blank AND NOT again) AS truncated, count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM signs GROUP BY conv)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+    CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(b.c AS BIGINT) AS cost, b.a AS audit,
+    sha256(CASE WHEN b.o = '' THEN '' ELSE substr(b.o, 1, length(b.o) - 1) END) AS repaired_sha256
+FROM ids JOIN done USING (conv) LEFT JOIN facts USING (conv)
+"""
+
+RULES_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS ws FROM documents),
+w AS MATERIALIZED (SELECT rid, doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM d),
+numbers AS MATERIALIZED (SELECT x, list_sum(list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT) * pw[i % {rules.CYCLE} + 1])) % {rules.PRIME} AS k
+    FROM (SELECT x, hex(encode(x)) AS h, {rules.POWERS} :: BIGINT[] AS pw FROM (SELECT DISTINCT x FROM w))),
+seq AS MATERIALIZED (SELECT rid, doc_id, k, lead(k) OVER (PARTITION BY rid ORDER BY p) AS k2 FROM w JOIN numbers USING (x)),
+ngrams AS MATERIALIZED (SELECT rid, doc_id, k % {rules.DIMS} AS bucket FROM seq UNION ALL
+    SELECT rid, doc_id, ({rules.FIRST} * k + {rules.SECOND} * k2) :: BIGINT % {rules.PRIME} % {rules.DIMS} FROM seq WHERE k2 IS NOT NULL),
+good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING avg(quality) > 0.5),
+counts AS MATERIALIZED (SELECT bucket, count(*) AS r, count(*) FILTER (doc_id IN (SELECT doc_id FROM good)) AS t FROM ngrams GROUP BY bucket),
+totals AS (SELECT sum(r) :: DOUBLE AS rs, sum(t) :: DOUBLE AS ts FROM counts),
+weights AS MATERIALIZED (SELECT bucket, floor(1e6 * ln((t + {rules.SMOOTH} :: DOUBLE) / (ts * r / rs + {rules.SMOOTH} :: DOUBLE))) :: BIGINT AS g FROM counts, totals),
+sums AS (SELECT rid, sum(g) AS weight, count(*) AS n FROM ngrams JOIN weights USING (bucket) GROUP BY rid),
+lines AS (SELECT rid, count(*) - count(DISTINCT line) AS again FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_WORD}') GROUP BY rid),
+windows AS MATERIALIZED (SELECT rid, p, x || ' ' || lead(x) OVER o || ' ' || lead(x, 2) OVER o AS t FROM w WINDOW o AS (PARTITION BY rid ORDER BY p)),
+twice AS (SELECT rid, t FROM windows WHERE t IS NOT NULL GROUP BY rid, t HAVING count(*) > 1),
+repeated AS (SELECT rid, count(DISTINCT p + o) AS n FROM windows JOIN twice USING (rid, t), range(3) AS k(o) GROUP BY rid),
+base AS (SELECT rid, doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(again, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words
+    FROM d LEFT JOIN lines USING (rid) LEFT JOIN repeated USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > {rules.MOST_REPEATED} * n_words AS base_failed,
+    CAST(CASE WHEN (SELECT ts FROM totals) > 0 THEN coalesce(weight, 0) ELSE 0 END AS BIGINT) AS weight,
+    NOT base_failed AND ((SELECT ts FROM totals) = 0 OR weight >= {rules.FLOOR} * n) AS kept
+FROM base LEFT JOIN sums USING (rid)
+"""
+
+
+def _terms(table: str, key: str) -> str:
+    return f"SELECT row_number() OVER () AS rid, {key}, regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM {table}"
+
+
+SEARCH_SQL = f"""
+WITH d AS MATERIALIZED ({_terms('documents', 'doc_id')}), b AS MATERIALIZED ({_terms('benchmark', 'item_id')}),
+q AS MATERIALIZED (SELECT DISTINCT rid AS item, item_id, unnest(ts) AS term FROM b),
+whole AS (SELECT count(*) AS docs, sum(len(ts)) :: BIGINT AS long FROM d WHERE len(ts) > 0),
+tf AS MATERIALIZED (SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(ts) AS n, unnest(ts) AS term FROM d) SEMI JOIN q USING (term) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0 :: DOUBLE * docs + 2) / (2.0 :: DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term, docs),
+scores AS (SELECT item, item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // long)))) AS BIGINT) AS score
+    FROM q JOIN tf USING (term) JOIN w USING (term), whole GROUP BY item, item_id, rid, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM
+    (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0) WHERE rank <= {lexical.BEST}
+"""
