@@ -47,4 +47,4 @@ def test_entry_has_the_queries():
 
     names = entry.queries()
     assert {"pipeline", *queries.QUERIES} <= {*names}
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}

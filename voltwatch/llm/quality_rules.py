@@ -11,8 +11,8 @@ integer, for t of T target n-grams and r of R raw ones: 0 where the target holds
 exact integer, is held against ``FLOOR`` millionths a n-gram, so that equal texts get equal verdicts in any order of rows.
 
 All counts cover all rows. Each task sums buckets in an array; ``2 * DIMS`` sums come to the driver, and ``DIMS`` weights
-go to every task, whatever the size of the corpus. Trusted texts are found by a semi-join on the id that Spark plans by
-size; their words alone are counted there.
+go to every task, whatever the size of the corpus. Trusted texts are found by a semi-join on the id; before it, documents go whose id has
+a hash that no trusted id has, so that where few are trusted few texts are shuffled.
 
 Cases: a null text counts as empty; an empty text, or one without words, fails; a document without an id is judged, but
 never trusted; labels of one id are taken by majority, ties are not trusted; repeated rows count each and are each
@@ -35,6 +35,8 @@ DIMS = 1 << 16
 LEAST_WORDS, MOST_REPEATED, WINDOW = 50, 50, 3
 #: n-grams that both multinomials get in every bucket; least mean weight of a kept text, in millionths of a nat.
 SMOOTH, FLOOR = 8.0, -100_000
+#: Values of a hash of the id that are sent to every executor at most: documents with none of them need no join.
+SLOTS = 1 << 20
 #: Fixed values of the n-gram hash: prime modulus, powers of 131 by place, factors of a pair.
 PRIME, CYCLE, FIRST, SECOND = 2**31 - 1, 64, 69069, 40503
 POWERS = [pow(131, k + 1, PRIME) for k in range(CYCLE)]
@@ -96,7 +98,10 @@ def trusted(labels: DataFrame, label_col: str = "quality") -> DataFrame:
 
 def learned(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
     """Weights of the buckets from all documents and all trusted ones."""
-    some = docs.select("doc_id", "text").join(trusted(labels), "doc_id", "left_semi").select("text")
+    good = trusted(labels).select(F.col("doc_id").cast(dict(docs.dtypes)["doc_id"]).alias("doc_id"))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+    near = good.select(slot.alias("slot")).distinct()  # at most SLOTS numbers, so that other texts are not shuffled
+    some = docs.select("doc_id", "text").withColumn("slot", slot).join(F.broadcast(near), "slot", "left_semi").join(good, "doc_id", "left_semi").select("text")
     return weights(_counts(some), _counts(docs.select("text")))
 
 
