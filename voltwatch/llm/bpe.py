@@ -33,6 +33,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltwatch.llm.common import tidied
+
 #: Words of the lexicon at most. Any value gives the same ids.
 LEXICON_SIZE = 65_536
 #: Words that a worker remembers at most, and texts' bytes that it turns out at once.
@@ -371,7 +373,7 @@ def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
                 first = past
 
     kind = dict(df.dtypes)[id_col]
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return df.select(id_col, text_col).mapInArrow(tidied(run), f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
 def bpe_digest(df: DataFrame, path: str) -> DataFrame:

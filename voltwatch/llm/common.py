@@ -121,13 +121,14 @@ def string_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def steps(offsets: np.ndarray, limit: int = STEP_BYTES):
-    """Ranges (first, past) of texts that together have about ``limit`` bytes, one text at least."""
+def steps(offsets: np.ndarray, limit: int = STEP_BYTES, most: int = 1 << 30):
+    """Ranges (first, past) of texts that together have about ``limit`` bytes, one text at least and ``most`` at most."""
     first, n = 0, len(offsets) - 1
     while first < n:
         past = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
-        yield first, min(past, n)
-        first = min(past, n)
+        past = min(past, n, first + most)
+        yield first, past
+        first = past
 
 
 class Words:

@@ -7,11 +7,12 @@ whole sequence. A document leaks an item if some window of it, as long as the it
 
 1. A window without any shingle of the item has no share of its weight, so windows are taken around shingles that occur
    in the benchmark: every window of an item's length that covers one.
-2. Each window and each item gets a SimHash of ``BITS`` weighted bits.
+2. Each window and each item gets a SimHash of ``BITS`` weighted bits over its distinct shingles. The shingles of texts
+   that have such windows are written once; from here on only fingerprints travel.
 3. The bits are cut into ``BLOCKS`` blocks. Each item is entered under every value within ``NEAR`` bits of its own, block
    by block; two fingerprints within ``RADIUS`` bits differ by at most ``NEAR`` bits in some block, so one look-up a
    block finds all of them.
-4. Candidates are verified exactly.
+4. Candidates are verified exactly, on the written shingles.
 
 Cases: a null or empty text, or one without words, leaks nothing; an item without words, or null, is leaked by nothing;
 an item of fewer than five words is leaked only by a text of the same words; repeated rows count once, equal ids with
@@ -21,16 +22,17 @@ other columns are ignored by ``leaks`` and kept by ``decontaminate``.
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltwatch.llm.common import with_checkpoint_dir
+
 SHINGLE, LEAST = 5, 0.8
 BLOCKS, WIDTH, NEAR = 7, 9, 3
 BITS, RADIUS = BLOCKS * WIDTH, BLOCKS * (NEAR + 1) - 1
-#: Benchmark shingles (24 bytes each) that are sent to every executor; a larger benchmark is joined by shuffles.
-BROADCAST_SHINGLES = 2_000_000
 _LANES = 21
 _THREE = 1 | 1 << _LANES | 1 << 2 * _LANES
 
@@ -100,10 +102,8 @@ def _leaks(keyed: DataFrame, benchmark: DataFrame) -> DataFrame:
     """k1, k2, id, item_id, first_word, similarity of every leak."""
     items = benchmark.where("item_id IS NOT NULL").select("item_id", words(F.col("text")).alias("w"))
     items = items.select("item_id", "w", _weighted(F.col("w")).alias("shingles")).where(F.size("shingles") > 0)
-    items = items.select("item_id", F.size("shingles").alias("long"), F.array_distinct("shingles").alias("own"), _weight(F.array_distinct("shingles")).alias("full"), _simhash(F.col("shingles")).alias("item_print"), "w")
+    items = items.select("item_id", F.size("shingles").alias("long"), F.array_distinct("shingles").alias("own"), _weight(F.array_distinct("shingles")).alias("full"), _simhash(F.array_distinct("shingles")).alias("item_print"), "w")
     wanted = items.select("long", F.explode(_hashes(F.col("w"))).alias("shingle")).distinct()
-    if wanted.count() <= BROADCAST_SHINGLES:
-        wanted = F.broadcast(wanted)
     split = keyed.select("k1", "k2", words(F.col("text")).alias("w"))  # a column, so that no lambda splits the text again
     placed = split.select("k1", "k2", F.posexplode(_hashes(F.col("w"))).alias("at", "shingle"))
     met = placed.join(wanted, "shingle").groupBy("k1", "k2", "long").agg(F.collect_set("at").alias("at"))
@@ -112,20 +112,25 @@ def _leaks(keyed: DataFrame, benchmark: DataFrame) -> DataFrame:
     held = held.select("k1", "k2", "id", "long", "at", words(F.col("text")).alias("w")).select("k1", "k2", "id", "long", "at", _weighted(F.col("w")).alias("shingles"))
     last = F.greatest(F.lit(0), F.size("shingles") - F.col("long"))
     starts = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(F.least(F.greatest(F.lit(0), p - F.col("long") + 1), last), F.least(p, last)))))
-    windows = held.withColumn("first_word", F.explode(starts))
-    windows = windows.select("k1", "k2", "id", "long", "first_word", F.slice("shingles", F.col("first_word") + 1, F.col("long")).alias("window"))
-    windows = windows.withColumn("print", _simhash(F.col("window")))
+    where = f"{with_checkpoint_dir(keyed.sparkSession).rstrip('/')}/leaks-{uuid.uuid4().hex}"
+    held.select("k1", "k2", "id", "long", "shingles", starts.alias("starts")).write.parquet(where)
+    held = keyed.sparkSession.read.parquet(where)
+    window = F.array_distinct(F.slice("shingles", F.col("first_word") + 1, F.col("long")))
+    windows = held.withColumn("first_word", F.explode("starts")).select("k1", "k2", "long", "first_word", _simhash(window).alias("print"))
 
     flips = [sum(1 << b for b in some) for n in range(NEAR + 1) for some in combinations(range(WIDTH), n)]
-    entries = items.select("item_id", "long", "own", "full", "item_print", F.posexplode(F.array(*(_block(F.col("item_print"), k) for k in range(BLOCKS)))).alias("block", "value"))
-    entries = entries.withColumn("flip", F.explode(F.array(*map(F.lit, flips)))).select("item_id", "long", "own", "full", "item_print", "block", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
+    entries = items.select("item_id", "long", "item_print", F.posexplode(F.array(*(_block(F.col("item_print"), k) for k in range(BLOCKS)))).alias("block", "value"))
+    entries = entries.withColumn("flip", F.explode(F.array(*map(F.lit, flips)))).select("item_id", "long", "item_print", "block", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
     index = entries.groupBy("long", "block", "value").agg(F.collect_list(F.struct("item_id", "item_print")).alias("items"))
     asked = windows.select("*", F.posexplode(F.array(*(_block(F.col("print"), k) for k in range(BLOCKS)))).alias("block", "value"))
-    near = asked.join(index, ["long", "block", "value"]).select("k1", "k2", "id", "first_word", "window", "print", F.explode("items").alias("item"))
+    near = asked.join(index, ["long", "block", "value"]).select("k1", "k2", "long", "first_word", "print", F.explode("items").alias("item"))
     near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item.item_print"))) <= RADIUS)
-    near = near.select("k1", "k2", "id", "first_word", "window", F.col("item.item_id").alias("item_id"))
-    share = _weight(F.array_intersect("window", "own")) / F.col("full")
-    found = near.join(items.select("item_id", "own", "full"), "item_id").select("k1", "k2", "id", "item_id", "first_word", share.alias("similarity")).where(F.col("similarity") >= LEAST)
+    # a window and an item meet in several blocks; one row for each text and item, with the places to look at
+    near = near.groupBy("k1", "k2", "long", F.col("item.item_id").alias("item_id")).agg(F.collect_set("first_word").alias("places"))
+    both = near.join(held.select("k1", "k2", "id", "long", "shingles"), ["k1", "k2", "long"]).join(items.select("item_id", "long", "own", "full"), ["item_id", "long"])
+    both = both.select("k1", "k2", "id", "item_id", "shingles", "long", "own", "full", F.explode("places").alias("first_word"))
+    share = _weight(F.array_intersect(F.slice("shingles", F.col("first_word") + 1, F.col("long")), F.col("own"))) / F.col("full")
+    found = both.select("k1", "k2", "id", "item_id", "first_word", share.alias("similarity")).where(F.col("similarity") >= LEAST)
     return found.groupBy("k1", "k2", "id", "item_id").agg(F.max(F.struct("similarity", (-F.col("first_word")).alias("back"))).alias("best")).select(
         "k1", "k2", "id", "item_id", (-F.col("best.back")).cast("bigint").alias("first_word"), F.col("best.similarity").alias("similarity")
     )

@@ -24,11 +24,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltwatch.llm.common import LOWER, STEP_BYTES, drawn, mix, steps, string_parts
+from voltwatch.llm.common import LOWER, STEP_BYTES, drawn, mix, steps, string_parts, tidied
 
 DIMS = 4096
 #: Learning rows that the centroids are fitted on, about; and centroids a language.
 SAMPLE_ROWS, CENTROIDS = 4000, 4
+#: Texts of a step at most: each has a row of ``DIMS`` counts.
+STEP_ROWS = 256
 #: A text is rejected below this share of the first percentile of learning texts of like length; a text of fewer
 #: trigrams than ``JUDGED`` only where it has next to nothing in common with any centroid.
 REACH, JUDGED, NOTHING = 0.35, 64, 0.02
@@ -106,11 +108,11 @@ def _document_frequency(rows: DataFrame) -> tuple[np.ndarray, int]:
         for batch in batches:
             data, offsets = string_parts(batch.column(0))
             n += len(batch)
-            for first, past in steps(offsets, STEP_BYTES // 4):
+            for first, past in steps(offsets, STEP_BYTES // 4, STEP_ROWS):
                 total += (trigram_counts(data, offsets, first, past) > 0).sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array([*range(DIMS), DIMS], pa.int32()), pa.array([*total.tolist(), n], pa.int64())], ["dim", "n"])
 
-    got = rows.select("text").mapInArrow(run, "dim int, n bigint").groupBy("dim").agg(F.sum("n").alias("n")).collect()
+    got = rows.select("text").mapInArrow(tidied(run), "dim int, n bigint").groupBy("dim").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(DIMS + 1, np.int64)
     for r in got:
         df[r.dim] = r.n
@@ -129,11 +131,11 @@ def fit(df: DataFrame, learn: Column) -> Centroids:
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = string_parts(batch.column(1))
-            for first, past in steps(offsets, STEP_BYTES // 4):
+            for first, past in steps(offsets, STEP_BYTES // 4, STEP_ROWS):
                 counts = trigram_counts(data, offsets, first, past)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, past - first), pa.array([c.astype(np.uint16 if c.max(initial=0) < 65536 else np.float32).tobytes() for c in counts], pa.binary())], ["lang", "counts"])
 
-    sample = rows.where(chosen).select("lang", "text").mapInArrow(vectors, "lang string, counts binary").collect()
+    sample = rows.where(chosen).select("lang", "text").mapInArrow(tidied(vectors), "lang string, counts binary").collect()
     langs = sorted({r.lang for r in sample})
     if not langs:
         return Centroids([], idf, np.zeros(0, int), np.zeros((0, DIMS), np.float32), np.zeros(_LENGTHS))
@@ -163,7 +165,7 @@ def predict(df: DataFrame, model: Centroids, id_col: str = "doc_id", text_col: s
             texts = batch.column(at)
             data, offsets = string_parts(texts)
             lang, score, rejected = [], [], []
-            for first, past in steps(offsets, STEP_BYTES // 4):
+            for first, past in steps(offsets, STEP_BYTES // 4, STEP_ROWS):
                 letter = [t is not None and _LETTER.search(t) is not None for t in texts.slice(first, past - first).to_pylist()]
                 if not m.langs:
                     letter = [False] * (past - first)
@@ -181,7 +183,7 @@ def predict(df: DataFrame, model: Centroids, id_col: str = "doc_id", text_col: s
     types = dict(df.dtypes)
     names = [*columns, "lang_pred", "score", "rejected"]
     schema = ", ".join(f"`{c}` {types[c]}" for c in columns) + ", lang_pred string, score double, rejected boolean"
-    return df.select(*read).mapInArrow(run, schema)
+    return df.select(*read).mapInArrow(tidied(run), schema)
 
 
 def held_out() -> Column:

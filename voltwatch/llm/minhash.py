@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltwatch.llm.common import Words, grams, mix, release, shuffle_partitions, steps, string_parts, with_checkpoint_dir
+from voltwatch.llm.common import Words, grams, mix, release, shuffle_partitions, steps, string_parts, tidied, with_checkpoint_dir
 from voltwatch.llm.graph import components
 
 BANDS, ROWS = 28, 5
@@ -147,7 +147,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                 )
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, "doc_id bigint, text_hash bigint, n_shingles bigint, key1 bigint, key2 bigint, signature binary"
+        tidied(run), "doc_id bigint, text_hash bigint, n_shingles bigint, key1 bigint, key2 bigint, signature binary"
     )
 
 
@@ -203,7 +203,7 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> Da
         if held:
             yield worked(pa.Table.from_batches(held))
 
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    return rows.mapInArrow(tidied(run), "a bigint, b bigint")
 
 
 def string_parts_binary(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
