@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .adapter import r6
 from .labels_sql import LABEL_CTES
-from .reports_sql import _FAIL
+from .reports_sql import _FAIL, _TRUST
 
 RULES = """
 CASE
@@ -54,6 +54,22 @@ SELECT CASE action_name WHEN 'NO_ACTION' THEN 0 WHEN 'RECONFIGURE' THEN 1 ELSE 2
   CAST(count(*) AS BIGINT) AS rows, CAST(ceil(count(*) * 0.2) AS BIGINT) AS test_rows
 FROM lab GROUP BY 1"""
 
+M3_ROWS = "WITH " + LABEL_CTES + """,
+sp AS (SELECT reading_id, CASE action_name WHEN 'NO_ACTION' THEN 0 WHEN 'RECONFIGURE' THEN 1 ELSE 2 END AS action_label FROM lab),
+ord AS (SELECT *, CAST('0x' || substr(md5(reading_id || '-42'), 1, 15) AS BIGINT) AS h FROM sp)
+SELECT reading_id, action_label, row_number() OVER (PARTITION BY action_label ORDER BY h) <=
+  ceil(count(*) OVER (PARTITION BY action_label) * 0.2) AS is_test
+FROM ord"""
+
+_FILLED = ["BatteryLevel", "dl", "LineCurrent", "LineTemperature"]
+M15 = _TRUST + """,
+sd AS (SELECT * FROM tr WHERE Last_Heard IS NOT NULL),
+si AS (SELECT *, row_number() OVER (ORDER BY Last_Heard, reading_id) <= floor(count(*) OVER () * 0.8) AS is_train FROM sd),
+md AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in _FILLED) + """ FROM si WHERE is_train)
+SELECT reading_id, """ + ", ".join(
+    f"{r6(f'coalesce({c}, m_{c})')} AS {'days_since_last_heard' if c == 'dl' else c}" for c in _FILLED) + """
+FROM si CROSS JOIN md WHERE NOT is_train"""
+
 _HIST = _FAIL + """,
 uh0 AS (SELECT urg2 AS s, sum(failure_next_7d) AS pos, sum(1 - failure_next_7d) AS neg FROM ds GROUP BY urg2),
 uh AS (SELECT *, sum(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
@@ -80,4 +96,5 @@ SELECT {r6('ok / n')} AS accuracy, {r6('prec')} AS precision, {r6('rec')} AS rec
   {r6('CASE WHEN P > 0 AND n - P > 0 THEN num / (P * (n - P)) END')} AS roc_auc FROM um"""
 
 SQL = {"m5_rule_agreement_report": M5, "m3_stratified_split_sizes": M3, "m21_urgency_roc_points": M21,
-       "m13_urgency_binary_metrics": M13}
+       "m13_urgency_binary_metrics": M13,
+       "m3_stratified_split_rows": M3_ROWS, "m15_median_imputed": M15}

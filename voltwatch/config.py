@@ -123,3 +123,7 @@ FEATURE_HEALTH_OUTPUT_COLUMNS = [
     "comm_fail_frequency", "gps_jump_frequency", "risk_score_zm1", "risk_score_um3",
     "risk_score_mm3", "risk_score", "risk_reason",
 ]
+
+# fixed values: columns that no action model may learn from
+MODEL_DROP_COLUMNS = ["Region", "Substation", "Feeder", "Site", "Phase", "IP_Address", "NetworkGroup", "Profile_Name",
+                      "SensorGateway", "device_type_display", "device_type_for_display"]

@@ -18,16 +18,16 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs as X
 from ..operators.common import reliable_checkpoint
+from ..operators.ranks import cumulative, exact_quantiles, first_rows
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint", "boolean")
-DEFAULT_DROP = ["Region", "Substation", "Feeder", "Site", "Phase", "IP_Address", "NetworkGroup", "Profile_Name",
-                "SensorGateway", "device_type_display", "device_type_for_display"]
+DEFAULT_DROP = config.MODEL_DROP_COLUMNS
 ALWAYS_DROP = ["action_label", "action_name", "Serial", "_source_file", "BatteryLatestReport"]
 
 
@@ -74,35 +74,24 @@ def with_class_weight(df: DataFrame, label: str, out: str = "class_weight", trai
     return df.join(F.broadcast(w), label, "left")
 
 
-def rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column], out: str = "_rank") -> DataFrame:
-    """0-based rank inside each group without a per-group task: range-sort by
-    (groups, order), number rows per partition, freeze that with a reliable
-    checkpoint, then add per (partition, group) offsets from a table of
-    #partitions x #groups rows."""
-    s = df.orderBy(*[F.col(g) for g in groups], *order).select(
-        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")).transform(reliable_checkpoint)
-    pg = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = pg.select("_pid", *groups, "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    j = s.join(F.broadcast(offs), ["_pid", *groups])
-    return j.select(*df.columns, (F.col("_off") + F.col("_mid") - F.col("_m0")).alias(out))
+def split_order(key: Sequence[str], seed: int) -> Column:
+    """A number that orders rows at random by their ``key`` and the seed: 60 bits of an MD5 of both."""
+    text = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def stratified_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: int = 42, key: Sequence[str] = ()
                      ) -> DataFrame:
     """M3: ``is_test`` with ceil(test_frac * n_c) rows per class in a seeded
-    hash order; unstratified when any class has fewer than 2 rows."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    small = counts.where("_nc < 2").count() > 0  # k-row table
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed)) if key else F.xxhash64(*df.columns, F.lit(seed))
-    if small:
-        d = df.select("*", F.lit(0).alias("_g"), h.alias("_h"))
-        r = rank_within(d, ["_g"], [F.col("_h")])
-        n = df.count()
-        return r.select(*df.columns, (F.col("_rank") < F.ceil(F.lit(n * test_frac))).alias("is_test"))
-    d = df.select("*", h.alias("_h"))
-    r = rank_within(d, [label], [F.col("_h")]).join(F.broadcast(counts), label)
-    return r.select(*df.columns, (F.col("_rank") < F.ceil(F.col("_nc") * test_frac)).alias("is_test"))
+    hash order; unstratified when any class has fewer than 2 rows.
+
+    ``key`` should tell rows apart (default: all columns); rows that agree in it
+    stay on one side. A missing label is a class. Only keys are sorted out; no
+    row is shuffled for its rank.
+    """
+    small = df.groupBy(label).count().where("count < 2").limit(1).count() > 0  # a row a class
+    order = [split_order(key or df.columns, seed), F.xxhash64(*(key or df.columns), F.lit(seed))]
+    return first_rows(df, F.ceil(F.col("_n") * test_frac), order, "is_test", [] if small else [label])
 
 
 # ------------------------------------------------------------------ models --
@@ -122,9 +111,8 @@ def train_action_models(df: DataFrame, params: ActionParams = ActionParams(), ty
     for t in types:
         if classes.get(t, 0) < 2:
             continue
-        sub = align_features(df.where(F.col(type_col) == t), feats)
-        sub = with_class_weight(stratified_split(sub, label, params.test_size, params.seed, key=["Serial"]
-                                                 if "Serial" in sub.columns else ()), label, train=~F.col("is_test"))
+        sub = align_features(df.where((F.col(type_col) == t) & F.col(label).isNotNull()), feats)
+        sub = with_class_weight(stratified_split(sub, label, params.test_size, params.seed), label, train=~F.col("is_test"))
         # tree induction makes one pass per level: cut the lineage once (reliable checkpoint)
         sub = sub.select(label, "class_weight", "is_test", *feats).transform(reliable_checkpoint)
         train, test = sub.where(~F.col("is_test")), sub.where("is_test")
@@ -168,10 +156,12 @@ def load_bundle(paths: Sequence[str]):
 
 
 def train_failure_model(ds: DataFrame, feats: Sequence[str], params: FailureParams = FailureParams(),
-                        label: str = "failure_next_7d", cv: bool = True) -> dict:
-    """M11 + M12: scaler + balanced RF; optional k-fold ROC-AUC on the train part."""
-    n_classes = ds.select(label).distinct().count()
-    if n_classes < 2:
+                        label: str = "failure_next_7d", cv: bool = True, min_rows: int = 100) -> dict:
+    """At least ``min_rows`` rows and both classes; scaler + balanced RF; optional k-fold ROC-AUC on the train part."""
+    sizes = [r["count"] for r in ds.groupBy(label).count().collect()]  # a row a class
+    if sum(sizes) < min_rows:
+        raise ValueError(f"failure model needs {min_rows} complete rows, got {sum(sizes)}")
+    if len(sizes) < 2:
         raise ValueError("failure model needs both classes in the data")
     d = with_class_weight(stratified_split(ds, label, params.test_size, params.seed, key=["Serial", "date"]), label,
                           train=~F.col("is_test"))
@@ -263,15 +253,11 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def score_histogram(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives / negatives per distinct score, ranked descending (input of AUC and ROC).
-
-    The running sums run over the aggregated histogram (one row per distinct
-    score: rule scores and forest probabilities take few values), never over
-    the rows themselves."""
-    h = reliable_checkpoint(df.groupBy(F.col(score).alias("s")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")))
-    w = Window.orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return h.select("*", F.sum("pos").over(w).alias("cum_pos"), F.sum("neg").over(w).alias("cum_neg"))
+    """Positives / negatives per distinct score, ranked descending (input of AUC and ROC); the running sums go over
+    range partitions of the histogram, however many distinct scores there are."""
+    h = df.groupBy(F.col(score).alias("s")).agg(
+        F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg"))
+    return reliable_checkpoint(cumulative(h, F.col("s").desc(), {"pos": "cum_pos", "neg": "cum_neg"}))
 
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -308,9 +294,9 @@ def binary_metrics(df: DataFrame, label: str, pred: str, score: str) -> DataFram
 
 
 def median_impute(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Fill missing values in both frames with the train medians (one-row aggregate)."""
-    med = train.agg(*[F.median(c).alias(c) for c in cols]).first().asDict()
-    fill = {k: v for k, v in med.items() if v is not None}
+    """Fill missing values in both frames with the exact train medians (one row)."""
+    med = exact_quantiles(train, {c: (0.5,) for c in cols}).first().asDict()
+    fill = {k: v[0] for k, v in med.items() if v}
     return train.na.fill(fill), test.na.fill(fill)
 
 

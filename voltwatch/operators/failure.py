@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs as X
-from .common import reliable_checkpoint
+from .ranks import exact_quantiles, first_rows
 
 OFFLINE_SPELLINGS = ("OFFLINE", "OFF LINE", "OFF-LINE")
 ML_FEATURES = ["battery_level", "LineTemperature_val", "LineCurrent_val", "device_age_months", "comm_age_days",
@@ -53,12 +53,16 @@ def label_lookahead(df: DataFrame, key: str = "Serial", date_col: str = "date",
 def ml_features(df: DataFrame, exact: bool = True) -> DataFrame:
     """D13 + A16: engineered failure-model features over the whole frame.
 
-    The 75 % quantiles are exact (linear, as pandas) by default; ``exact=False``
-    uses a bounded-memory sketch for continuous columns at large scale."""
-    q = (lambda c: F.percentile(c, 0.75)) if exact else (lambda c: F.percentile_approx(c, 0.75, 10000))
-    stats = df.agg(F.max("device_age_months").alias("_max_age"),
-                   q("device_age_months").alias("_old_q"), q("LineTemperature_val").alias("_hot_q"))
-    d = df.crossJoin(F.broadcast(stats))
+    The 75 % quantiles are exact (linear, as pandas), read from the two columns alone; ``exact=False`` takes a sketch."""
+    if exact:
+        q = exact_quantiles(df, {"device_age_months": (0.75, 1.0), "LineTemperature_val": (0.75,)})
+        stats = q.select(F.col("device_age_months")[1].alias("_max_age"), F.col("device_age_months")[0].alias("_old_q"),
+                         F.col("LineTemperature_val")[0].alias("_hot_q"))
+    else:
+        q = lambda c: F.percentile_approx(c, 0.75, 10000)
+        stats = df.agg(F.max("device_age_months").alias("_max_age"),
+                       q("device_age_months").alias("_old_q"), q("LineTemperature_val").alias("_hot_q"))
+    d = df.crossJoin(F.broadcast(stats))  # one row
     bat, tmp, age, comm = (F.col(c) for c in ("battery_level", "LineTemperature_val", "device_age_months",
                                                "comm_age_days"))
     age_norm = F.when(F.col("_max_age") > 0, age / F.col("_max_age")).otherwise(age)
@@ -102,24 +106,15 @@ def failure_causes(ds: DataFrame) -> DataFrame:
 
 
 def chrono_split(df: DataFrame, ts: str, frac: float = 0.8, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The earliest ``frac`` of rows (int(n * frac)) are train.
+    """The earliest ``frac`` of rows (int(n * frac)) are train; a missing timestamp comes last, equal ones go by
+    ``tiebreak`` (integers by value, other types by a hash), and rows equal in all of them stay together.
 
-    A global rank without a single-partition window: range-sort, number rows
-    inside each partition (monotonic id), and add the row offset of every
-    partition from a table of per-partition counts (#partitions rows).  The
-    numbered frame is frozen with a reliable checkpoint first, so the counts
-    and the rows see the same partition layout.
+    The cut-off is found on the keys alone; the rows themselves are filtered once, neither sorted nor written.
     """
-    order = [F.col(ts).asc_nulls_last()] + [F.col(c) for c in tiebreak]
-    s = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
-                                  F.monotonically_increasing_id().alias("_mid")).transform(reliable_checkpoint)
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    ranked = s.join(F.broadcast(offs), "_pid").crossJoin(F.broadcast(total))
-    rank = F.col("_off") + (F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    return ranked.select(*df.columns, (rank < F.floor(F.col("_total") * frac)).alias("is_train"))
+    types = dict(df.dtypes)
+    keys = [F.unix_micros(F.col(ts).cast("timestamp"))]
+    keys += [F.col(c) if types[c] in ("bigint", "int", "smallint", "tinyint") else F.xxhash64(c) for c in tiebreak]
+    return first_rows(df, F.floor(F.col("_n") * frac), keys, "is_train")
 
 
 def days_since_last_heard(df: DataFrame, col: str = "Last_Heard", out: str = "days_since_last_heard") -> DataFrame:

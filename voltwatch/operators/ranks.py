@@ -42,16 +42,16 @@ def cumulative(df: DataFrame, order: Column, sums: dict[str, str], by: Sequence[
 
 
 def narrow(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """One frozen row for each non-null value: the group, ``_c`` (the column's place in ``cols``) and ``_x``."""
+    """One frozen row for each value: the group, ``_c`` (the column's place in ``cols``) and ``_x``."""
     pairs = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)])
-    rows = df.select(*by, F.explode(pairs).alias("_s")).where(F.col("_s.x").isNotNull())
+    rows = df.select(*by, F.explode(pairs).alias("_s"))
     return reliable_checkpoint(rows.select(*by, F.col("_s.c").alias("_c"), F.col("_s.x").alias("_x")))
 
 
 def quantiles_of(rows: DataFrame, wanted: Sequence[Sequence[float]], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles (linear interpolation) of ``narrow`` rows: the group, ``_c`` and ``_q``, an array in the order of
     ``wanted[_c]``. A group without values has no row."""
-    by = list(by)
+    by, rows = list(by), rows.where(F.col("_x").isNotNull())
     margin = 3.0 / ACCURACY
     ps = sorted({p for some in wanted for p in some})
     grid = [min(1.0, max(0.0, p + d)) for p in ps for d in (-margin, margin)]

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from .common import null_safe_join
+from .ranks import narrow, quantiles_of
 
 AGE_BUCKETS = ["0-12 months (New)", "13-36 months (Young)", "37-60 months (Middle-aged)", "60+ months (Old)"]
 LOAD_RISK_BINS = [0, 20, 40, 60, 80, 101]
@@ -39,18 +41,16 @@ def risk_stats(df: DataFrame, type_col: str = "Device_Type_Standardized") -> Dat
         (F.count_if(r > 0) / F.count(F.lit(1)) * 100.0).alias("risk_positive_pct"))
 
 
-def _quantile(x: Column, p, exact: bool) -> Column:
-    """Exact quantile (value->count map per group: bounded by the number of
-    distinct values, e.g. rounded scores) or a bounded-memory sketch."""
-    return F.percentile(x, p) if exact else F.percentile_approx(x, p, 10000)
-
-
 def describe(df: DataFrame, c: str, by: Sequence[str] = (), exact: bool = True) -> DataFrame:
-    """Count, min, max, mean, median, sample std."""
-    x = F.col(c)
-    return df.groupBy(*by).agg(F.count(x).cast("long").alias("count"), F.min(x).alias("min"), F.max(x).alias("max"),
-                               F.avg(x).alias("mean"), _quantile(x, 0.5, exact).alias("median"),
-                               F.stddev_samp(x).alias("std"))
+    """Count, min, max, mean, median, sample std. The median is exact, or from a sketch."""
+    by, x = list(by), F.col("_x")
+    rows = narrow(df, [c], by) if exact else df.select(*by, F.col(c).alias("_x"))
+    stats = [F.count(x).cast("long").alias("count"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"),
+             F.stddev_samp(x).alias("std")]
+    if not exact:
+        return rows.groupBy(*by).agg(*stats[:4], F.percentile_approx(x, 0.5, 10000).alias("median"), stats[4])
+    median = quantiles_of(rows, [[0.5]], by).groupBy(*by).agg(F.max(F.col("_q")[0]).alias("median"))
+    return null_safe_join(rows.groupBy(*by).agg(*stats), median, by).select(*by, "count", "min", "max", "mean", "median", "std")
 
 
 def age_bucket(months: Column) -> Column:
@@ -125,8 +125,11 @@ def histogram(df: DataFrame, c: str, n: int = 20) -> DataFrame:
 
 def five_numbers(df: DataFrame, by: str, c: str, exact: bool = True) -> DataFrame:
     """Min, q1, median, q3, max per group (exact linear interpolation, or a sketch)."""
-    q = _quantile(F.col(c), F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]), exact)
-    g = df.where(F.col(c).isNotNull()).groupBy(by).agg(q.alias("_q"))
+    ps = (0.0, 0.25, 0.5, 0.75, 1.0)
+    if exact:
+        g = quantiles_of(narrow(df, [c], [by]), [ps], [by])
+    else:
+        g = df.where(F.col(c).isNotNull()).groupBy(by).agg(F.percentile_approx(c, F.array(*map(F.lit, ps)), 10000).alias("_q"))
     return g.select(by, *[F.col("_q")[i].alias(n) for i, n in enumerate(("min", "q1", "median", "q3", "max"))])
 
 

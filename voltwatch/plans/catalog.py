@@ -513,6 +513,27 @@ def m3_stratified_split_sizes(spark, sf_dir):
                                          F.count_if("is_test").cast("long").alias("test_rows"))
 
 
+@register("m3_stratified_split_rows")
+def m3_stratified_split_rows(spark, sf_dir):
+    """M3: side of every labelled reading in a seeded stratified 80/20 split."""
+    from ..ml import models as M
+    lab = d8_label_actions_full(spark, sf_dir)
+    s = M.stratified_split(lab, "action_label", 0.2, 42, key=["reading_id"])
+    return s.select("reading_id", "action_label", "is_test")
+
+
+@register("m15_median_imputed")
+def m15_median_imputed(spark, sf_dir):
+    """M15 + W8: test rows of the trust stack's split with missing values filled by the exact train medians."""
+    from ..ml import models as M
+    from ..operators import failure as FL
+    cols = ["BatteryLevel", "days_since_last_heard", "LineCurrent", "LineTemperature"]
+    d = trust_input(spark, sf_dir).where(F.col("Last_Heard").isNotNull())
+    split = FL.chrono_split(d, "Last_Heard", 0.8, ["reading_id"])
+    _, test = M.median_impute(split.where("is_train"), split.where("NOT is_train"), cols)
+    return test.select("reading_id", *[r6(c).alias(c) for c in cols])
+
+
 @register("m2_action_model_report")
 def m2_action_model_report(spark, sf_dir):
     """M1-M6, M9: per-type action forests and their test reports."""
