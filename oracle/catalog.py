@@ -8,7 +8,7 @@ from .health_sql import health_sql
 from .misc_sql import SQL as MISC
 from .ml_sql import SQL as ML
 from .reports_sql import SQL as REPORTS
-from .labels_sql import CROSSTAB_SQL, LABEL_SQL, PREDICT_SQL
+from .labels_sql import CROSSTAB_SQL, GATED_SQL, GATED_SUMMARY_SQL, LABEL_SQL, MOVED_SQL, PREDICT_SQL
 from .timeseries_sql import PROFILE_SQL, TREND_SQL, TS_SQL
 
 SQL: dict[str, str] = {
@@ -20,6 +20,9 @@ SQL: dict[str, str] = {
     "d8_label_actions": LABEL_SQL,
     "d12_rule_predictions": PREDICT_SQL,
     "a12_action_crosstab": CROSSTAB_SQL,
+    "d15_gated_predictions": GATED_SQL,
+    "a12_prediction_summary": GATED_SUMMARY_SQL,
+    "d17_moved_devices": MOVED_SQL,
     "c1_export_categories": EXPORT_SQL,
     "a26_export_summary": SUMMARY_SQL,
     "c13_alerts": ALERT_SQL,

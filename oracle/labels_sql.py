@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .adapter import CTES, days_between, flag, np_round
+from .adapter import CTES, days_between, flag, np_round, r6
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
@@ -182,3 +182,34 @@ SELECT device_type,
   CAST(count_if(PredictedActionName = 'RECONFIGURE') AS BIGINT) AS RECONFIGURE,
   CAST(count_if(PredictedActionName = 'REPLACE') AS BIGINT) AS REPLACE
 FROM p GROUP BY device_type"""
+
+
+_GATED = "WITH " + PREDICT_CTES + """,
+dc AS (SELECT *, CASE reading_id % 3 WHEN 0 THEN 'NO_ACTION' WHEN 1 THEN 'RECONFIGURE' ELSE 'REPLACE' END AS declared,
+    CASE WHEN reading_id % 11 <> 0 THEN (900 + reading_id * (CASE device_type WHEN 'MM3' THEN 37 ELSE 53 END) % 100) / 1000 ELSE 0.0 END AS conf FROM d),
+gt AS (SELECT *, conf < 0.95 AS low, CASE WHEN pct_life_used > 90.0 THEN 'REPLACE' WHEN conf < 0.95 THEN rule_name ELSE declared END AS action FROM dc)
+"""
+
+GATED_SQL = _GATED + """
+SELECT Serial, device_type, round(conf, 6) AS Confidence, days_since_last_report, pct_life_used, coord_missing_flag,
+  0 AS coord_changed_flag, action AS PredictedActionName,
+  CASE action WHEN 'NO_ACTION' THEN 0 WHEN 'RECONFIGURE' THEN 1 ELSE 2 END AS PredictedActionLabel,
+  pct_life_used > 90.0 AS AgeOverride, low AS UsedRuleFallback
+FROM gt"""
+
+GATED_SUMMARY_SQL = _GATED + """
+SELECT device_type, CAST(count(*) AS BIGINT) AS devices, CAST(count_if(action = 'NO_ACTION') AS BIGINT) AS NO_ACTION,
+  CAST(count_if(action = 'RECONFIGURE') AS BIGINT) AS RECONFIGURE, CAST(count_if(action = 'REPLACE') AS BIGINT) AS REPLACE,
+  CAST(count_if(conf >= 0.95) AS BIGINT) AS confident, CAST(count_if(low) AS BIGINT) AS rule_fallback,
+  CAST(count_if(pct_life_used > 90.0) AS BIGINT) AS age_override
+FROM gt GROUP BY ROLLUP (device_type)"""
+
+MOVED_SQL = f"""WITH readings AS ({CTES['readings']}),
+pv AS (SELECT *, lag(Latitude) OVER w AS prev_lat, lag(Longitude) OVER w AS prev_lon FROM readings
+  WINDOW w AS (PARTITION BY Serial ORDER BY BatteryLatestReport IS NULL, BatteryLatestReport, reading_id))
+SELECT reading_id, {r6('prev_lat')} AS prev_lat, {r6('prev_lon')} AS prev_lon,
+  CASE WHEN coalesce(abs(Latitude - prev_lat) > 0.001, false) OR coalesce(abs(Longitude - prev_lon) > 0.001, false) THEN 1 ELSE 0 END AS coord_changed_flag,
+  {flag('Latitude IS NULL OR Latitude = 0 OR Longitude IS NULL OR Longitude = 0')} AS coord_missing_flag,
+  {flag('BatteryLevel < 20')} AS battery_low_flag,
+  CAST(coalesce(greatest({whole_days(AS_OF, 'coalesce(BatteryLatestReport, Last_Heard)')}, 0), 0) AS BIGINT) AS days_since_last_report
+FROM pv"""

@@ -142,17 +142,12 @@ def save_bundle(model: PipelineModel, feats: Sequence[str], path: str) -> None:
 
 
 def load_bundle(paths: Sequence[str]):
-    """M7: first folder that holds a bundle wins; (None, None) when none does."""
+    """M7: first folder that holds a bundle wins; (None, None) when none does. An unreadable bundle is an error."""
     from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    for p in paths:
-        try:
-            model = PipelineModel.load(f"{p}/model")
-            feats = json.loads(spark.read.json(f"{p}/features").first()["features"])
-            return model, feats
-        except Exception:  # noqa: BLE001 - try the next location
-            continue
-    return None, None
+
+    from .bundles import find_bundles
+    found = find_bundles(SparkSession.getActiveSession(), {"": paths}).get("")
+    return (found.model, list(found.features)) if found else (None, None)
 
 
 def train_failure_model(ds: DataFrame, feats: Sequence[str], params: FailureParams = FailureParams(),

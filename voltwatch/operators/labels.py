@@ -200,9 +200,24 @@ def with_install_lookup(df: DataFrame, install: DataFrame | None, as_of: str, or
     return d.select("*", age.alias("device_age_days"), pct.alias("pct_life_used"))
 
 
-def recompute_features(df: DataFrame, as_of: str) -> DataFrame:
-    """Refresh days since report, coordinate, battery and status flags."""
-    cols = {"days_since_last_report": comm_age_whole_days(df, as_of)}
+def recompute_features(df: DataFrame, as_of: str, ts: str | None = None, order_cols: Sequence[str] = ()) -> DataFrame:
+    """Refresh days since report, coordinate, battery and status flags.
+
+    With ``ts`` the frame may hold several rows a device: ``prev_lat`` and ``prev_lon`` are those of its row before (by
+    ``ts``, then ``order_cols``), and ``coord_changed_flag`` tells whether either moved by more than 0.001. Without it a
+    row is a device's only one: nothing before it, nothing changed.
+    """
+    moved = {"prev_lat": F.lit(None).cast("double"), "prev_lon": F.lit(None).cast("double"), "coord_changed_flag": F.lit(0)}
+    if ts is not None and {"Latitude", "Longitude"} <= {*df.columns}:
+        at = X.to_ts_any(F.col(ts), _dtype(df, ts))
+        own = df.select("*", X.to_num(F.col("Latitude")).alias("_lat"), X.to_num(F.col("Longitude")).alias("_lon"), at.alias("_at"))
+        order = [F.col("_at").isNull(), F.col("_at"), *[F.col(c) for c in order_cols]]
+        day = F.coalesce(F.unix_date(F.to_date("_at")), F.lit(1 << 30))  # no report: after all others
+        df = two_level_lag(own, "Serial", day, order, ["_lat", "_lon"], prefix="_prev", skip_null=["Serial"])
+        far = lambda a, b: F.coalesce(F.abs(F.col(a) - F.col(b)) > 0.001, F.lit(False))
+        moved = {"prev_lat": F.col("_prev_lat"), "prev_lon": F.col("_prev_lon"),
+                 "coord_changed_flag": (far("_lat", "_prev_lat") | far("_lon", "_prev_lon")).cast("int")}
+    cols = {"days_since_last_report": comm_age_whole_days(df, as_of), **moved}
     lat = X.to_num(F.col("Latitude")) if "Latitude" in df.columns else None
     lon = X.to_num(F.col("Longitude")) if "Longitude" in df.columns else None
     if lat is not None and lon is not None:
@@ -215,7 +230,7 @@ def recompute_features(df: DataFrame, as_of: str) -> DataFrame:
         s = F.upper(F.trim(F.col(stat).cast("string")))
         for v in ("OFFLINE", "ONLINE", "INTERMITTENT", "STANDBY"):
             cols[f"{v.lower()}_flag"] = X.flag(s == v)
-    keep = [c for c in df.columns if c not in cols]
+    keep = [c for c in df.columns if c not in cols and c not in ("_lat", "_lon", "_at", "_prev_lat", "_prev_lon")]
     return df.select(*keep, *[c.alias(n) for n, c in cols.items()])
 
 

@@ -185,6 +185,43 @@ def a12_action_crosstab(spark, sf_dir):
     return ct.select("device_type", *[F.col(c).cast("long").alias(c) for c in ("NO_ACTION", "RECONFIGURE", "REPLACE")])
 
 
+def declared_predictions(spark, sf_dir):
+    """The prediction job's last part over declared model results: a label and a confidence of each device's own."""
+    from ..ml import bundles as B
+    latest = B.latest_features(history(spark, sf_dir, with_install=False), A.install_dates(spark, sf_dir), AS_OF, ["reading_id"])
+    label = F.pmod(F.col("reading_id"), F.lit(3)).cast("int")
+    branches = [latest.where(F.col("device_type") == t).select(
+        "*", label.alias("PredictedActionLabel"), F.array(*map(F.lit, ("NO_ACTION", "RECONFIGURE", "REPLACE")))[label].alias("PredictedActionName"),
+        F.when(F.col("reading_id") % 11 != 0, (F.pmod(F.col("reading_id") * step, F.lit(100)) + 900) / 1000).alias("Confidence"),
+        F.lit(False).alias("UsedRuleFallback")) for t, step in (("MM3", 37), ("ZM1", 53))]
+    return B.decide(branches[0].unionByName(branches[1]))
+
+
+@register("d15_gated_predictions")
+def d15_gated_predictions(spark, sf_dir):
+    """Declared predictions of two types through gate, age override and union."""
+    p = declared_predictions(spark, sf_dir)
+    return p.select("Serial", "device_type", r6("Confidence").alias("Confidence"), "days_since_last_report", "pct_life_used",
+                    "coord_missing_flag", "coord_changed_flag", "PredictedActionName", "PredictedActionLabel",
+                    "AgeOverride", "UsedRuleFallback")
+
+
+@register("a12_prediction_summary")
+def a12_prediction_summary(spark, sf_dir):
+    """Actions, confident rows, fallbacks and overrides of the declared predictions, by type and overall."""
+    from ..ml import bundles as B
+    return B.summary(declared_predictions(spark, sf_dir))
+
+
+@register("d17_moved_devices")
+def d17_moved_devices(spark, sf_dir):
+    """Previous coordinates and change flag of every reading in the order of its reports."""
+    from ..operators import labels as L
+    f = L.recompute_features(A.readings(spark, sf_dir), AS_OF, "BatteryLatestReport", ["reading_id"])
+    return f.select("reading_id", r6("prev_lat").alias("prev_lat"), r6("prev_lon").alias("prev_lon"), "coord_changed_flag",
+                    "coord_missing_flag", "battery_low_flag", "days_since_last_report")
+
+
 # ------------------------------------------------------------ export ------
 
 def export_rows(spark, sf_dir):
