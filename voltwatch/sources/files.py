@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs as X
+from . import versions
 
 # Canonical raw snapshot columns (all read as text).
 SNAPSHOT_COLUMNS = ["Serial", "Device_Type", "Status", "Last_Heard", "BatteryLatestReport", "BatteryLevel",
@@ -167,9 +168,14 @@ def write_features(df: DataFrame, path: str, partition_cols: Sequence[str] = ("d
      .partitionBy(*partition_cols).parquet(path))
 
 
-def write_history(df: DataFrame, path: str) -> None:
-    """History / labelled Parquet (write to a new path; never overwrite the input)."""
-    df.write.mode("overwrite").parquet(path)
+def write_history(df: DataFrame, path: str) -> str:
+    """History / labelled Parquet as a new version, read by :func:`read_written_history`. ``df`` may come from the
+    version before; a failed write leaves that one in place."""
+    return versions.write_version(df, path)
+
+
+def read_written_history(spark: SparkSession, path: str) -> DataFrame:
+    return versions.read_current(spark, path)
 
 
 def write_timeseries(df: DataFrame, path: str) -> None:
@@ -186,10 +192,20 @@ def write_timeseries(df: DataFrame, path: str) -> None:
      .option("emptyValue", "").csv(path))
 
 
-def write_export(df: DataFrame, path: str, backup_root: str, run_id: str) -> None:
-    """Export CSV plus a backup copy keyed by ``run_id``."""
-    df.write.mode("overwrite").option("header", True).csv(path)
-    df.write.mode("overwrite").option("header", True).csv(f"{backup_root}/{run_id}")
+def write_export(df: DataFrame, path: str, backup_root: str, run_id: str) -> str:
+    """Export CSV as a new version of ``path`` plus a backup copy keyed by ``run_id``.
+
+    The backup copies the files that were written, so the export is evaluated once and both hold the same rows. A
+    second run with the same ``run_id`` is an error; the export is the current version either way.
+    """
+    folder = versions.write_version(df, path, "csv", header=True)
+    text = df.sparkSession.read.schema(all_string_schema(df.columns)).option("header", True).csv(folder)
+    text.write.mode("errorifexists").option("header", True).csv(f"{backup_root}/{run_id}")
+    return folder
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    return versions.read_current(spark, path, "csv", header=True)
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
