@@ -12,7 +12,8 @@ exact integer, is held against ``FLOOR`` millionths a n-gram, so that equal text
 
 All counts cover all rows. Each task sums buckets in an array; ``2 * DIMS`` sums come to the driver, and ``DIMS`` weights
 go to every task, whatever the size of the corpus. Trusted texts are found by a semi-join on the id; before it, documents go whose id has
-a hash that no trusted id has, so that where few are trusted few texts are shuffled.
+a hash that no trusted id has, so that where few are trusted few texts are shuffled. The join is a merge join at every
+size of the labels.
 
 Cases: a null text counts as empty; an empty text, or one without words, fails; a document without an id is judged, but
 never trusted; labels of one id are taken by majority, ties are not trusted; repeated rows count each and are each
@@ -101,7 +102,7 @@ def learned(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
     good = trusted(labels).select(F.col("doc_id").cast(dict(docs.dtypes)["doc_id"]).alias("doc_id"))
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
     near = good.select(slot.alias("slot")).distinct()  # at most SLOTS numbers, so that other texts are not shuffled
-    some = docs.select("doc_id", "text").withColumn("slot", slot).join(F.broadcast(near), "slot", "left_semi").join(good, "doc_id", "left_semi").select("text")
+    some = docs.select("doc_id", "text").withColumn("slot", slot).join(F.broadcast(near), "slot", "left_semi").join(good.hint("merge"), "doc_id", "left_semi").select("text")
     return weights(_counts(some), _counts(docs.select("text")))
 
 
