@@ -281,27 +281,45 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     is_um3 = F.col(TYPE_STD) == "UM3"
     is_mm3 = F.col(TYPE_STD) == "MM3"
 
+    def with_lag(rows: DataFrame) -> DataFrame:
+        # W1 GPS drift in hour buckets of a device (skew-safe lag); unparseable timestamps sort last as in pandas
+        order = [F.col("Last_Heard_dt")] + [F.col(c) for c in order_cols]
+        bucket = F.coalesce(F.floor(F.unix_micros(F.col("Last_Heard_dt")) / F.lit(3600 * 1_000_000)),
+                            F.lit(2 ** 62)).cast("long")
+        lagged = two_level_lag(rows, batch + ["Serial"], bucket, order, ["Latitude", "Longitude"], prefix="prev_",
+                               skip_null=["Serial"])
+        return lagged.withColumnsRenamed({"prev_Latitude": "prev_lat", "prev_Longitude": "prev_lon"})
+
+    # The lag comes first: both of its branches read the readings alone, and only raw columns travel through its
+    # shuffle. Where a device may have several install dates its readings multiply, and the lag follows the join.
+    first_lag = install is None or install_dedupe
+    read = d
+    if first_lag:
+        d = with_lag(d)
+
     # J1 install dates (before the statistics: their extremes feed the ages)
     if install is not None:
         # dimension join: Spark's size estimate picks broadcast, else a
         # shuffle join that AQE splits when one device is hot
-        d = d.join(_install_table(install, install_dedupe), "Serial", "left")
+        dates = _install_table(install, install_dedupe)
+        read, d = read.join(dates, "Serial", "left"), d.join(dates, "Serial", "left")
     else:
-        d = d.select("*", F.lit(None).cast("timestamp").alias("InstallDate_dt"))
+        read, d = [x.select("*", F.lit(None).cast("timestamp").alias("InstallDate_dt")) for x in (read, d)]
 
     # With a constant drain (the parity default) every normalised input is a
     # monotone function of one raw column, so all statistics come from one
     # pass of raw extremes; other drain models take a second pass.
     single_pass = drain_model == "observed" and not has_drain_col and stats_mode != "two_pass"
     if single_pass:
-        stats = _single_pass_stats(d, gkeys, batch, snapshot_scope, install is not None)
-        # snapshots now; the min/max columns join after the lag shuffle so they
-        # do not travel through it (and keep the fused stage small)
-        d = attach_stats(d, stats.select(*gkeys, "_snap_bt", "_snap_b"), gkeys)
-        stats2 = stats.select(*gkeys, *[c for c in stats.columns if c.startswith(("_mn_", "_mx_"))])
+        stats = _single_pass_stats(read, gkeys, batch, snapshot_scope, install is not None)
+        ranges = [c for c in stats.columns if c.startswith(("_mn_", "_mx_"))]
+        if first_lag:
+            d, stats2 = attach_stats(d, stats.select(*gkeys, "_snap_bt", "_snap_b", *ranges), gkeys), None
+        else:  # the min/max columns do not travel through the lag's shuffle
+            d, stats2 = attach_stats(d, stats.select(*gkeys, "_snap_bt", "_snap_b"), gkeys), stats.select(*gkeys, *ranges)
     else:
         # A1 snapshots: latest reading per (batch, type) and per batch.
-        snaps = d.groupBy(*gkeys).agg(F.max("Last_Heard_dt").alias("_snap_bt"))
+        snaps = read.groupBy(*gkeys).agg(F.max("Last_Heard_dt").alias("_snap_bt"))
         # per-batch snapshot on the small table (<= 4 rows per batch), no self-join rescan
         snaps = snaps.select("*", F.max("_snap_bt").over(Window.partitionBy(*batch)).alias("_snap_b"))
         d = attach_stats(d, snaps, gkeys)
@@ -398,20 +416,15 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
             aggs += [F.min(c).alias(f"_mn_{key}"), F.max(c).alias(f"_mx_{key}")]
         stats2 = d.groupBy(*gkeys).agg(*aggs)
 
-    # W1 GPS drift on a (device, day) window (skew-safe lag).
-    order = [F.col("Last_Heard_dt")] + [F.col(c) for c in order_cols]
-    # hour buckets; unparseable timestamps sort last as in pandas
-    bucket = F.coalesce(F.floor(F.unix_micros(F.col("Last_Heard_dt")) / F.lit(3600 * 1_000_000)),
-                        F.lit(2 ** 62)).cast("long")
-    d = two_level_lag(d, batch + ["Serial"], bucket, order, ["Latitude", "Longitude"], prefix="prev_",
-                      skip_null=["Serial"])
-    d = d.withColumnsRenamed({"prev_Latitude": "prev_lat", "prev_Longitude": "prev_lon"})
+    if not first_lag:
+        d = with_lag(d)
     dist = F.when(F.col("prev_lat").isNull() | F.col("prev_lon").isNull(), F.lit(0.0)).otherwise(
         X.haversine("prev_lat", "prev_lon", "Latitude", "Longitude"))
     d = d.select("*", dist.alias("distance_drift_m"))
     d = d.select("*", X.flag(F.col("distance_drift_m") > config.GPS_JUMP_THRESHOLD_M).alias("gps_jump_flag"))
 
-    d = attach_stats(d, stats2, gkeys)
+    if stats2 is not None:
+        d = attach_stats(d, stats2, gkeys)
 
     # normalised inputs once per row (each feeds up to three type scores)
     d = d.select("*", *[_norm(F.col(name), cap, f"_mn_{key}", f"_mx_{key}").alias(f"_n_{key}")
