@@ -120,6 +120,91 @@ def test_zip_source(spark):
         __import__("datetime").date(2025, 1, 14), __import__("datetime").date(2025, 1, 15)}
 
 
+def test_zip_members_of_one_archive_go_to_several_tasks(spark, tmp_path):
+    extra = HEADER + ",Firmware\n" + _row("Z9", "ZM1", "2025-01-16 08:00:00") + ",v2\n"
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        for day, rows in DAYS.items():
+            zf.writestr(f"inner/snapshot_{day}.csv", HEADER + "\n" + "\n".join(rows) + "\n")
+        zf.writestr("snapshot_2025-01-16.csv", extra)
+        zf.writestr("empty.csv", "")
+        zf.writestr("notes.txt", "no rows")
+    with zipfile.ZipFile(tmp_path / "b.zip", "w", zipfile.ZIP_STORED) as zf:
+        zf.writestr("snapshot_2025-01-17.csv", "Serial,Plan\nQ1,x\n")
+    index = S.zip_members(spark, str(tmp_path), tasks=4)
+    by_task = index.where("path LIKE '%a.zip'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert index.count() == 5 and len(by_task) >= 2
+    z = S.read_zipped_snapshots(spark, str(tmp_path), tasks=4)
+    assert z.columns == ["_source_file", *S.SNAPSHOT_COLUMNS, "Firmware", "Plan", "date", "batch_date"]
+    got = {(r["_source_file"], r.Serial): (r.Firmware, r.Plan, r.Device_Type) for r in z.collect()}
+    assert len(got) == 10
+    assert got[("a__snapshot_2025-01-16.csv", "Z9")] == ("v2", None, "ZM1")
+    assert got[("b__snapshot_2025-01-17.csv", "Q1")] == (None, "x", None)
+
+
+def test_a_damaged_zip_member_raises(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_STORED) as zf:
+        zf.writestr("snapshot_2025-01-17.csv", "Serial,Plan\nQ1,x\n")
+    content = (tmp_path / "a.zip").read_bytes().replace(b"Q1,x", b"Q1,y")
+    (tmp_path / "a.zip").write_bytes(content)
+    with pytest.raises(Exception, match="CRC"):
+        S.read_zipped_snapshots(spark, str(tmp_path)).collect()
+
+
+def test_zip_archives_that_tasks_cannot_open_are_read_whole(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        for day, rows in DAYS.items():
+            zf.writestr(f"inner/snapshot_{day}.csv", HEADER + "\n" + "\n".join(rows) + "\n")
+    whole = spark.read.format("binaryFile").load(str(tmp_path)).select("path", "content").toPandas()
+    names = [n for n, _ in S._contents(whole)]
+    assert names == ["a__inner_snapshot_2025-01-14.csv", "a__inner_snapshot_2025-01-15.csv"]
+    rows = [c for part in S._unzip_csv(S.SNAPSHOT_COLUMNS)(iter([whole])) for c in part.Serial]
+    assert rows == ["A1", "B1", "C1", "D1", "A1", "B1", "C1", "E1"]
+
+
+def jobs_of(spark, group, run):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    run()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_header_jobs_do_not_grow_with_files(spark, tmp_path):
+    for n in (3, 24):
+        (tmp_path / str(n)).mkdir()
+        for k in range(n):
+            (tmp_path / str(n) / f"d 2025-01-{k + 1:02d}.csv").write_text(("\n" if k % 2 else "") + f"Serial,{'A' if k % 3 else 'B'}\n{k},x\n")
+    (tmp_path / "24" / "none.csv").write_text("")
+    few = jobs_of(spark, "few", lambda: S.read_snapshots(spark, str(tmp_path / "3")))
+    many = jobs_of(spark, "many", lambda: S.read_snapshots(spark, str(tmp_path / "24")))
+    assert 0 < many <= few
+    got = {r.Serial: (r.A, r.B) for r in S.read_snapshots(spark, str(tmp_path / "24")).collect()}
+    assert got == {str(k): ("x", None) if k % 3 else (None, "x") for k in range(24)}
+
+
+def test_headers_of_packed_files_and_of_files_that_only_spark_opens(spark, tmp_path):
+    lines = spark.createDataFrame([("Serial,A",), ("1,x",)], "value string").coalesce(1)
+    for codec in ("gzip", "bzip2", "deflate"):
+        lines.write.option("compression", codec).text(str(tmp_path / codec))
+        assert [(r.Serial, r.A) for r in S.read_snapshots(spark, str(tmp_path / codec)).collect()] == [("1", "x")]
+
+
+def test_written_partitions_from_folder_names(spark, tmp_path):
+    out = str(tmp_path / "out")
+    day = __import__("datetime").date
+    df = spark.createDataFrame([("ZM1", day(2025, 1, 1), 1), ("a/b=c", day(2025, 1, 1), 2), (None, day(2025, 1, 2), 3)],
+                               "device_type string, batch_date date, v int")
+    assert S.skip_existing(df, out) is df
+    S.write_features(df, out)
+    assert S.written_partitions(spark, out, ("device_type", "batch_date")) == [("ZM1", "2025-01-01"), ("a/b=c", "2025-01-01")]
+    more = df.unionByName(spark.createDataFrame([("ZM1", day(2025, 1, 2), 4)], df.schema))
+    assert jobs_of(spark, "skip", lambda: S.skip_existing(more, out)) == 0
+    assert sorted(r.v for r in S.skip_existing(more, out).collect()) == [3, 4]  # a null key is no existing group
+    for f in (tmp_path / "out" / "device_type=ZM1" / "batch_date=2025-01-01").glob("*.parquet"):
+        f.write_bytes(b"not read")
+    assert sorted(r.v for r in S.skip_existing(more, out).collect()) == [3, 4]
+
+
 def test_stream_daily_one_row_per_day(spark, raw_dir):
     s = ST.snapshot_stream(spark, raw_dir)
     daily = ST.stream_daily(s)

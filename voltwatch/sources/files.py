@@ -2,24 +2,26 @@
 
 CSV snapshots are read as text (no inference) and typed once by
 ``conform``-style projections downstream.  File lineage comes from the
-``_metadata`` column.  Columns are taken by name: the driver reads one header
-line per (new) file and Spark reads the files of each header together.
+``_metadata`` column.  Columns are taken by name: tasks read one header line per
+(new) file and Spark reads the files of each header together.
 """
 
 from __future__ import annotations
 
 import io
-import zipfile
-from typing import Iterable, Iterator, Sequence
+from typing import BinaryIO, Iterable, Iterator, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from . import versions
+from .ranges import csv_members, first_line, member, opened
 
 # Canonical raw snapshot columns (all read as text).
 SNAPSHOT_COLUMNS = ["Serial", "Device_Type", "Status", "Last_Heard", "BatteryLatestReport", "BatteryLevel",
@@ -29,47 +31,94 @@ SNAPSHOT_COLUMNS = ["Serial", "Device_Type", "Status", "Last_Heard", "BatteryLat
 #: Columns that arrive as text and are numbers.
 NUMERIC_COLUMNS = ("LineCurrent", "LineTemp", "LineTemperature", "BatteryLevel", "BatteryLev")
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def all_string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def _listed(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
+
+
+def _paths(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    return _listed(spark, path).select("path", F.col("_metadata.file_path").alias("_uri"))
+
+
+def _file_name() -> Column:
+    return F.element_at(F.split("path", "/"), -1)
+
+
 def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``path`` and ``file_name`` of every file below ``path``; contents are not read."""
-    return (spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
-            .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name")))
+    return _listed(spark, path).select("path", _file_name().alias("file_name"))
 
 
 def path_missing(e: AnalysisException) -> bool:
     return e.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_snapshots(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None
-                   ) -> DataFrame:
-    """S1 + S6 + S7: daily CSV snapshots as text with ``_source_file`` and ``batch_date``.
+HEADER_ROW = "path string, header binary"
 
-    Columns are taken by name: files are grouped by their own header (one line
-    read per file), each group is read with it, and the groups are united by
-    name.  A column that a file lacks is null.  ``columns`` come first and
-    always exist; further ones are kept.
+
+def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame({"path": b["path"], "header": [first_line(p) for p in b["path"]]})
+
+
+def _by_header(files: DataFrame) -> list[list[str]]:
+    """Paths of the files that hold a line, grouped by their first line, in the order of each group's first path.
+
+    Tasks read a first line each; one or two jobs, however many files there are.  Paths go to the driver because a
+    reader takes them from there.  Files that only Spark can open (its own codecs, other stores) are read as text, and
+    the first line of the block that starts at 0 counts.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for r in list_files(spark, path).select("path").distinct().orderBy("path").collect():  # one path per file
-        header = tuple(spark.read.option("header", True).csv(r.path).columns)
-        by_header.setdefault(header, []).append(r.path)
-    frames = [with_source_file(spark.read.option("header", True).option("mode", "PERMISSIVE")
-                               .schema(all_string_schema(h)).option("enforceSchema", False).csv(files))
-              for h, files in by_header.items() if h]
-    df = frames[0] if frames else spark.createDataFrame([], all_string_schema([*(columns or []), "_source_file"]))
-    for f in frames[1:]:
-        df = df.unionByName(f, allowMissingColumns=True)
+    found = files.select("path").mapInPandas(_headers, HEADER_ROW)  # in the scan's own tasks
+    groups = found.groupBy("header").agg(F.collect_set("path").alias("paths")).collect()  # a row a header
+    unread = [p for g in groups if g.header is None for p in g.paths]
+    if unread:
+        spark = files.sparkSession
+        lines = (spark.read.text(unread).where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+                 .select(F.col("_metadata.file_path").alias("_uri"), "value", F.monotonically_increasing_id().alias("_n")))
+        first = lines.groupBy("_uri").agg(F.min_by("value", "_n").cast("binary").alias("header"))
+        groups += (files.select("path", "_uri").join(first, "_uri").groupBy("header")
+                   .agg(F.collect_set("path").alias("paths")).collect())
+    by_header: dict[bytes, list[str]] = {}
+    for g in groups:
+        if g.header:
+            by_header.setdefault(bytes(g.header), []).extend(g.paths)
+    return sorted(sorted(paths) for paths in by_header.values())
+
+
+def _read_files(files: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    spark = files.sparkSession
+    df = None
+    for paths in _by_header(files):
+        header = spark.read.option("header", True).csv(paths[0]).columns  # Spark's own reading of the group's header
+        part = with_source_file(spark.read.option("header", True).option("mode", "PERMISSIVE")
+                                .schema(all_string_schema(header)).option("enforceSchema", False).csv(paths))
+        df = part if df is None else df.unionByName(part, allowMissingColumns=True)
+    if df is None:
+        df = spark.createDataFrame([], all_string_schema([*(columns or []), "_source_file"]))
     if columns is not None:
         df = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns],
                        *[c for c in df.columns if c not in columns])
     return with_batch_date(df)
 
 
+def read_snapshots(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None
+                   ) -> DataFrame:
+    """S1 + S6 + S7: daily CSV snapshots as text with ``_source_file`` and ``batch_date``.
+
+    Columns are taken by name: files are grouped by their own header (tasks
+    read one line per file), each group is read with it, and the groups are
+    united by name.  A column that a file lacks is null.  ``columns`` come
+    first and always exist; further ones are kept.
+    """
+    return _read_files(_paths(spark, path), columns)
+
+
 def with_source_file(df: DataFrame, name: str = "_source_file") -> DataFrame:
     """Lineage column from the file metadata."""
     return df.select("*", F.col("_metadata.file_name").alias(name))
@@ -124,37 +173,50 @@ def ingest_new(spark: SparkSession, src: str, manifest_path: str, columns: Seque
     File names are compared first, so only new files are read.  Without a
     manifest, or where ``history_path`` is given and does not exist, every file is new.
     """
-    files = list_files(spark, src)
+    files = _paths(spark, src)
     try:
         if history_path is not None:
             spark.read.format("binaryFile").load(history_path)  # resolves the path
-        new = files.join(spark.read.parquet(manifest_path).select("file_name").distinct(), "file_name", "left_anti")
+        known = spark.read.parquet(manifest_path).select("file_name").distinct()
+        new = files.join(known, _file_name() == F.col("file_name"), "left_anti")
     except AnalysisException as e:
         if not path_missing(e):
             raise
         new = files
-    paths = [r.path for r in new.select("path").orderBy("path").collect()]  # one path per new file
-    if not paths:
-        empty = with_batch_date(spark.createDataFrame([], all_string_schema([*(columns or []), "_source_file"])))
-        return clean_numeric(empty), spark.createDataFrame([], "file_name string")
-    rows = clean_numeric(read_snapshots(spark, paths, columns))
-    return rows, spark.createDataFrame([(p.rsplit("/", 1)[-1],) for p in paths], "file_name string").distinct()
+    return clean_numeric(_read_files(new, columns)), new.select(_file_name().alias("file_name")).distinct()
 
 
 def mark_processed(names: DataFrame, manifest_path: str) -> None:
     names.write.mode("append").parquet(manifest_path)
 
 
+def written_partitions(spark: SparkSession, out_path: str, keys: Sequence[str]) -> list[tuple[str, ...]]:
+    """Values of ``keys`` of all partition folders (``key=value``, nested in this order) that hold a file, as text, from
+    folder listings alone: no data file is opened.  The partition of nulls is left out."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(out_path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(hadoop.Path(root, "/".join(f"{k}=*" for k in keys) + "/[!_.]*"))
+    done = set()
+    for status in found or []:
+        folders = str(status.getPath().getParent().toString()).split("/")[-len(keys):]
+        values = tuple(unquote(f.split("=", 1)[1]) for f in folders)
+        if NULL_PARTITION not in values:
+            done.add(values)
+    return sorted(done)
+
+
 def skip_existing(df: DataFrame, out_path: str, keys: Sequence[str] = ("device_type", "batch_date")) -> DataFrame:
-    """Drop (date, type) groups whose output partition already exists."""
+    """Drop (date, type) groups whose output partition already exists; ``keys`` are the columns that the output is
+    partitioned by, in their order.  Existing ones come from folder names (:func:`written_partitions`).  Rows with a
+    null key stay."""
     spark = df.sparkSession
-    try:
-        done = spark.read.parquet(out_path).select(*keys).distinct()
-    except AnalysisException as e:
-        if not path_missing(e):
-            raise
+    done = written_partitions(spark, out_path, keys)
+    if not done:
         return df  # nothing written yet
-    return df.join(done, list(keys), "left_anti")
+    types = dict(df.dtypes)
+    there = spark.createDataFrame(done, all_string_schema(keys))
+    return df.join(there.select(*[F.col(k).cast(types[k]).alias(k) for k in keys]), list(keys), "left_anti")
 
 
 def ensure_features(df: DataFrame, build, **kw) -> DataFrame:
@@ -231,34 +293,87 @@ def list_columns(df: DataFrame) -> list[str]:
 
 # ------------------------------------------------------------------ zips ---
 
-ZIP_ROW = T.StructType([T.StructField("_source_file", T.StringType())]
-                       + [T.StructField(c, T.StringType()) for c in SNAPSHOT_COLUMNS])
+MEMBER_ROW = "path string, name string, offset long, packed long, size long, method int, checksum long"
+MEMBER = ["name", "offset", "packed", "size", "method", "checksum"]
+CHUNK_ROWS = 50_000
+
+
+def _member_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for path in b["path"]:
+            try:
+                with opened(path) as f:
+                    rows = [(path, *m) for m in csv_members(f)]
+            except (OSError, pa.ArrowException):
+                rows = [(path, None, 0, 0, 0, 0, 0)]  # a store that only Spark reads
+            yield pd.DataFrame(rows, columns=["path", *MEMBER])
+
+
+def zip_members(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
+    """The index of S17: path, name, offset, sizes, method and checksum of every CSV member, dealt evenly to ``tasks``.
+
+    Tasks read the directories at the archives' ends alone; a member is then read by its offset, so members of one
+    archive go to several tasks.  An archive that tasks cannot open has one row without a name.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path")
+    return files.mapInPandas(_member_rows, MEMBER_ROW).repartition(
+        tasks or int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _contents(rows: pd.DataFrame) -> Iterator[tuple[str, BinaryIO]]:
+    """``archive__member`` and the open member for each row of the index, or of whole archives (path, content)."""
+    for r in rows.itertuples(index=False):
+        stem = r.path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+        if "content" in rows.columns:
+            archive = io.BytesIO(r.content)
+            for m in csv_members(io.BytesIO(r.content)):
+                yield f"{stem}__{m[0].replace('/', '_')}", member(archive, *m)
+        else:
+            with opened(r.path) as f:
+                yield f"{stem}__{r.name.replace('/', '_')}", member(f, *(getattr(r, c) for c in MEMBER))
 
 
-def _unzip_csv(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _member_columns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        for path, content in zip(b["path"], b["content"]):
-            zname = path.rsplit("/", 1)[-1]
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for info in zf.infolist():
-                    if info.is_dir() or not info.filename.lower().endswith(".csv"):
-                        continue
-                    member = f"{zname.rsplit('.', 1)[0]}__{info.filename.replace('/', '_')}"
-                    with zf.open(info) as fh:
-                        for chunk in pd.read_csv(fh, dtype=str, keep_default_na=False, chunksize=50_000):
-                            out = pd.DataFrame({c: chunk[c] if c in chunk.columns else None
-                                                for c in SNAPSHOT_COLUMNS})
-                            out.insert(0, "_source_file", member)
-                            yield out
-
-
-def read_zipped_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """CSV members of ZIP archives, each with a unique member name.
-
-    ``binaryFile`` lists archives as rows; ``mapInPandas`` streams each
-    member in chunks, so one archive is one task (ZIP is not splittable) but
-    no archive is ever materialised whole on the driver.
+        for _, content in _contents(b):
+            try:
+                header = list(pd.read_csv(content, dtype=str, nrows=0).columns)
+            except pd.errors.EmptyDataError:
+                continue
+            yield pd.DataFrame({"header": [header]})
+
+
+def _unzip_csv(columns: Sequence[str]):
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for name, content in _contents(b):
+                try:
+                    chunks = pd.read_csv(content, dtype=str, keep_default_na=False, index_col=False, chunksize=CHUNK_ROWS)
+                except pd.errors.EmptyDataError:
+                    continue
+                for chunk in chunks:
+                    out = {"_source_file": name} | {c: chunk[c] if c in chunk.columns else None for c in columns}
+                    yield pd.DataFrame(out, index=chunk.index)
+    return read
+
+
+def read_zipped_snapshots(spark: SparkSession, path: str, columns: Sequence[str] = SNAPSHOT_COLUMNS,
+                          tasks: int | None = None) -> DataFrame:
+    """CSV members of ZIP archives as text, each with a unique member name.
+
+    Members are spread over tasks by :func:`zip_members` and streamed in
+    chunks.  ``columns`` come first and always exist; further ones, of any
+    member, follow by name.  Columns that a member lacks are null, members
+    without a line give no rows.  Archives that tasks cannot open are read
+    whole by Spark, an archive a task.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    rows = files.select("path", "content").mapInPandas(_unzip_csv, ZIP_ROW)
-    return with_batch_date(rows)
+    index = zip_members(spark, path, tasks)
+    parts = [index.where(F.col("name").isNotNull())]
+    shut = [r.path for r in index.where(F.col("name").isNull()).select("path").collect()]  # none where Arrow opens the store
+    if shut:
+        parts.append(_listed(spark, shut).select("path", "content"))
+    heads = [p.mapInPandas(_member_columns, "header array<string>").distinct() for p in parts]
+    found = {c for h in heads for r in h.collect() for c in r.header}  # a row a distinct header
+    names = [*columns, *sorted(found - {*columns, "_source_file"})]
+    rows = [p.mapInPandas(_unzip_csv(names), all_string_schema(["_source_file", *names])) for p in parts]
+    return with_batch_date(rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1]))
