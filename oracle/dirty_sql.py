@@ -1,6 +1,8 @@
 """DuckDB SQL for the queries over dirty variants."""
 
+from .adapter import r6
 from .export_sql import TTL_SQL
+from .health_sql import health_ctes
 
 TEXT = """t AS (SELECT event_id AS reading_id, CASE WHEN user_id % 5 <> 0 THEN user_id END AS Serial, CAST(ts AS TIMESTAMP) AS ts,
   CASE event_id % 7 WHEN 0 THEN 'NULL' WHEN 1 THEN ' ' || k || ' ' WHEN 2 THEN k || '%' WHEN 3 THEN '1,' || lpad(k, 3, '0') WHEN 4 THEN '' ELSE k END AS b,
@@ -27,4 +29,11 @@ FROM customer LEFT JOIN (SELECT o_custkey, arg_max(CAST(o_orderdate AS TIMESTAMP
 _D = "(CASE WHEN Serial % 4 <> 0 THEN greatest((Serial % 9) * 0.05, 0.001) END)"
 C9 = TTL_SQL.replace("BatteryLevel / 0.027", f"BatteryLevel / {_D}").replace("SELECT Serial, device_type,\n", "SELECT Serial,\n")
 
-SQL = {"c9_ttl_observed": C9, "p5_text_numerics": P5, "d14_text_rules": D14, "w1_null_serials": W1, "j2_last_install": J2}
+_SEEN = "CASE WHEN dayofmonth(batch_date) % 2 = 0 AND reading_id % 3 <> 0 THEN (Serial % 9) * CAST(0.02 AS DOUBLE) END"
+_PER_DAY = f"""CASE WHEN bool_or(({_SEEN}) IS NOT NULL) OVER (PARTITION BY batch_date, t) THEN coalesce({_SEEN}, CAST(0.027 AS DOUBLE))
+  ELSE CAST(10.0 AS DOUBLE) / 365.0 * (1.0 + pow(life, 2) * 2.0) END"""
+D6 = f"""WITH {health_ctes(True, per_day=_PER_DAY)}
+SELECT reading_id, {r6('rate')} AS battery_drain_rate, {r6('aabr')} AS age_adjusted_battery_risk,
+  {r6('urg')} AS maintenance_urgency_score, {r6('risk_score')} AS risk_score, risk_reason FROM hf"""
+
+SQL = {"d6_drain_by_batch": D6, "c9_ttl_observed": C9, "p5_text_numerics": P5, "d14_text_rules": D14, "w1_null_serials": W1, "j2_last_install": J2}

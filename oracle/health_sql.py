@@ -23,11 +23,13 @@ NORM = {"comm": ("comm", 365.0), "report": ("report", 180.0), "life": ("life", 1
         "urgency": ("urg", 1.0), "current": ("cur", 1000.0), "temp": ("temp", 100.0), "flags": ("fsum", None)}
 
 
-def health_ctes(batch: bool, scope: str = "batch", source: str = "readings", pre: str = "") -> str:
+def health_ctes(batch: bool, scope: str = "batch", source: str = "readings", pre: str = "",
+                per_day: str = "0.0") -> str:
     """CTE chain ending in ``hf`` (one row per reading, all features).
 
     ``source`` names the CTE with reading rows; ``pre`` adds CTEs defined
-    between the adapter and the scorer (e.g. a deduped source).
+    between the adapter and the scorer (e.g. a deduped source); ``per_day`` is
+    the battery drain of a ZM1 row.
     """
     bk = "batch_date, " if batch else ""
     bjoin_st = "st.batch_date = r.batch_date AND " if batch else ""
@@ -70,7 +72,7 @@ b AS (
     CASE WHEN t = 'ZM1' THEN {flag('BatteryLevel < 30')} ELSE 0 END AS battery_warning_flag,
     CASE WHEN t = 'ZM1' THEN coalesce({days_between('snap_bt', 'BatteryLatestReport')}, 0.0) ELSE 0.0 END AS report,
     CASE WHEN t = 'ZM1' THEN coalesce(age_days / 30.44, 0.0) ELSE 0.0 END AS months,
-    CASE WHEN t = 'ZM1' THEN {clip('0.0 * 365.0', lo=0.1)} ELSE 0.0 END AS rate,
+    CASE WHEN t = 'ZM1' THEN {clip(f'({per_day}) * 365.0', lo=0.1)} ELSE 0.0 END AS rate,
     CASE WHEN t = 'MM3' THEN {clip('coalesce(LineCurrent, 0.0)', hi=1000.0)} ELSE 0.0 END AS cur,
     CASE WHEN t = 'MM3' THEN {clip('coalesce(LineTemperature, 0.0)', hi=100.0)} ELSE 0.0 END AS temp
   FROM a),

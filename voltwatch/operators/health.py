@@ -248,6 +248,15 @@ def _single_pass_stats(d: DataFrame, gkeys: Sequence[str], batch: Sequence[str],
     return s.select(*gkeys, "_snap_bt", "_snap_b", *[c.alias(n) for n, c in cols.items()], "_mn_flags", "_mx_flags")
 
 
+def design_drain_per_day() -> Column:
+    """Battery drain by design, from the expected lifetime and the share of it that is used."""
+    safe_life = X.clip(F.coalesce(F.col("expected_lifetime_days").cast("double"),
+                                  F.lit(float(config.DEFAULT_LIFETIME_DAYS))), 365.0, 36500.0)
+    base_yearly = F.lit(100.0) / (safe_life / 365.0)
+    aging = F.lit(1.0) + F.pow(F.coalesce(F.col("pct_life_used"), F.lit(0.0)), 2) * 2.0
+    return (base_yearly / 365.0) * aging
+
+
 def build_health_features(df: DataFrame, install: DataFrame | None = None, attempts: DataFrame | None = None,
                           batch_cols: Sequence[str] = ("batch_date",), snapshot_scope: str = "batch",
                           drain_model: str = "observed", install_dedupe: bool = True,
@@ -258,7 +267,8 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     daily file = one batch); an empty list scores the frame as one batch.
     ``snapshot_scope`` is ``"batch"`` (device/comm ages vs the batch's latest
     reading) or ``"batch_type"``.  ``drain_model`` is ``"observed"`` (parity)
-    or ``"design"`` (T2).  ``order_cols`` breaks ties in time order (file row
+    or ``"design"`` (T2).  With a drain column the observed model is chosen by batch:
+    where no ZM1 reading of the batch has a drain, its ZM1 devices drain by design (D6).  ``order_cols`` breaks ties in time order (file row
     order).  ``stats_mode="two_pass"`` forces the generic statistics path
     (the default picks one pass whenever the drain is constant).
     """
@@ -319,7 +329,9 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
             d, stats2 = attach_stats(d, stats.select(*gkeys, "_snap_bt", "_snap_b"), gkeys), stats.select(*gkeys, *ranges)
     else:
         # A1 snapshots: latest reading per (batch, type) and per batch.
-        snaps = read.groupBy(*gkeys).agg(F.max("Last_Heard_dt").alias("_snap_bt"))
+        # With them whether the batch's devices of a type report any drain at all.
+        drains = X.to_num(F.col("battery_drain_rate_per_day")).isNotNull() if has_drain_col else F.lit(False)
+        snaps = read.groupBy(*gkeys).agg(F.max("Last_Heard_dt").alias("_snap_bt"), F.max(drains).alias("_drain_seen"))
         # per-batch snapshot on the small table (<= 4 rows per batch), no self-join rescan
         snaps = snaps.select("*", F.max("_snap_bt").over(Window.partitionBy(*batch)).alias("_snap_b"))
         d = attach_stats(d, snaps, gkeys)
@@ -338,19 +350,16 @@ def build_health_features(df: DataFrame, install: DataFrame | None = None, attem
     battery = F.col("_battery")
     report_age = _f_report(F.col("_snap_bt"), F.col("BatteryLatestReport_dt"))
     months = F.coalesce(F.col("device_age_days") / config.DAYS_PER_MONTH, F.lit(0.0))
-    if drain_model == "observed":
-        observed = F.col("battery_drain_rate_per_day") if has_drain_col else F.lit(0.0)
-        per_day = F.coalesce(X.to_num(observed) if has_drain_col else observed, F.lit(config.DEFAULT_DRAIN_PER_DAY))
-        rate = per_day * 365.0
-    elif drain_model == "design":
-        safe_life = X.clip(F.coalesce(F.col("expected_lifetime_days").cast("double"),
-                                      F.lit(float(config.DEFAULT_LIFETIME_DAYS))), 365.0, 36500.0)
-        base_yearly = F.lit(100.0) / (safe_life / 365.0)
-        mult = F.lit(1.0) + F.pow(F.coalesce(F.col("pct_life_used"), F.lit(0.0)), 2) * 2.0
-        per_day = (base_yearly / 365.0) * mult
-        rate = per_day * 365.0
-    else:
+    if drain_model not in ("observed", "design"):
         raise ValueError(f"unknown drain_model {drain_model!r}")
+    per_day = design_drain_per_day()
+    if drain_model == "observed":
+        if has_drain_col:
+            observed = F.coalesce(X.to_num(F.col("battery_drain_rate_per_day")), F.lit(config.DEFAULT_DRAIN_PER_DAY))
+            per_day = F.when(F.col("_drain_seen"), observed).otherwise(per_day)
+        else:
+            per_day = F.lit(0.0)
+    rate = per_day * 365.0
     per_day = X.clip(per_day, lo=0.1 / 365.0)
     rate = X.clip(rate, lo=0.1)
 

@@ -9,6 +9,7 @@ from ..functions import categories as C
 from ..operators import failure as FL
 from ..operators import labels as L
 from ..operators.common import two_level_lag
+from ..operators.health import build_health_features
 from ..sources import adapter as A
 from ..sources.files import clean_numeric
 from .catalog import r6, register
@@ -67,3 +68,14 @@ def j2_last_install(spark, sf_dir):
     devices = A.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Serial"))
     d = L.with_install_lookup(devices, o, "2024-01-31", ["o_orderkey"])
     return d.select("Serial", F.date_format("InstallDate", "yyyy-MM-dd").alias("install_date"), "device_age_days")
+
+
+@register("d6_drain_by_batch")
+def d6_drain_by_batch(spark, sf_dir):
+    """D6 over days with and without drains: the whole day's ZM1 devices drain by design where none reports a drain."""
+    r = A.readings(spark, sf_dir)
+    drain = F.when((F.dayofmonth("batch_date") % 2 == 0) & (F.col("reading_id") % 3 != 0), (F.col("Serial") % 9) * 0.02)
+    h = build_health_features(r.withColumn("battery_drain_rate_per_day", drain), install=A.install_dates(spark, sf_dir),
+                              attempts=A.attempts(spark, sf_dir), batch_cols=["batch_date"], order_cols=["reading_id"])
+    return h.select("reading_id", *[r6(c).alias(c) for c in ("battery_drain_rate", "age_adjusted_battery_risk",
+                                                            "maintenance_urgency_score", "risk_score")], "risk_reason")
