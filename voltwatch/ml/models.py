@@ -25,6 +25,7 @@ from .. import config
 from ..functions import exprs as X
 from ..operators.common import reliable_checkpoint
 from ..operators.ranks import cumulative, exact_quantiles, first_rows
+from .rules import tree_rules
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint", "boolean")
 DEFAULT_DROP = config.MODEL_DROP_COLUMNS
@@ -302,26 +303,41 @@ def explain_rows(df: DataFrame, feats: Sequence[str], importances: Sequence[floa
     return F.concat(F.lit("Top signals: "), F.concat_ws(", ", *parts))
 
 
-def trust_stack(df: DataFrame, label_col: str | None = None, date_col: str = "Last_Heard", train_frac: float = 0.8,
-                rf_trees: int = 250, seed: int = 42) -> dict:
-    """Rule labels (or a given label), chronological split,
-    median impute, depth-3 tree and 250-tree forest, agreement and explanations."""
+TRUST_FEATURES = ("BatteryLevel", "days_since_last_heard", "LineCurrent", "LineTemperature", "rule_risk_score")
+
+
+def trust_split(df: DataFrame, label_col: str | None = None, date_col: str = "Last_Heard", train_frac: float = 0.8,
+                features: Sequence[str] = TRUST_FEATURES) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Train and test rows of the trust stack with the label as ``_y``, and the features there are.
+
+    ``label_col`` None takes the rules' own label. Rows without a date or a label are left out; the earliest
+    ``train_frac`` rows train; missing values take the train rows' medians."""
     from ..operators.failure import chrono_split
-    d = df.where(F.col(date_col).isNotNull())
-    lab = "rule_label" if label_col is None else label_col
-    feats = [c for c in ("BatteryLevel", "days_since_last_heard", "LineCurrent", "LineTemperature", "rule_risk_score")
-             if c in d.columns]
-    types = dict(d.dtypes)
-    d = d.select(*[c for c in d.columns if c not in feats], *[(X.sanitize_num(c) if types[c] == "string" else X.to_num(F.col(c))).alias(c) for c in feats],
-                 F.col(lab).cast("int").alias("_y"))
+    types = dict(df.dtypes)
+    feats = [c for c in features if c in types]
+    typed = [(X.sanitize_num(c) if types[c] == "string" else X.to_num(F.col(c))).alias(c) for c in feats]
+    d = df.where(F.col(date_col).isNotNull()).select(
+        *[c for c in df.columns if c not in feats], *typed, F.col(label_col or "rule_label").cast("int").alias("_y"))
     d = d.where(F.col("_y").isNotNull())  # a row without a supplied label teaches and tests nothing
     split = chrono_split(d, date_col, train_frac, tiebreak=[c for c in ("reading_id",) if c in d.columns])
     split = split.transform(reliable_checkpoint)
-    train, test = median_impute(split.where("is_train"), split.where("not is_train"), feats)
-    asm = _assembler(feats)
-    dt = Pipeline(stages=[asm, DecisionTreeClassifier(labelCol="_y", maxDepth=3, seed=seed)]).fit(train)
-    rf = Pipeline(stages=[asm, RandomForestClassifier(labelCol="_y", numTrees=rf_trees, maxDepth=8,
-                                                      minInstancesPerNode=10, seed=seed)]).fit(train)
+    return (*median_impute(split.where("is_train"), split.where("not is_train"), feats), feats)
+
+
+def trust_tree(train: DataFrame, feats: Sequence[str], seed: int = 42) -> PipelineModel:
+    """The depth-3 tree whose rules people read."""
+    return Pipeline(stages=[_assembler(feats), DecisionTreeClassifier(labelCol="_y", maxDepth=3, seed=seed)]).fit(train)
+
+
+def trust_stack(df: DataFrame, label_col: str | None = None, date_col: str = "Last_Heard", train_frac: float = 0.8,
+                rf_trees: int = 250, seed: int = 42, features: Sequence[str] = TRUST_FEATURES) -> dict:
+    """Rule labels (or a given label), chronological split,
+    median impute, depth-3 tree and 250-tree forest, agreement and explanations.
+    ``tree_rules`` has the tree's leaves as rows of SQL conditions."""
+    train, test, feats = trust_split(df, label_col, date_col, train_frac, features)
+    dt = trust_tree(train, feats, seed)
+    rf = Pipeline(stages=[_assembler(feats), RandomForestClassifier(
+        labelCol="_y", numTrees=rf_trees, maxDepth=8, minInstancesPerNode=10, seed=seed)]).fit(train)
     tp = predict(dt, test).select(*test.columns, F.col("prediction").alias("dt_pred"),
                                   F.col("positive_prob").alias("dt_prob"))
     both = predict(rf, tp).select(*tp.columns, F.col("prediction").alias("rf_pred"),
@@ -331,4 +347,17 @@ def trust_stack(df: DataFrame, label_col: str | None = None, date_col: str = "La
                       (F.col("rule_label") == F.col("rf_pred")).cast("int").alias("rule_vs_forest_agree"),
                       explain_rows(both, feats, imp).alias("rf_explanation"))
     return {"tree": dt, "forest": rf, "test": out, "features": feats,
-            "tree_rules": dt.stages[-1].toDebugString}
+            "tree_rules": tree_rules(df.sparkSession, dt.stages[-1], feats)}
+
+
+def trust_report(result: dict) -> DataFrame:
+    """The reports of the rules, the tree and the forest on the test rows of :func:`trust_stack`, under each other:
+    ``model`` and the columns of :func:`classification_report`, with the models' ROC-AUC (null for the rules, which give
+    no score, and where the test rows have one class)."""
+    out, test = None, reliable_checkpoint(result["test"].select("_y", "rule_label", "dt_pred", "dt_prob", "rf_pred", "rf_prob"))
+    for model, pred, score in (("rules", "rule_label", None), ("tree", "dt_pred", "dt_prob"), ("forest", "rf_pred", "rf_prob")):
+        auc = binary_metrics(test, "_y", pred, score).select("roc_auc") if score else \
+            result["test"].sparkSession.createDataFrame([(None,)], "roc_auc double")
+        part = classification_report(test, "_y", pred).select(F.lit(model).alias("model"), "*").crossJoin(F.broadcast(auc))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -571,6 +571,44 @@ def m15_median_imputed(spark, sf_dir):
     return test.select("reading_id", *[r6(c).alias(c) for c in cols])
 
 
+@register("m4_class_weights")
+def m4_class_weights(spark, sf_dir):
+    """M4: balanced weights of the train rows' classes; the test rows take them too."""
+    from ..ml import models as M
+    s = m3_stratified_split_rows(spark, sf_dir)
+    w = M.with_class_weight(s, "action_label", train=~F.col("is_test"))
+    return w.groupBy("action_label").agg(F.count(F.lit(1)).alias("rows"), r6(F.min("class_weight")).alias("lowest"),
+                                         r6(F.max("class_weight")).alias("highest"))
+
+
+def offline_label(spark, sf_dir):
+    """The trust stack's input with a supplied label: whether the device is offline, unknown for some devices."""
+    from ..operators import failure as FL
+    known = F.when(F.col("Serial") % 7 != 0, (F.coalesce(F.col("Status"), F.lit("")) == "OFFLINE").cast("int"))
+    return FL.rule_score(trust_input(spark, sf_dir)).withColumn("failure_label", known)
+
+
+@register("m20_rule_baseline_report")
+def m20_rule_baseline_report(spark, sf_dir):
+    """The rules' report against a supplied label on the test rows; rows without a label are left out."""
+    from ..ml import models as M
+    _, test, _ = M.trust_split(offline_label(spark, sf_dir), "failure_label")
+    rep = M.classification_report(test, "_y", "rule_label")
+    return rep.select("class", "support", *[r6(c).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@register("m16_tree_rules")
+def m16_tree_rules(spark, sf_dir):
+    """The tree's rules as SQL give the model's prediction for every test row, one rule each."""
+    from ..ml import models as M
+    from ..ml.rules import apply_rules
+    train, test, feats = M.trust_split(offline_label(spark, sf_dir), "failure_label")
+    tree = M.trust_tree(train, feats)
+    rules = M.tree_rules(spark, tree.stages[-1], feats).collect()  # at most 2 ** 3 leaves
+    both = apply_rules(M.predict(tree, test), rules)
+    return both.select("reading_id", "rules_met", (F.col("rule_prediction") == F.col("prediction")).cast("int").alias("same"))
+
+
 @register("m2_action_model_report")
 def m2_action_model_report(spark, sf_dir):
     """M1-M6, M9: per-type action forests and their test reports."""
