@@ -141,6 +141,16 @@ def test_substring_hot_minimisers(spark, monkeypatch):
     assert substring.remove_repeats(make(spark, rows).limit(0)).count() == 0
 
 
+def test_substring_of_a_row_that_stands_hundreds_of_times(spark):
+    """Two long texts share a passage, so that super-k-mers are contested; one of the rows stands 400 times."""
+    words = [f"w{k}" for k in range(900)]
+    rows = [(1, " ".join(words[:500]))] * 400 + [(2, " ".join(words[400:900]))]
+    got = Counter(collected(substring.remove_repeats(make(spark, rows))))
+    (one, n), (two, m) = sorted(got.items(), key=repr)
+    assert (n, one[:3], m, two[:3]) == (400, (1, 500, 500), 1, (2, 500, 100))
+    assert two[3] == " ".join(words[500:900])
+
+
 def test_bpe(spark, texts):
     from tokenizers import Tokenizer
 

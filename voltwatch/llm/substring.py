@@ -248,12 +248,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bit = F.array_join(F.transform(F.sequence(F.lit(0), F.ceil(F.col("count") / 8).cast("int") * 8 - 1), lambda k: F.when(F.array_contains("at", k), "1").otherwise("0")), "")
     bits = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.ceil(F.col("count") / 8).cast("int") - 1), lambda k: F.lpad(F.conv(F.substring(bit, k * 8 + 1, F.lit(8)), 2, 16), 2, "0")), ""))
     few = places.select("mini", "whole", bits.alias("bits")).join(often.select("mini", "whole"), ["mini", "whole"], "left_anti")
-    repeated = _counted(buckets, window).union(few).union(often)
+    # equal rows (id and text) give equal marks: one of each, before they meet the rows again
+    repeated = _counted(buckets, window).union(few).union(often).groupBy("mini", "whole").agg(F.max("bits").alias("bits"))
 
     marks = seen.where("NOT contested").select("k1", "k2", "start", "count", F.lit(None).cast("binary").alias("bits")).union(
         seen.where("contested").join(repeated, ["mini", "whole"]).select("k1", "k2", "start", "count", "bits")
     )
-    by_doc = marks.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "count", "bits")).alias("marks"))
+    by_doc = marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "count", "bits")).alias("marks"))
     kind = dict(docs.dtypes)[id_col]
     return _kept(keyed.join(by_doc, ["k1", "k2"], "left"), window, kind).withColumnRenamed("id", id_col)
 
