@@ -249,7 +249,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.ceil(F.col("count") / 8).cast("int") - 1), lambda k: F.lpad(F.conv(F.substring(bit, k * 8 + 1, F.lit(8)), 2, 16), 2, "0")), ""))
     few = places.select("mini", "whole", bits.alias("bits")).join(often.select("mini", "whole"), ["mini", "whole"], "left_anti")
     # equal rows (id and text) give equal marks: one of each, before they meet the rows again
-    repeated = _counted(buckets, window).union(few).union(often).groupBy("mini", "whole").agg(F.max("bits").alias("bits"))
+    _counted(buckets, window).union(few).union(often).groupBy("mini", "whole").agg(F.max("bits").alias("bits")).write.parquet(f"{where}/repeated")
+    repeated = spark.read.parquet(f"{where}/repeated")  # written, so that Spark can split a super-k-mer of very many rows
 
     marks = seen.where("NOT contested").select("k1", "k2", "start", "count", F.lit(None).cast("binary").alias("bits")).union(
         seen.where("contested").join(repeated, ["mini", "whole"]).select("k1", "k2", "start", "count", "bits")
