@@ -10,6 +10,7 @@ from .ml_sql import SQL as ML
 from .reports_sql import SQL as REPORTS
 from .labels_sql import CROSSTAB_SQL, GATED_SQL, GATED_SUMMARY_SQL, LABEL_SQL, MOVED_SQL, PREDICT_SQL
 from .timeseries_sql import PROFILE_SQL, TREND_SQL, TS_SQL
+from .whole_sql import SQL as WHOLE
 
 SQL: dict[str, str] = {
     "d4_health_fleet": health_sql(batch=False),
@@ -33,3 +34,4 @@ SQL.update(REPORTS)
 SQL.update(ML)
 SQL.update(MISC)
 SQL.update(DIRTY)
+SQL.update(WHOLE)

@@ -49,7 +49,7 @@ pb AS (
     CASE WHEN BatteryLevel BETWEEN 0 AND 100 THEN BatteryLevel END AS bat,
     CASE WHEN LineCurrent BETWEEN 0 AND 1000 THEN LineCurrent END AS curc,
     CASE WHEN LineTemperature BETWEEN -40 AND 100 THEN LineTemperature END AS tmpc,
-    comm1 * 24.0 AS hours
+    CAST(NULL AS DOUBLE) AS hours
   FROM hf),
 pg AS (
   SELECT Serial,
@@ -176,14 +176,16 @@ PROFILE_SQL = ("WITH " + profile_ctes() + "SELECT "
                            + ["CAST(communication_only_device AS VARCHAR) AS communication_only_device"])
                + " FROM profs")
 
-TREND_SQL = ("WITH " + ts_ctes() + f""",
+TREND_CTES = f""",
 z AS (SELECT Serial, batch_date AS d, BatteryLevel AS y,
         CAST(datediff('day', min(batch_date) OVER (PARTITION BY Serial), batch_date) AS DOUBLE) AS x
       FROM hf WHERE t = 'ZM1'),
 zg AS (SELECT Serial, CAST(count(*) AS BIGINT) AS data_points, count(y) AS ny, min(d) AS fd, max(d) AS ld,
          arg_min_null(y, d) AS battery_start, arg_max_null(y, d) AS battery_end,
          regr_slope(y, x) AS s, regr_intercept(y, x) AS i
-       FROM z GROUP BY Serial)
+       FROM z GROUP BY Serial)"""
+
+TREND_SELECT = f"""
 SELECT Serial, data_points, CAST(datediff('day', fd, ld) AS BIGINT) AS date_range_days,
   {r6('battery_start')} AS battery_start, {r6('battery_end')} AS battery_end,
   {r6('battery_end - battery_start')} AS battery_change,
@@ -191,4 +193,6 @@ SELECT Serial, data_points, CAST(datediff('day', fd, ld) AS BIGINT) AS date_rang
   {r6('CASE WHEN ny = data_points THEN s END')} AS trend_slope,
   {r6('CASE WHEN ny = data_points THEN i END')} AS trend_intercept,
   strftime(fd, '%Y-%m-%d') AS first_date, strftime(ld, '%Y-%m-%d') AS last_date
-FROM zg WHERE data_points >= 2 AND datediff('day', fd, ld) > 0""")
+FROM zg WHERE data_points >= 2 AND datediff('day', fd, ld) > 0"""
+
+TREND_SQL = "WITH " + ts_ctes() + TREND_CTES + TREND_SELECT

@@ -71,13 +71,6 @@ def drain_category(rate_per_year: ColumnOrName) -> dict[str, Column]:
             "is_normal_drain": _t(r <= 15.0), "is_fast_drain": _t(r > 15.0)}
 
 
-def drain_status(per_day: ColumnOrName) -> Column:
-    """C7 text: 'Draining at x%/year' above 0.001 %/day, else stable."""
-    p = col(per_day)
-    return F.when(_t(p > 0.001), F.concat(F.lit("Draining at "), py_fixed(p * 365.0, 1), F.lit("%/year"))
-                  ).otherwise("Stable battery level")
-
-
 def critical_flag(battery: ColumnOrName | None, days: ColumnOrName | None, risk: ColumnOrName | None) -> Column:
     """Any available of battery < 20, due < 30 days, risk > 80."""
     conds = []

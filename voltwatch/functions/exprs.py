@@ -246,11 +246,6 @@ def expected_lifetime(c: ColumnOrName) -> Column:
             .otherwise(F.lit(config.DEFAULT_LIFETIME_DAYS))).cast("long")
 
 
-def status_flag(c: ColumnOrName, value: str) -> Column:
-    """Status equals ``value`` after upper/trim; null -> 0."""
-    return flag(F.upper(F.trim(col(c))) == F.lit(value))
-
-
 def first_present(columns: Iterable[str], names: Sequence[str]) -> str | None:
     """First existing column from candidates (P1); plan-time."""
     cols = list(columns)

@@ -14,7 +14,10 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import categories as C
+from ..functions import exprs as X
+from .frames import with_profile_risk
 
 
 def with_categories(df: DataFrame, as_of: str) -> DataFrame:
@@ -44,6 +47,41 @@ def with_categories(df: DataFrame, as_of: str) -> DataFrame:
     return df.select(*keep, *[c.alias(n) for n, c in cols.items()])
 
 
+def with_install_age(df: DataFrame, days: str = "device_age_days") -> DataFrame:
+    """C5 from the install date: years rounded to 0.1 and their category, in place of the observed ones.
+
+    A device without an install age has no years and falls into the first category."""
+    years = X.np_round(F.col(days) / 365.0, 1)
+    keep = [c for c in df.columns if c not in ("device_age_years", "age_category")]
+    return df.select(*keep, years.alias("device_age_years")).select("*", C.age_category("device_age_years").alias("age_category"))
+
+
+def with_ttl(df: DataFrame, battery: str = "BatteryLevel", drain: str = "battery_drain_rate_per_day",
+             type_col: str = "Device_Type_Standardized") -> DataFrame:
+    """C9 over a whole export: observed drains where any ZM1 device of the frame has one, else the default rate for all."""
+    zm1 = F.coalesce(F.col(type_col) == "ZM1", F.lit(False))
+    rate = F.lit(config.DEFAULT_DRAIN_PER_DAY)
+    if drain in df.columns:
+        seen = df.agg(F.coalesce(F.max(zm1 & F.col(drain).isNotNull()), F.lit(False)).alias("_seen"))  # one row
+        df = df.crossJoin(F.broadcast(seen))
+        rate = F.when(F.col("_seen"), F.col(drain)).otherwise(rate)
+    cols = C.ttl(zm1, battery, rate)
+    return df.select(*[c for c in df.columns if c not in (*cols, "_seen")], *[c.alias(n) for n, c in cols.items()])
+
+
+def full_export(profiles: DataFrame, predictions: DataFrame, as_of: str, source: str,
+                flags: Sequence[str] = ("coord_missing_flag", "battery_low_flag", "offline_flag")) -> DataFrame:
+    """The whole export: one row a profile with categories, fleet KPIs, the predicted action, what the prediction knew of
+    the device (age, battery, ``flags``), time to live, install age, current risk and metadata (C1-C9, C11, J5-J7, A14, P27).
+
+    ``profiles`` feeds rows, KPIs and the choice of drain: pass a written or checkpointed frame."""
+    e = with_global_kpis(with_categories(profiles, as_of))
+    e = with_predictions(e, predictions, as_of)
+    e = join_new_columns(e, predictions.select("Serial", "device_age_days", "BatteryLevel", "days_since_last_report", *flags))
+    e = with_profile_risk(with_install_age(with_ttl(e)), profiles)
+    return with_metadata(e, as_of, source)
+
+
 def with_global_kpis(df: DataFrame) -> DataFrame:
     """Fleet KPI columns on every row (one-row aggregate, broadcast)."""
     b, d = F.col("battery_current"), F.col("days_until_battery_critical")
@@ -106,3 +144,39 @@ def export_summary(df: DataFrame) -> DataFrame:
         F.count_if(d < 365).cast("long").alias("this_year"),
         F.count_if(F.col("is_critical_device")).cast("long").alias("critical_devices"),
     )
+
+
+def export_totals(df: DataFrame, type_col: str = "Device_Type_Standardized") -> DataFrame:
+    """A26 in full: rows (section, item, devices, value) for battery, replacement, time to live, age, predictions, critical
+    devices and types; ``value`` is a mean or a percentage of all devices, null where there is none.
+
+    The rows are read once: counts and sums by (action, type) serve every section."""
+    b, d, t, a = (F.col(c) for c in ("battery_current", "days_until_battery_critical", "ttl_days", "device_age_days"))
+    counts = {
+        ("battery", "critical_below_20"): b < 20, ("battery", "low_20_to_30"): (b >= 20) & (b < 30),
+        ("replacement", "emergency_7d"): d < 7, ("replacement", "critical_30d"): d < 30,
+        ("replacement", "urgent_90d"): d < 90, ("replacement", "this_year"): d < 365,
+        ("ttl", "critical_30d"): t < 30, ("ttl", "urgent_30_to_90d"): (t >= 30) & (t < 90),
+        ("age", "new_below_1y"): a < 365, ("age", "old_above_5y"): a > 1825,
+        ("critical", "devices"): F.col("is_critical_device"),
+    }
+    means = {("battery", "average"): b, ("ttl", "average_days"): t, ("age", "average_days"): a}
+    cells = df.groupBy(F.col("PredictedAction").alias("_action"), F.col(type_col).alias("_type")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(c).alias(f"_c{k}") for k, c in enumerate(counts.values())],
+        *[x for k, c in enumerate(means.values()) for x in (F.sum(c).alias(f"_s{k}"), F.count(c).alias(f"_m{k}"))])
+
+    def row(section, item, devices, value=None) -> F.Column:
+        value = F.lit(None).cast("double") if value is None else value
+        return F.struct(F.lit(section).alias("section"), item.alias("item"), devices.cast("long").alias("devices"), value.alias("value"))
+
+    total = cells.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) if c[:2] in ("_n", "_c", "_m") else F.sum(c).alias(c)
+                        for c in cells.columns[2:]])  # one row
+    figures = [row(s, F.lit(i), F.col(f"_c{k}")) for k, (s, i) in enumerate(counts)]
+    figures += [row(s, F.lit(i), F.col(f"_m{k}"), F.when(F.col(f"_m{k}") > 0, F.col(f"_s{k}") / F.col(f"_m{k}")))
+                for k, (s, i) in enumerate(means)]
+    out = total.select(F.inline(F.array(*figures)))
+    share = F.col("_d") / F.col("_n") * 100.0
+    for section, key in (("prediction", "_action"), ("type", "_type")):
+        part = cells.groupBy(key).agg(F.sum("_n").alias("_d")).crossJoin(F.broadcast(total.select("_n")))
+        out = out.unionByName(part.select(row(section, F.col(key), F.col("_d"), share).alias("r")).select("r.*"))
+    return out

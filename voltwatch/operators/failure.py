@@ -21,6 +21,12 @@ ML_FEATURES = ["battery_level", "LineTemperature_val", "LineCurrent_val", "devic
                "age_adjusted_battery_risk", "maintenance_urgency_score", "old_and_hot_flag"]
 
 
+def status_failure(status: Column) -> dict[str, Column]:
+    """1 and 'offline_status' for a spelling of OFFLINE, else (unknown and missing too) 0 and 'active'."""
+    off = F.coalesce(F.upper(F.trim(status.cast("string"))).isin(*OFFLINE_SPELLINGS), F.lit(False))
+    return {"status_failure": off.cast("int"), "status_cause": F.when(off, "offline_status").otherwise("active")}
+
+
 def label_lookahead(df: DataFrame, key: str = "Serial", date_col: str = "date", horizon_rows: int = 7,
                     horizon_days: int = 7) -> DataFrame:
     """``failure_next_7d`` / ``failure_cause`` from the next ``horizon_rows`` rows

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs as X
+from ..functions.categories import risk_category
 
 
 def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
@@ -41,13 +42,17 @@ def derive_ml_inputs(df: DataFrame) -> DataFrame:
 
 
 def with_profile_risk(df: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Current risk from profiles as ``risk_score_current`` (right side wins, T12)."""
-    p = profiles.select("Serial", F.col("risk_score_current").alias("_rsc"))
-    j = df.join(p, "Serial", "left")
-    keep = [c for c in df.columns if c != "risk_score_current"]
-    base = F.coalesce(F.col("_rsc"), F.col("risk_score_current")) if "risk_score_current" in df.columns \
-        else F.col("_rsc")
-    return j.select(*keep, base.alias("risk_score_current"))
+    """Current score and reason of a device's profile as ``risk_score`` and ``risk_reason`` with the categories of the
+    score (C4), in place of columns of these names (T12).  What profiles lack is not added."""
+    names = {"risk_score_current": "risk_score", "risk_reason_current": "risk_reason"}
+    found = {c: n for c, n in names.items() if c in profiles.columns}
+    if "risk_score_current" not in found:
+        return df
+    p = profiles.select("Serial", *[F.col(c).alias(f"__{n}") for c, n in found.items()])
+    bins = risk_category("__risk_score")
+    keep = [c for c in df.columns if c not in found.values() and c not in bins]
+    return df.join(p, "Serial", "left").select(*keep, *[F.col(f"__{n}").alias(n) for n in found.values()],
+                                               *[c.alias(n) for n, c in bins.items()])
 
 
 def bootstrap_history(pred: DataFrame, install: DataFrame | None, attempts: DataFrame | None, as_of: str,

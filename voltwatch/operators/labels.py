@@ -67,8 +67,10 @@ def canonical_type(df: DataFrame) -> DataFrame:
 
 def label_flags(df: DataFrame, as_of: str = config.DEFAULT_AS_OF, battery_low: float = 20.0,
                 zero_current_threshold: float = 1.0, types: Sequence[str] = config.ACTIVE_ML_TYPES,
-                order_cols: Sequence[str] = ()) -> DataFrame:
-    """Label-side features of a history frame."""
+                order_cols: Sequence[str] = (), inactive_days: int = 180, reconf_intermittent_days: int = 14) -> DataFrame:
+    """Label-side features of a history frame.
+
+    D11: ``inactive_days`` and ``reconf_intermittent_days`` are accepted as parameters of the job; no rule uses them."""
     d = df.select("*", X.device_type_a(F.col("Device_Type")).alias("device_type_display"))
     d = d.where(F.col("device_type_display").isin(*types))
     ts_name = _first(d, ["BatteryLatestReport", "Last_Heard", "LastHeard", "last_heard", "Date", "date"])

@@ -64,16 +64,6 @@ def time_features(ts: DataFrame, real_days_since: bool = False) -> DataFrame:
     return ts.select("*", *cols)
 
 
-def coord_changed(df: DataFrame, key: str = "Serial", order: Sequence[str] = ("date",),
-                  threshold: float = config.COORD_CHANGE_DEG) -> DataFrame:
-    """Coordinates moved more than ``threshold`` degrees since the previous row."""
-    w = Window.partitionBy(key).orderBy(*order)
-    lat, lon = F.col("Latitude"), F.col("Longitude")
-    plat, plon = F.lag(lat, 1).over(w), F.lag(lon, 1).over(w)
-    moved = (F.abs(lat - plat) > threshold) | (F.abs(lon - plon) > threshold)
-    return df.select("*", plat.alias("prev_lat"), plon.alias("prev_lon"), X.flag(moved).alias("coord_changed_flag"))
-
-
 # ----------------------------------------------------------------- profiles --
 
 def _latest_valid(v: Column, date: Column) -> Column:
@@ -100,7 +90,7 @@ def device_profiles(ts: DataFrame) -> DataFrame:
     raw_cur = X.to_num(F.col("LineCurrent")) if "LineCurrent" in ts.columns else F.lit(None).cast("double")
     raw_tmp = X.to_num(F.col("LineTemperature")) if "LineTemperature" in ts.columns else F.lit(None).cast("double")
     hours = (F.col("hours_since_last_heard") if "hours_since_last_heard" in ts.columns
-             else F.col("comm_age_days") * 24.0)
+             else F.lit(None).cast("double"))  # A7 only where hours come; days are rounded
     base = ts.select(
         "Serial", "date", "Device_Type", "battery_level", "risk_score",
         F.when(raw_bat.between(0, 100), raw_bat).alias("_bat_clean"),
@@ -288,13 +278,29 @@ def profiles_with_trend(profiles: DataFrame, trend: DataFrame) -> DataFrame:
     return profiles.join(trend.select(*new), "Serial", "left")
 
 
-def processing_stats(ts: DataFrame, file_col: str = "date") -> DataFrame:
-    """Rows and distinct devices per (date, type)."""
-    return ts.groupBy(F.col(file_col).alias("date"), F.col("Device_Type_Standardized").alias("device_type")).agg(
+def processing_stats(ts: DataFrame, date_col: str = "date", file_col: str | None = None) -> DataFrame:
+    """Rows and distinct devices per (date, type), or per (file, date, type) where ``file_col`` is given."""
+    file = [F.col(file_col).alias("file")] if file_col else []
+    return ts.groupBy(*file, F.col(date_col).alias("date"), F.col("Device_Type_Standardized").alias("device_type")).agg(
         F.count(F.lit(1)).cast("long").alias("rows_processed"),
         F.count_distinct("Serial").cast("long").alias("unique_devices"))
 
 
+def processed_by_type(ts: DataFrame, date_col: str = "date", file_col: str = "_source_file") -> DataFrame:
+    """A24 totals: per type the files processed, rows, devices, days and range of dates."""
+    key = F.col("Device_Type_Standardized").alias("device_type")
+    cells = ts.groupBy(key, F.col(file_col).alias("_f"), F.col(date_col).alias("_d"), "Serial").agg(F.count(F.lit(1)).alias("_n"))
+    return cells.groupBy("device_type").agg(
+        F.count_distinct("_f").cast("long").alias("files_processed"), F.sum("_n").cast("long").alias("rows_processed"),
+        F.count_distinct("Serial").cast("long").alias("unique_devices"), F.count_distinct("_d").cast("long").alias("days_processed"),
+        F.min("_d").alias("first_date"), F.max("_d").alias("last_date"))
+
+
+def ordered_profiles(profiles: DataFrame) -> DataFrame:
+    """O2: profiles by type, then the highest current risk first (no score last), for the sink; a range sort, not one task."""
+    return profiles.orderBy(F.asc_nulls_last("Device_Type_Standardized"), F.desc_nulls_last("risk_score_current"), "Serial")
+
+
 def sorted_for_sink(df: DataFrame, key: str = "Serial", order: str = "date") -> DataFrame:
     """O3: cluster by device and sort within partitions (no global sort)."""
     return df.repartition(key).sortWithinPartitions(key, order)

@@ -716,4 +716,4 @@ def p8_device_types(spark, sf_dir):
                     X.device_type_b(X.device_type_upper(F.col("raw_type")), "Unknown").alias("type_b_unknown"))
 
 
-from . import dirty  # noqa: E402,F401 - registers its queries here
+from . import dirty, whole  # noqa: E402,F401 - register their queries here

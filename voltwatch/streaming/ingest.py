@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import exprs as X
 from ..operators.common import dedupe_keep
 from ..operators.health import build_health_features
-from ..sources import versions
+from ..sources import schemas, versions
 from ..sources.files import SNAPSHOT_COLUMNS, all_string_schema, clean_numeric, with_batch_date, with_source_file
 
 
@@ -42,7 +42,9 @@ def _append_batch(path: str, checkpoint: str) -> Callable[[DataFrame, int], None
     def write(batch: DataFrame, batch_id: int) -> None:
         placed = clean_numeric(batch).select("*", F.monotonically_increasing_id().alias("_row"),
                                              F.current_timestamp().alias("_ingested_at"))
-        placed.write.mode("overwrite").parquet(_batch_folder(batch.sparkSession, path, checkpoint, batch_id))
+        folder = _batch_folder(batch.sparkSession, path, checkpoint, batch_id)
+        schemas.register(batch.sparkSession, path, placed.schema, folder[len(path) + 1:])
+        placed.write.mode("overwrite").parquet(folder)
     return write
 
 
@@ -87,7 +89,7 @@ def _parts(spark: SparkSession, history: str) -> tuple[DataFrame | None, DataFra
         done = {r[0] for r in spark.read.json(f"{folder}/batches").collect()}  # a row a batch
         old = spark.read.parquet(f"{folder}/rows")
     names = [b for b in _batches(spark, history) if b not in done]
-    new = _keyed(spark.read.option("basePath", history).option("mergeSchema", True).parquet(*[f"{history}/{b}" for b in names])) if names else None
+    new = _keyed(schemas.read_parts(spark, history, names)) if names else None
     return old, new, names
 
 
@@ -99,8 +101,8 @@ def _merged(old: DataFrame | None, new: DataFrame | None) -> DataFrame:
     # compacted rows have one row a key: only those that a fresh row may replace are compared again
     keys = new.select(F.col("Serial").alias("_s"), F.col("_report_key").alias("_k")).distinct()
     same = F.col("Serial").eqNullSafe(F.col("_s")) & F.col("_report_key").eqNullSafe(F.col("_k"))
-    fresh = _latest(new.unionByName(old.join(keys, same, "left_semi"), allowMissingColumns=True))
-    return old.join(keys, same, "left_anti").unionByName(fresh, allowMissingColumns=True)
+    fresh = _latest(schemas.unite([new, old.join(keys, same, "left_semi")]))
+    return schemas.unite([old.join(keys, same, "left_anti"), fresh])
 
 
 def read_history(spark: SparkSession, history: str) -> DataFrame:
