@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -426,6 +428,45 @@ def test_pii_checksums_and_context(spark):
     assert red[7].text == "mail <EMAIL>, é" and red[7].n_chars == 15
 
 
+def test_pii_grouped_ibans(spark):
+    rows = [
+        (1, "pay GB82 WEST 1234 5698 7654 32 now"), (2, "BE68 5390 0754 7034 CODE WORD"), (3, "XBE68 5390 0754 7034"), (4, "BE68 5390 0754 7035"),
+        (5, "MT84 MALT 0110 0001 2345 MTLC AST0 01S"), (6, "MT84MALT011000012345MTLCAST001S, BE68 5390 0754 7034"), (7, "é BE68 5390 0754 7034a BE68 5390 0754 7034"),
+    ]
+    made = make(spark, rows)
+    got = {r.doc_id: [x for x in r.spans.split(",") if x.startswith("iban")] for r in pii.pii_digest(made).collect()}
+    assert got == {1: ["iban:4:31"], 2: ["iban:0:19"], 3: [], 4: [], 5: ["iban:0:38"], 6: ["iban:0:31", "iban:33:52"], 7: ["iban:23:42"]}
+    pdf = made.toPandas()
+    con = duckdb.connect()
+    con.register("documents", pdf)
+    want = {r[0]: r[1] for r in con.execute(f"SELECT doc_id, spans FROM ({queries.SQL['op8_pii']})").fetchall()}
+    assert want == {r.doc_id: r.spans for r in pii.pii_digest(made).collect()}
+    assert pii.redact(made).where("doc_id = 6").first().text == "<IBAN>, <IBAN>"
+
+
+def brute_redact(text, spans):
+    out, at = [], 0
+    for a, b, kind in sorted((a, b, k) for k, a, b in spans):
+        if a >= at:
+            out += [text[at:a], f"<{kind.upper()}>"]
+        at = max(at, b)
+    return "".join(out) + text[at:]
+
+
+def test_pii_many_matches_in_one_text(spark):
+    rnd = random.Random(8)
+    text = "".join(rnd.choice(["é", "mail ", "x" * 30, "\n"]) + rnd.choice(["a@b.co", "10.0.0.1", "4111111111111111", "+49 30 1234567"]) for _ in range(105_000))
+    rows = [(1, text), (2, text[:300] * 3)]
+    started = time.time()
+    got = {r.doc_id: r for r in pii.pii_digest(make(spark, rows)).collect()}
+    red = {r.doc_id: r for r in pii.redact(make(spark, rows)).collect()}
+    assert time.time() - started < 120
+    for i, t in rows:
+        spans = brute_pii(t)
+        assert got[i].base_sha256 == sha(",".join(f"{k}:{a}:{b}" for k, a, b in spans)) and red[i].text == brute_redact(t, spans)
+    assert len(brute_pii(text)) >= 100_000
+
+
 def test_quality(spark, texts):
     larger = SF.replace("0.001", "0.01")
     labels = spark.read.parquet(f"{larger}/labels.parquet")

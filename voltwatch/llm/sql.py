@@ -6,15 +6,15 @@ from voltwatch.llm import lexical, pii
 from voltwatch.llm import quality_rules as rules
 
 
-def _pii_kind(kind: str, pattern: str, test: str, only: str) -> str:
+def _pii_kind(kind: str, pattern: str, test: str, only: str, part: str = "x") -> str:
     return f"""
     SELECT rid, '{kind}' AS kind, {pii.KINDS.index(kind)} AS o, s, s + length(x) AS e, round(least(1.0, {pii.PRIOR[kind]} + CASE WHEN
         regexp_matches(lower(substr(t, greatest(s - {pii.CONTEXT_CHARS}, 0) + 1, s - greatest(s - {pii.CONTEXT_CHARS}, 0))), '{pii.CONTEXT[kind]}')
         THEN {pii.LIFT} ELSE 0.0 END), 2) AS score
-    FROM (SELECT rid, t, unnest(found) AS x, unnest(list_transform(range(1, len(found) + 1), lambda i:
+    FROM (SELECT rid, t, s, {part} AS x FROM (SELECT rid, t, unnest(found) AS x, unnest(list_transform(range(1, len(found) + 1), lambda i:
             list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(found[1:i-1], lambda f: length(f))), 0))) :: BIGINT AS s
         FROM (SELECT rid, t, regexp_extract_all(t, '{pattern}') AS found, string_split_regex(t, '{pattern}') AS gaps
-            FROM d WHERE regexp_matches(t, '{only}')))
+            FROM d WHERE regexp_matches(t, '{only}'))))
     WHERE {test}"""
 
 
@@ -22,8 +22,18 @@ _DIGITS = "regexp_replace(x, '[^0-9]', '', 'g')"
 _LUHN = f"""length({_DIGITS}) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i:
     CASE WHEN i % 2 = 1 THEN CAST(substr(reverse({_DIGITS}), i, 1) AS INTEGER)
     ELSE (CAST(substr(reverse({_DIGITS}), i, 1) AS INTEGER) * 2) // 10 + (CAST(substr(reverse({_DIGITS}), i, 1) AS INTEGER) * 2) % 10 END)) % 10 = 0"""
-_NUMBERS = "list_transform(string_split(substr(x, 5) || substr(x, 1, 4), ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN c ELSE CAST(ascii(c) - 55 AS VARCHAR) END)"
-_MOD97 = f"""regexp_matches(x, '^[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}$') AND CAST(array_to_string({_NUMBERS}, '') AS HUGEINT) % 97 = 1"""
+
+
+def _mod97(x: str) -> str:
+    """Digit by digit, as the whole number of a long one has more than 38 digits."""
+    values = f"list_transform(string_split(substr({x}, 5) || substr({x}, 1, 4), ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)"
+    return f"list_reduce(list_concat([0], {values}), lambda a, b: (a * (CASE WHEN b < 10 THEN 10 ELSE 100 END) + b) % 97) = 1"
+
+
+_MOD97 = f"CASE WHEN regexp_matches(x, '^[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}$') THEN {_mod97('x')} ELSE false END"
+_GROUPED = r"\b[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?\b"
+_LONGEST = f"""list_filter(list_transform(range(len(string_split(x, ' ')), 2, -1), lambda k: array_to_string(string_split(x, ' ')[1:k], ' ')),
+    lambda p: length(replace(p, ' ', '')) BETWEEN {pii.IBAN_CHARS[0]} AND {pii.IBAN_CHARS[1]} AND {_mod97("replace(p, ' ', '')")})[1]"""
 
 _PII_KINDS = [
     _pii_kind("email", pii.BASE["email"], "true", "@"),
@@ -31,6 +41,7 @@ _PII_KINDS = [
     _pii_kind("card", r"[0-9](?:[\x20-]?[0-9])+", _LUHN, "[0-9]{2}"),
     _pii_kind("phone", pii.BASE["phone"], f"length({_DIGITS}) BETWEEN 9 AND 15", r"\+"),
     _pii_kind("iban", "[A-Za-z0-9]+", _MOD97, "[A-Z]{2}[0-9]{2}[A-Z0-9]{11}"),
+    _pii_kind("iban", _GROUPED, "x IS NOT NULL", "[A-Z]{2}[0-9]{2} [A-Z0-9]{4} [A-Z0-9]{4}", _LONGEST),
     _pii_kind("ssn", "[0-9-]+", "regexp_matches(x, '^[0-9]{3}-[0-9]{2}-[0-9]{4}$') AND NOT regexp_matches(x, '^(000|666|9[0-9]{2})|-00-|-0000$')", "[0-9]{3}-[0-9]{2}-[0-9]{4}"),
 ]
 
