@@ -90,7 +90,7 @@ def device_profiles(ts: DataFrame) -> DataFrame:
     raw_cur = X.to_num(F.col("LineCurrent")) if "LineCurrent" in ts.columns else F.lit(None).cast("double")
     raw_tmp = X.to_num(F.col("LineTemperature")) if "LineTemperature" in ts.columns else F.lit(None).cast("double")
     hours = (F.col("hours_since_last_heard") if "hours_since_last_heard" in ts.columns
-             else F.lit(None).cast("double"))  # A7 only where hours come; days are rounded
+             else F.col("comm_age_days") * 24.0)  # A7: without exact hours the gap comes from the days
     base = ts.select(
         "Serial", "date", "Device_Type", "battery_level", "risk_score",
         F.when(raw_bat.between(0, 100), raw_bat).alias("_bat_clean"),
