@@ -143,6 +143,23 @@ def test_substring_hot_minimisers(spark, monkeypatch):
     assert substring.remove_repeats(make(spark, rows).limit(0)).count() == 0
 
 
+def test_substring_counts_windows_of_near_copies_once(spark, monkeypatch):
+    """Near copies: of the windows of hot super-k-mers only those around an edit are rows, one for each distinct chunk."""
+    rnd = random.Random(4)
+    text = [f"p{k}" for k in range(400)]
+    rows = [(k, " ".join([*text[: (at := rnd.randrange(400))], f"edit{k}", *text[at + 1 :]])) for k in range(60)]
+    plain, counted, windows = collected(substring.remove_repeats(make(spark, rows))), [], substring._hot_windows
+
+    def seen(*args):
+        counted.append(windows(*args).count())
+        return windows(*args)
+
+    monkeypatch.setattr(substring, "_hot_windows", seen)
+    monkeypatch.setattr(substring, "HOT", 3)
+    assert collected(substring.remove_repeats(make(spark, rows))) == plain
+    assert 0 < sum(counted) < 2000, counted  # every window of every hot super-k-mer: 3,157
+
+
 def test_substring_of_a_row_that_stands_hundreds_of_times(spark):
     """Two long texts share a passage, so that super-k-mers are contested; one of the rows stands 400 times."""
     words = [f"w{k}" for k in range(900)]

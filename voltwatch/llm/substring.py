@@ -12,8 +12,9 @@ in one super-k-mer, and:
 2. a minimiser seen once has no repeat; one whose super-k-mers are all the same repeats whole;
 3. of the rest each distinct super-k-mer travels once, as one packed string, to its minimiser's bucket, where windows
    are sorted and counted. A minimiser of more than ``HOT`` distinct super-k-mers (a passage of very many documents, with
-   other words around it) would be one hot bucket: its windows are counted one by one, by 128-bit hashes of their words
-   with partial sums, which spreads them;
+   other words around it) would be one hot bucket: its super-k-mers are cut into chunks of a few windows, which are
+   told apart by 128-bit hashes of their words with partial sums, which spreads them. Only where distinct chunks share
+   the words that all their windows have are windows counted one by one, those of each distinct chunk once;
 4. the repeated windows come back by document.
 
 Cases: a null text has no words; a text shorter than a window keeps all words; repeated rows are repeats of each other;
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 from voltwatch.llm.common import Words, _power, grams, hex_sha, mix, shuffle_partitions, steps, string_parts, with_checkpoint_dir
 
 WINDOW, MINIMISER, HOT = 35, 6, 1000
+#: Windows of a chunk of a hot super-k-mer.
+CHUNK = 6
 #: Bytes of packed strings whose windows are sorted at once (whole buckets only).
 SORT_BYTES = 4 << 20
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
@@ -169,20 +172,85 @@ def _counted(rows: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(run, "mini bigint, whole bigint, bits binary")
 
 
-def _hot_windows(asked: DataFrame, window: int) -> DataFrame:
-    """(one, two, mini, whole, at, count): a row a window of each super-k-mer asked for, by two hashes of its words."""
+def _range_hashes(h: np.ndarray, begin: np.ndarray, past: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """A hash of the words ``begin`` to ``past`` of each range, and of a number."""
+    up, down = _power(len(h))
+    total = np.concatenate([np.zeros(1, np.uint64), (h * up).cumsum(dtype=np.uint64)])
+    return mix((total[past] - total[begin]) * down[begin] + salt.astype(np.uint64))
+
+
+def _hot_chunks(asked: DataFrame, window: int) -> DataFrame:
+    """A row a chunk of each super-k-mer asked for: up to ``CHUNK`` windows in a row, cut by the minimiser's place in them,
+    so that equal windows lie in chunks of one number. (c1, c2): hashes of the number and of the words that every window
+    of such a chunk has; (s1, s2): of the chunk's own words; ``at``: its first window; ``hashes``: two of each window."""
+    m = min(MINIMISER, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 500):
                 found = [(k, b" ".join(words[k["start"] : k["start"] + k["count"] + window - 1])) for words, k in _pieces(batch.slice(at, 500))]
+                if not found:
+                    continue
                 data, offsets = string_parts(pa.array([p for _, p in found], pa.binary()).cast(pa.string()))
-                row, one, two = _window_hashes(Words(data, offsets, 0, len(found)), window)
+                words = Words(data, offsets, 0, len(found))
+                h, begin = words.hashes, words.of[:-1]
+                value = grams(h, m)
+                place = (sliding_min((value & ~_PLACE) | np.arange(len(value), dtype=np.uint64), window - m + 1) & _PLACE).astype(np.int64)[begin]
+                row, one, two = _window_hashes(words, window)
+                nth = np.arange(len(row)) - np.searchsorted(row, row)
+                number = ((place - begin)[row] - nth) // CHUNK
+                first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (number[1:] != number[:-1])]))
+                n = np.diff(np.append(first, len(row)))
+                row, number, start = row[first], number[first], nth[first]
+                low, high = number * CHUNK, np.minimum(number * CHUNK + CHUNK - 1, window - m)
+                core = place[row] - low, place[row] - high + window
+                own = begin[row] + start, begin[row] + start + n + window - 1
+                keys = [_range_hashes(x, *r, salt) for r, salt in ((core, number), (own, n)) for x in (h, h ^ _OTHER)]
+                both = np.stack([one, two], axis=1)
                 columns = [np.array([k[c] for k, _ in found], np.int64)[row] for c in ("mini", "whole", "count")]
-                place = np.arange(len(row)) - np.searchsorted(row, row)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one.view(np.int64), two.view(np.int64), columns[0], columns[1], place.astype(np.int32), columns[2].astype(np.int32))], ["one", "two", "mini", "whole", "at", "count"])
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(x.view(np.int64)) for x in keys), *(pa.array(x) for x in columns[:2]), *(pa.array(x.astype(np.int32)) for x in (columns[2], start, n)), pa.array([both[f : f + k].tobytes() for f, k in zip(first.tolist(), n.tolist(), strict=True)], pa.binary())],
+                    ["c1", "c2", "s1", "s2", "mini", "whole", "count", "at", "n", "hashes"],
+                )
+
+    return asked.select("text", "asked").mapInArrow(run, "c1 bigint, c2 bigint, s1 bigint, s2 bigint, mini bigint, whole bigint, count int, at int, n int, hashes binary")
 
-    return asked.select("text", "asked").mapInArrow(run, "one bigint, two bigint, mini bigint, whole bigint, at int, count int")
+
+def _hot_windows(spans: DataFrame) -> DataFrame:
+    """(one, two, c1, c2, s1, s2, k): a row a window of each distinct chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            n = batch.column(4).to_numpy()
+            both = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.int64).reshape(-1, 2)
+            row = np.repeat(np.arange(len(batch)), n)
+            k = (np.arange(len(row)) - np.repeat(n.cumsum() - n, n)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), *(pa.array(batch.column(c).to_numpy()[row]) for c in range(4)), pa.array(k)], ["one", "two", "c1", "c2", "s1", "s2", "k"])
+
+    return spans.select("c1", "c2", "s1", "s2", "n", "hashes").mapInArrow(run, "one bigint, two bigint, c1 bigint, c2 bigint, s1 bigint, s2 bigint, k int")
+
+
+def _hot_places(asked: DataFrame, window: int, where: str) -> DataFrame:
+    """(mini, whole, count, at): the repeated windows of the super-k-mers asked for, an array each.
+
+    Chunks with other common words have no equal windows, and equal chunks have all of theirs: only distinct chunks with
+    the same common words are counted window by window."""
+    spark = asked.sparkSession
+    _hot_chunks(asked, window).write.parquet(f"{where}/hot")
+    hot, core, span = spark.read.parquet(f"{where}/hot"), ["c1", "c2"], ["c1", "c2", "s1", "s2"]
+    hot.groupBy(*span).agg(F.count("*").alias("times"), F.min("n").alias("n"), F.min("hashes").alias("hashes")).write.parquet(f"{where}/spans")
+    spans = spark.read.parquet(f"{where}/spans")  # written, as are the others, so that Spark can split the joins
+    spans.groupBy(*core).agg(F.count("*").alias("distinct")).where(F.col("distinct") > 1).select(*core).write.parquet(f"{where}/cores")
+    _hot_windows(spans.join(spark.read.parquet(f"{where}/cores"), core)).write.parquet(f"{where}/windows")
+    windows = spark.read.parquet(f"{where}/windows")
+    twice = windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
+    some = windows.join(twice, ["one", "two"]).groupBy(*span).agg(F.collect_set("k").alias("ks"))
+    all_of = spans.where("times > 1").select(*span, F.sequence(F.lit(0), F.col("n") - 1).alias("ks"))
+    some.join(all_of.select(*span), span, "left_anti").select(*span, "ks").union(all_of).write.parquet(f"{where}/repeats")
+    back = hot.join(spark.read.parquet(f"{where}/repeats"), span)
+    return back.groupBy("mini", "whole", "count").agg(F.flatten(F.collect_list(F.transform("ks", lambda k: k + F.col("at")))).alias("at"))
 
 
 def _kept(marked: DataFrame, window: int, kind: str) -> DataFrame:
@@ -239,12 +307,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return keyed.join(by_doc, ["k1", "k2"])
 
     buckets = _packed(asked(first.where("NOT hot")), window).repartition(shuffle_partitions(spark), "mini").sortWithinPartitions("mini")
-    hot = _hot_windows(asked(first.where("hot")), window)
-    hot.write.parquet(f"{where}/hot")
-    hot = spark.read.parquet(f"{where}/hot")
+    places = _hot_places(asked(first.where("hot")), window, where)
     often = first.where("hot AND often").select("mini", "whole", F.lit(None).cast("binary").alias("bits"))
-    twice = hot.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
-    places = hot.join(twice, ["one", "two"]).groupBy("mini", "whole", "count").agg(F.collect_set("at").alias("at"))
     bit = F.array_join(F.transform(F.sequence(F.lit(0), F.ceil(F.col("count") / 8).cast("int") * 8 - 1), lambda k: F.when(F.array_contains("at", k), "1").otherwise("0")), "")
     bits = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.ceil(F.col("count") / 8).cast("int") - 1), lambda k: F.lpad(F.conv(F.substring(bit, k * 8 + 1, F.lit(8)), 2, 16), 2, "0")), ""))
     few = places.select("mini", "whole", bits.alias("bits")).join(often.select("mini", "whole"), ["mini", "whole"], "left_anti")
