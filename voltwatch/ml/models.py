@@ -9,9 +9,11 @@ predictions live.  Reference hyper-parameters are the defaults of
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -97,6 +99,19 @@ def stratified_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: in
 
 # ------------------------------------------------------------------ models --
 
+#: Rows times trees of one task: a forest keeps a number a tree for each row, so that a task holds 100 MB of them.
+ROWS_TREES = 25_000_000
+#: MB of node statistics of one pass of a forest (Spark's default is 256): deep forests take fewer passes.
+NODE_MB = 768
+
+
+def training_rows(df: DataFrame, trees: int) -> DataFrame:
+    """``df`` with its lineage cut, in as many even tasks as its rows need for a forest of so many trees."""
+    frozen = reliable_checkpoint(df)
+    parts = -(-frozen.count() * trees // ROWS_TREES)
+    return frozen if parts <= frozen.rdd.getNumPartitions() else reliable_checkpoint(frozen.repartition(parts))
+
+
 def _assembler(feats: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(feats), outputCol="features", handleInvalid="keep")
 
@@ -107,22 +122,26 @@ def train_action_models(df: DataFrame, params: ActionParams = ActionParams(), ty
     """M2: one balanced random forest per active type; single-class types are skipped.
     Returns {type: {"model", "features", "test"}} where ``test`` holds test predictions."""
     feats = list(feats or feature_cols(df))
-    out = {}
+    df = reliable_checkpoint(df)  # read by every type, a few times each
     classes = {r[0]: r[1] for r in df.groupBy(type_col).agg(F.count_distinct(label)).collect()}  # <= #types rows
-    for t in types:
-        if classes.get(t, 0) < 2:
-            continue
+
+    def trained(t: str) -> dict:
         sub = align_features(df.where((F.col(type_col) == t) & F.col(label).isNotNull()), feats)
         sub = with_class_weight(stratified_split(sub, label, params.test_size, params.seed), label, train=~F.col("is_test"))
         # tree induction makes one pass per level: cut the lineage once (reliable checkpoint)
-        sub = sub.select(label, "class_weight", "is_test", *feats).transform(reliable_checkpoint)
+        sub = training_rows(sub.select(label, "class_weight", "is_test", *feats), params.num_trees)
         train, test = sub.where(~F.col("is_test")), sub.where("is_test")
         rf = RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="class_weight",
                                     numTrees=params.num_trees, maxDepth=params.max_depth,
-                                    minInstancesPerNode=params.min_instances_per_node, seed=params.seed)
+                                    minInstancesPerNode=params.min_instances_per_node, seed=params.seed,
+                                    maxMemoryInMB=NODE_MB)
         model = Pipeline(stages=[_assembler(feats), rf]).fit(train)
-        out[t] = {"model": model, "features": feats, "test": predict(model, test).transform(reliable_checkpoint)}
-    return out
+        return {"model": model, "features": feats, "test": predict(model, test).transform(reliable_checkpoint)}
+
+    wanted = [t for t in types if classes.get(t, 0) >= 2]
+    # a deep forest is hundreds of short passes that leave most cores idle: the types' passes run side by side
+    with ThreadPoolExecutor(max(1, len(wanted))) as pool:
+        return dict(zip(wanted, pool.map(inheritable_thread_target(df.sparkSession)(trained), wanted)))
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -154,6 +173,7 @@ def load_bundle(paths: Sequence[str]):
 def train_failure_model(ds: DataFrame, feats: Sequence[str], params: FailureParams = FailureParams(),
                         label: str = "failure_next_7d", cv: bool = True, min_rows: int = 100) -> dict:
     """At least ``min_rows`` rows and both classes; scaler + balanced RF; optional k-fold ROC-AUC on the train part."""
+    ds = reliable_checkpoint(ds)  # read for the classes, the split and the rows
     sizes = [r["count"] for r in ds.groupBy(label).count().collect()]  # a row a class
     if sum(sizes) < min_rows:
         raise ValueError(f"failure model needs {min_rows} complete rows, got {sum(sizes)}")
