@@ -340,7 +340,7 @@ def trust_split(df: DataFrame, label_col: str | None = None, date_col: str = "La
         *[c for c in df.columns if c not in feats], *typed, F.col(label_col or "rule_label").cast("int").alias("_y"))
     d = d.where(F.col("_y").isNotNull())  # a row without a supplied label teaches and tests nothing
     split = chrono_split(d, date_col, train_frac, tiebreak=[c for c in ("reading_id",) if c in d.columns])
-    split = split.transform(reliable_checkpoint)
+    split = training_rows(split, trees)
     return (*median_impute(split.where("is_train"), split.where("not is_train"), feats), feats)
 
 
@@ -354,7 +354,7 @@ def trust_stack(df: DataFrame, label_col: str | None = None, date_col: str = "La
     """Rule labels (or a given label), chronological split,
     median impute, depth-3 tree and 250-tree forest, agreement and explanations.
     ``tree_rules`` has the tree's leaves as rows of SQL conditions."""
-    train, test, feats = trust_split(df, label_col, date_col, train_frac, features)
+    train, test, feats = trust_split(df, label_col, date_col, train_frac, features, rf_trees)
     dt = trust_tree(train, feats, seed)
     rf = Pipeline(stages=[_assembler(feats), RandomForestClassifier(
         labelCol="_y", numTrees=rf_trees, maxDepth=8, minInstancesPerNode=10, seed=seed)]).fit(train)
