@@ -173,7 +173,6 @@ def load_bundle(paths: Sequence[str]):
 def train_failure_model(ds: DataFrame, feats: Sequence[str], params: FailureParams = FailureParams(),
                         label: str = "failure_next_7d", cv: bool = True, min_rows: int = 100) -> dict:
     """At least ``min_rows`` rows and both classes; scaler + balanced RF; optional k-fold ROC-AUC on the train part."""
-    ds = reliable_checkpoint(ds)  # read for the classes, the split and the rows
     sizes = [r["count"] for r in ds.groupBy(label).count().collect()]  # a row a class
     if sum(sizes) < min_rows:
         raise ValueError(f"failure model needs {min_rows} complete rows, got {sum(sizes)}")
@@ -181,7 +180,7 @@ def train_failure_model(ds: DataFrame, feats: Sequence[str], params: FailurePara
         raise ValueError("failure model needs both classes in the data")
     d = with_class_weight(stratified_split(ds, label, params.test_size, params.seed, key=["Serial", "date"]), label,
                           train=~F.col("is_test"))
-    d = d.transform(reliable_checkpoint)
+    d = training_rows(d, params.num_trees)
     train, test = d.where(~F.col("is_test")), d.where("is_test")
     rf = RandomForestClassifier(labelCol=label, featuresCol="scaled", weightCol="class_weight",
                                 numTrees=params.num_trees, maxDepth=params.max_depth,
@@ -191,7 +190,7 @@ def train_failure_model(ds: DataFrame, feats: Sequence[str], params: FailurePara
     if cv:
         ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
         cvm = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                             numFolds=params.folds, seed=params.seed).fit(train)
+                             numFolds=params.folds, seed=params.seed, parallelism=params.folds).fit(train)
         res["cv_auc_mean"] = float(cvm.avgMetrics[0])
         res["cv_auc_2std"] = float(2 * (cvm.stdMetrics[0] if cvm.stdMetrics else 0.0))
     model = pipe.fit(train)
@@ -327,7 +326,7 @@ TRUST_FEATURES = ("BatteryLevel", "days_since_last_heard", "LineCurrent", "LineT
 
 
 def trust_split(df: DataFrame, label_col: str | None = None, date_col: str = "Last_Heard", train_frac: float = 0.8,
-                features: Sequence[str] = TRUST_FEATURES) -> tuple[DataFrame, DataFrame, list[str]]:
+                features: Sequence[str] = TRUST_FEATURES, trees: int = 250) -> tuple[DataFrame, DataFrame, list[str]]:
     """Train and test rows of the trust stack with the label as ``_y``, and the features there are.
 
     ``label_col`` None takes the rules' own label. Rows without a date or a label are left out; the earliest

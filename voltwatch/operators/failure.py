@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import exprs as X
+from .common import reliable_checkpoint
 from .ranks import exact_quantiles, first_rows
 
 OFFLINE_SPELLINGS = ("OFFLINE", "OFF LINE", "OFF-LINE")
@@ -96,7 +97,10 @@ def _chain(pairs) -> Column:
 def failure_dataset(ts: DataFrame, key: str = "Serial", date_col: str = "date") -> DataFrame:
     """Look-ahead labels + engineered features, complete rows only."""
     lab = label_lookahead(ts, key, date_col)
-    feats = ml_features(lab)
+    kept = [key, date_col, "failure_next_7d", "failure_cause", *[c for c in ML_FEATURES if c in lab.columns]]
+    kept += [c for c in ("battery_level", "LineTemperature_val", "device_age_months", "comm_age_days") if c not in kept]
+    # read for the quantiles and again for the rows: the daily series behind it is worked out once
+    feats = ml_features(reliable_checkpoint(lab.select(*kept)))
     return feats.select(key, date_col, "failure_next_7d", "failure_cause", *ML_FEATURES).na.drop(subset=ML_FEATURES)
 
 
